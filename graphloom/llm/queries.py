@@ -12,6 +12,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pii_digests
+
+    return pii_digests(_documents(spark, sf_dir))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import ROW_BYTES, shard_documents
 
@@ -36,7 +42,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+    return {"op7_pii": op7_pii, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.
