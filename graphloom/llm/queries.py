@@ -12,6 +12,20 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .sentencepiece_bpe import encode_decode
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pii_digests
 
@@ -42,7 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_pii": op7_pii, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+    return {"op2_sentencepiece": op2_sentencepiece, "op7_pii": op7_pii, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.
