@@ -32,6 +32,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digests(_documents(spark, sf_dir))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    found = near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import ROW_BYTES, shard_documents
 
@@ -56,7 +63,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_sentencepiece": op2_sentencepiece, "op7_pii": op7_pii, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+    return {"op2_sentencepiece": op2_sentencepiece, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.
