@@ -12,6 +12,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import compare_with_edited
+
+    return compare_with_edited(_documents(spark, sf_dir))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -63,7 +69,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_sentencepiece": op2_sentencepiece, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.

@@ -105,7 +105,7 @@ def shingle_hashes(buf: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np
     starts, ends, first = word_spans(buf, offsets)
     words = span_hashes(buf, starts, ends)
     counts = np.diff(first)
-    odd = [np.uint64(pow(0xD6E8FEB86659FD93, j + 1, 1 << 64) | 1) for j in range(width)]
+    odd = np.array([pow(0xD6E8FEB86659FD93, j + 1, 1 << 64) for j in range(width)], dtype=np.uint64)
     n_shingles = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
     bounds = np.zeros(len(first), dtype=np.int64)
     np.cumsum(n_shingles, out=bounds[1:])
@@ -118,8 +118,5 @@ def shingle_hashes(buf: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np
         inside = row[: len(rolled)] == row[width - 1 :]
         out[np.repeat(counts >= width, n_shingles)] = rolled[inside]
     for i in np.flatnonzero((counts > 0) & (counts < width)):
-        total = np.uint64(counts[i])
-        for j in range(counts[i]):
-            total += words[first[i] + j] * odd[j]
-        out[bounds[i]] = total
+        out[bounds[i]] = (words[first[i] : first[i + 1]] * odd[: counts[i]]).sum() + np.uint64(counts[i])
     return mix64(out), bounds
