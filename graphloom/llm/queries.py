@@ -32,6 +32,21 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import HELD_DIVISOR, fit_documents, identify
+    from .samples import id_remainder
+
+    docs = _documents(spark, sf_dir)
+    found = identify(docs.select("doc_id", "text"), fit_documents(docs))
+    return found.select(
+        "doc_id",
+        (id_remainder(F.col("doc_id"), HELD_DIVISOR) == 0).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_rejected").alias("rejected"),
+    )
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pii_digests
 
@@ -69,7 +84,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.

@@ -46,8 +46,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def text_slices(column: pa.Array, pass_bytes: int = PASS_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Yield (first row, end row, bytes, offsets from 0) in slices of about pass_bytes; null counts as empty.
+def text_slices(column: pa.Array, pass_bytes: int = PASS_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Yield (first row, end row, bytes, offsets from 0) in slices of about pass_bytes and at most so many rows; null counts as empty.
 
     A slice holds at least one row, and always whole rows.
     """
@@ -63,7 +63,7 @@ def text_slices(column: pa.Array, pass_bytes: int = PASS_BYTES) -> Iterator[tupl
     first = 0
     while first < n:
         end = max(first + 1, int(np.searchsorted(offs, offs[first] + pass_bytes, side="right")) - 1)
-        end = min(end, n)
+        end = min(end, n, first + rows)
         yield first, end, raw[offs[first] : offs[end]], offs[first : end + 1] - offs[first]
         first = end
 
