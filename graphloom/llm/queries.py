@@ -32,6 +32,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import media_digests
+
+    return media_digests(_documents(spark, sf_dir))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import HELD_DIVISOR, fit_documents, identify
     from .samples import id_remainder
@@ -84,7 +90,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.
