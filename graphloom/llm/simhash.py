@@ -280,17 +280,9 @@ def _star(members: DataFrame) -> DataFrame:
 def links(distinct: DataFrame) -> DataFrame:
     """Links (a, b) that join what is joined by all pairs of distinct `fp` at MOST_DIFFERENCES or fewer differing bits."""
     found = None
-    full = distinct.select("fp", F.lit(0).cast("long").alias("mask"))
-    above = [0]
+    top = F.array(*[F.lit(_signed(m)) for m in node_masks(0)])
+    spread = distinct.select("fp", F.explode(top).alias("mask"))
     for depth in range(len(DIVISIONS) + 1):
-        if depth == 0:
-            below = {0: node_masks(0)}
-        else:
-            below = {m: node_masks(depth, m) for m in above}
-        told = distinct.sparkSession.createDataFrame(
-            [(_signed(m), [_signed(x) for x in more]) for m, more in below.items()], "mask long, more array<long>"
-        )
-        spread = full.join(F.broadcast(told), "mask").select("fp", F.explode("more").alias("mask"))
         nodes = spread.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp").distinct()
         if depth == len(DIVISIONS):
             own = _star(nodes)
@@ -300,9 +292,12 @@ def links(distinct: DataFrame) -> DataFrame:
         own = searched.filter("b IS NOT NULL").select("a", "b")
         found = own if found is None else found.unionByName(own)
         full = searched.filter("b IS NULL").select(F.col("a").alias("fp"), "mask")
-        above = [r["mask"] % (1 << 64) for r in full.select("mask").distinct().collect()]  # at most as many as masks of this depth
+        above = [r["mask"] for r in full.select("mask").distinct().collect()]  # at most as many as masks of this depth
         if not above:
             return found
+        below = [(m, [_signed(x) for x in node_masks(depth + 1, m % (1 << 64))]) for m in above]
+        told = distinct.sparkSession.createDataFrame(below, "mask long, more array<long>")
+        spread = full.join(F.broadcast(told), "mask").select("fp", F.explode("more").alias("mask"))
 
 
 def stars(edges: DataFrame) -> DataFrame:
