@@ -32,6 +32,20 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .samples import id_remainder
+    from .toxicity import HELD, HELD_DIVISOR, PREDICT_AT, fit_documents, score_documents
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    scored = score_documents(docs, fit_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return scored.select(
+        "doc_id",
+        (id_remainder(F.col("doc_id"), HELD_DIVISOR) == HELD).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= PREDICT_AT).cast("int").alias("predicted"),
+    )
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import HELD, HELD_DIVISOR, PREDICT_AT, fit_documents, score_documents
     from .samples import id_remainder
@@ -104,7 +118,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op4_quality": op4_quality, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op3_toxicity": op3_toxicity, "op4_quality": op4_quality, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.
