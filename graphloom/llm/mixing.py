@@ -194,3 +194,31 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int =
     taken = taken.withColumnsRenamed({"position": "_position", "start": "_start_taken"})
     joined = own.join(taken, (own["position"] == taken["_position"]) & (own["_start"] == taken["_start_taken"]), "left")
     return joined.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int = CELLS) -> DataFrame:
+    """The mix as documents: a row for each time a document is taken, columns as they are.
+
+    The last use of a source can end inside a document; that row's text is the
+    words taken, joined by single spaces, and its n_chars (where there is one)
+    their length. Documents that the mix doesn't take, and those without words, go.
+    """
+    names = docs.columns
+    key = ["doc_id", "source", "_size"]
+    same = Window.partitionBy(*key)
+    rows = docs.withColumn("_size", words(F.col("text")))
+    rows = rows.withColumn("_same", F.row_number().over(same.orderBy("text", F.to_json(F.struct(*names)))))
+    taken = mix_documents(docs, block_words, cells).withColumnRenamed("size", "_size").filter("taken > 0")
+    taken = taken.withColumn("_same", F.row_number().over(same.orderBy(F.desc("taken"))))
+    told = taken.select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate([*key, "_same"])], F.col("taken").alias("_taken"))
+    match = [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate([*key, "_same"])]
+    used = rows.join(told, match, "inner")
+    uses = used.withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")).cast("long"))))
+    left = F.col("_taken") - (F.col("_use") - 1) * F.col("_size")
+    part = left < F.col("_size")
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({_WORD})"), F.lit(1)), F.lit(1), left.cast("int")), " ")
+    uses = uses.withColumn("_cut", F.when(part, cut))
+    new = {"text": F.coalesce("_cut", "text")}
+    if "n_chars" in names:
+        new["n_chars"] = F.coalesce(F.char_length("_cut").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return uses.withColumns(new).select(*names)

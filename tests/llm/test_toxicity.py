@@ -56,12 +56,13 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS toxic", "2 AS label")
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.toxic_score for r in X.score_documents(docs, X.fit_documents(docs, none)).collect()} == {0.0}
-    clean = ["the sun is %d warm today and we walk %s" % (i, "abcdefghij"[i % 10]) for i in range(60)]
-    bad = ["you are a %s %s fool %s and %d" % ("abcdefghij"[i % 10] * 3, "really", "ghijklmnop"[i % 10] * 4, i) for i in range(40)]
-    many = spark.createDataFrame(list(enumerate(clean + bad)), "doc_id long, text string")
-    told = spark.createDataFrame([(i, int(i >= 60)) for i in range(100)] + [(None, 1), (5000, None)], "doc_id long, toxic int")
+    rng = np.random.default_rng(3)
+    plain = lambda: " ".join("".join(rng.choice(list("aeioumnt"), 4)) for _ in range(20))
+    texts = [f"{plain()} {plain()}" for _ in range(200)] + [f"{plain()} fool {plain()}" for _ in range(60)]
+    many = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    told = spark.createDataFrame([(i, int(i >= 200)) for i in range(260)] + [(None, 1), (5000, None)], "doc_id long, toxic int")
     model = X.fit_documents(many, told)
     scores = {r.doc_id: r.toxic_score for r in X.score_documents(many, model).collect()}
-    assert min(scores[i] for i in range(60, 100)) > 0.7 > max(scores[i] for i in range(60))
+    assert min(scores[i] for i in range(200, 260)) > 0.7 > max(scores[i] for i in range(200))
     assert X.score_documents(docs, model).count() == 4
     assert X.score_documents(docs.limit(0), model).count() == 0
