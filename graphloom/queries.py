@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-RUN_TS, DEFAULT_DATE = F.lit("2024-01-01T00:00:00Z"), F.lit("2024-01-01").cast("date")
+RUN_TS, DEFAULT_DATE = "2024-01-01T00:00:00Z", "2024-01-01"
 
 
 def query(sql: str | None = None):
