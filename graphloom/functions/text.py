@@ -76,9 +76,10 @@ def event_id_of(url: Column) -> Column:
 
 
 def utc_timestamp(text: Column) -> Column:
-    """The instant of an RFC 3339 text; null if it is none, which includes texts without a zone."""
+    """The instant of an RFC 3339 text; null if it is none, or has no zone. Seconds may be left out."""
     zoned = text.rlike(r"\A\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?([Zz]|[+-]\d{2}:\d{2})\z")
-    return F.when(zoned, F.try_to_timestamp(F.upper(text)))
+    seconds = F.regexp_replace(F.upper(text), r"\A(.{10}[T ]\d{2}:\d{2})(?=[Z+-])", "$1:00")
+    return F.when(zoned, seconds.try_cast("timestamp"))
 
 
 def rfc3339(instant: Column) -> Column:

@@ -29,7 +29,7 @@ EVENT_COLUMNS = (
 
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """html, group_slug, event_id and path of the .html files in folder/<group>/."""
-    pages = spark.read.option("wholetext", True).option("pathGlobFilter", "*.html").text(f"{folder}/*/")
+    pages = spark.read.option("pathGlobFilter", "*.html").text(f"{folder}/*/", wholetext=True)
     path = F.col("_metadata.file_path")
     return pages.select(
         F.col("value").alias("html"),

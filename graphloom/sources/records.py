@@ -41,13 +41,13 @@ def response_events(nodes: DataFrame) -> DataFrame:
 
 def read_event_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Event nodes of folder/<group>/*.json."""
-    pages = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(f"{folder}/*/")
+    pages = spark.read.option("pathGlobFilter", "*.json").text(f"{folder}/*/", wholetext=True)
     return event_page_rows(pages.select("value", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+\z", 1).alias("group_slug")))
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """Talk records of a folder's JSON files; `broken` marks files that are none, all of whose other columns are null."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
+    files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     return parse_records(files.select("value", F.col("_metadata.file_path").alias("path")))
 
 

@@ -23,7 +23,7 @@ def read_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of a written graph."""
     nodes = spark.read.schema(schemas.NODES).parquet(f"{folder}/nodes")
     edges = spark.read.schema(schemas.EDGES).parquet(f"{folder}/edges")
-    return nodes, edges
+    return nodes.select("id", "label", "props"), edges.select("src", "dst", "label", "props")
 
 
 def last_records(records: DataFrame) -> DataFrame:
