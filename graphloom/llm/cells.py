@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .session import not_broadcast
+
 
 def hash60(value: Column) -> Column:
     """The first 60 bits of the MD5 of a string, as a long: uniform, and the same in any engine."""
@@ -46,7 +48,7 @@ def running_start(
     inner = Window.partitionBy(*keys, cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     within = keyed.withColumn("_within", F.coalesce(F.sum("_amount").over(inner), F.lit(0)))
     return (
-        within.join(starts, [*keys, cell])
+        within.join(not_broadcast(starts), [*keys, cell])
         .withColumn(into, F.col("_start") + F.col("_within"))
         .drop(*keys, "_amount", "_start", "_within")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import cell_of, hash60, running_start
-from .session import checkpointed
+from .session import checkpointed, not_broadcast
 
 #: Fixed by the contract: weights in turn over the sources by code point, and the largest reuse.
 WEIGHTS = (5, 2, 1)
@@ -179,7 +179,7 @@ def _slot_uses(pieces: DataFrame, slots: DataFrame) -> DataFrame:
     """For each piece and each length to which its block is taken: how often (`times`), and how many of its words (`used`)."""
     uses = slots.groupBy("position", "block", "words").agg(F.count("*").alias("times"))
     used = F.least(F.col("to_word") - F.col("from_word"), F.col("words") - F.col("words_in_block"))
-    return pieces.join(uses, ["position", "block"]).withColumn("used", used).filter("used > 0")
+    return pieces.join(not_broadcast(uses), ["position", "block"]).withColumn("used", used).filter("used > 0")
 
 
 def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int = CELLS) -> DataFrame:
@@ -192,7 +192,7 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int =
     taken = _slot_uses(pieces, slots).groupBy("position", "start").agg(F.sum(F.col("used") * F.col("times")).alias("taken"))
     own = documents.withColumn("_start", F.when(F.col("size") > 0, F.col("start")))
     taken = taken.withColumnsRenamed({"position": "_position", "start": "_start_taken"})
-    joined = own.join(taken, (own["position"] == taken["_position"]) & (own["_start"] == taken["_start_taken"]), "left")
+    joined = own.join(not_broadcast(taken), (own["position"] == taken["_position"]) & (own["_start"] == taken["_start_taken"]), "left")
     return joined.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -212,7 +212,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int
     taken = taken.withColumn("_same", F.row_number().over(same.orderBy(F.desc("taken"))))
     told = taken.select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate([*key, "_same"])], F.col("taken").alias("_taken"))
     match = [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate([*key, "_same"])]
-    used = rows.join(told, match, "inner")
+    used = rows.join(not_broadcast(told), match, "inner")
     uses = used.withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")).cast("long"))))
     left = F.col("_taken") - (F.col("_use") - 1) * F.col("_size")
     part = left < F.col("_size")

@@ -19,3 +19,13 @@ def checkpointed(frame: DataFrame) -> DataFrame:
         folder = context.getConf().get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return frame.checkpoint(eager=True)
+
+
+def not_broadcast(frame: DataFrame) -> DataFrame:
+    """The frame, to be joined by shuffle and merge.
+
+    Sizes after Python code and generators are guessed from what went in, often
+    far too small; a side that grows with the input must not be broadcast on such a
+    guess.
+    """
+    return frame.hint("merge")
