@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .jpeg import decode_frame
 from .textkernels import text_slices
 
 WIDTH, HEIGHT = 64, 16
@@ -88,10 +89,9 @@ def encode_frames(samples: np.ndarray) -> list[bytes]:
 
 
 def decode_frames(files: list[bytes]) -> np.ndarray:
-    """Samples (n x HEIGHT x WIDTH) of JPEG files that encode_frames made."""
-    for f in files:
-        if not (f.startswith(_HEAD) and f.endswith(_TAIL)):
-            raise ValueError("not a lossless 64 x 16 grey frame with nine-bit differences")
+    """Grey samples (n x rows x columns) of JPEG files of one size: at once where encode_frames made them, else one by one."""
+    if not all(f.startswith(_HEAD) and f.endswith(_TAIL) for f in files):
+        return np.stack([decode_frame(f) for f in files])
     stuffed = np.frombuffer(b"".join(f[len(_HEAD) : -len(_TAIL)] for f in files), dtype=np.uint8)
     keep = np.ones(len(stuffed), dtype=bool)
     after = np.flatnonzero(stuffed == 0xFF) + 1
@@ -246,8 +246,9 @@ def read_media(media: DataFrame) -> DataFrame:
     """All columns but `media`, and what the stored bytes hold: payload, clips (array of timed shots) and frames.
 
     Also media_bytes and media_sha256 of the stored form. Frames that were filled
-    up lose the filling by the stored payload length. Files that are no such AVI
-    raise an error; null media gives nulls.
+    up lose the filling by the stored payload length; other AVI files of baseline or
+    lossless frames give all grey samples. Files that are no AVI raise an error;
+    null media gives nulls.
     """
     added = T.StructType().add("payload", T.BinaryType()).add("frames", T.IntegerType()).add("clips", T.ArrayType(_CLIP))
     kept = [c for c in media.columns if c != "media" and c not in added.names]
