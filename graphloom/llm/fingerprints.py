@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .session import checkpointed
+from .session import checkpointed, not_broadcast
 from .textkernels import shingle_hashes, text_slices
 
 SHINGLE_WORDS = 5
@@ -24,6 +24,8 @@ PERMUTATIONS = 128
 #: Bands of a fingerprint; rows of a band are PERMUTATIONS / BANDS. At similarity 0.8 a pair shares no band with odds of 1 to 40 million.
 BANDS = 32
 SIMILARITY = 0.8
+#: A pair is verified exactly if its estimate is so much below the similarity or less: four deviations.
+ESTIMATE_MARGIN = 0.15
 #: Distinct fingerprints of a band's bucket that are compared in one task; a fuller bucket is compared in pairs of blocks.
 BLOCK_MEMBERS = 1024
 #: Shingles that are permuted at once.
@@ -96,45 +98,78 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 def near_duplicate_pairs(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(membership, pairs): doc_id and class_id of each row; pairs (a, b, jaccard) of class ids, a < b.
 
-    Rows of equal fingerprint form a class, named by the fingerprint's digest, so
-    copies are not expanded. Classes that share a band's rows meet in its bucket
-    and are verified by the Jaccard estimate over all places. A full bucket is cut
-    into blocks by the classes' hashes, and each pair of blocks is one task's
-    group; only verified pairs leave a task. Texts without words form one class
-    and pair with none.
+    Rows of equal text form a class, named by the text's digest, so copies are not
+    expanded. Classes that share a band of their fingerprints meet in its bucket;
+    those whose fingerprints are alike within ESTIMATE_MARGIN are candidates, and the
+    Jaccard similarity of their shingle sets is then computed exactly. Null texts
+    count as empty; texts without words pair with none.
     """
-    own = fingerprint_documents(docs.select("doc_id", "text")).select("doc_id", "fingerprint")
-    own = checkpointed(own.withColumn("class_id", F.md5("fingerprint")))
-    classes = checkpointed(own.groupBy("class_id").agg(F.min("fingerprint").alias("fingerprint")))
+    own = fingerprint_documents(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    own = checkpointed(own.select("doc_id", F.md5("text").alias("class_id"), "fingerprint"))
+    found = checkpointed(_candidates(own.groupBy("class_id").agg(F.min("fingerprint").alias("fingerprint")), similarity - ESTIMATE_MARGIN))
+    return own.select("doc_id", "class_id"), _verified(docs, found, similarity)
+
+
+def _candidates(classes: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b), a < b, of classes that share a band and whose fingerprints' likeness is `least` or more.
+
+    A full bucket is cut into blocks by the classes' hashes, and each pair of blocks
+    is one task's group; only likely pairs leave a task.
+    """
+    classes = checkpointed(classes)
     width = 2 * PERMUTATIONS // BANDS
     empty = F.lit(_EMPTY.astype(">u2").tobytes())
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.substring("fingerprint", 1 + b * width, width).alias("rows")) for b in range(BANDS)])
     spread = classes.filter(F.col("fingerprint") != empty).select("class_id", "fingerprint", F.explode(bands).alias("_b")).select("class_id", "fingerprint", "_b.*")
     sizes = spread.groupBy("band", "rows").agg(F.count("*").alias("n")).filter("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
-    met = spread.join(sizes, ["band", "rows"]).withColumn("blocks", blocks)
+    met = spread.join(not_broadcast(sizes), ["band", "rows"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int"))
     met = met.withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("class_id", "fingerprint", "block", "band", "rows", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
-    def verified(key: tuple, table: pa.Table) -> pa.Table:
+    def likely(key: tuple, table: pa.Table) -> pa.Table:
         low, high = key[2].as_py(), key[3].as_py()
         ids = np.array(table.column("class_id").to_pylist(), dtype=object)
         places = np.frombuffer(b"".join(table.column("fingerprint").to_pylist()), dtype=">u2").reshape(len(ids), PERMUTATIONS)
         block = table.column("block").to_numpy()
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        a, b, jaccard = [], [], []
-        for i in left:
-            alike = likeness(places[i], places[right])
-            for j in np.flatnonzero(alike >= similarity):
-                if low != high or ids[i] < ids[right[j]]:
-                    a.append(min(ids[i], ids[right[j]]))
-                    b.append(max(ids[i], ids[right[j]]))
-                    jaccard.append(float(alike[j]))
-        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string()), "jaccard": pa.array(jaccard, pa.float64())})
-
-    pairs = met.groupBy("band", "rows", "low", "high").applyInArrow(verified, "a string, b string, jaccard double").distinct()
-    return own.select("doc_id", "class_id"), pairs
+        right = np.flatnonzero(block == high)
+        pairs = set()
+        for i in np.flatnonzero(block == low):
+            near = right[likeness(places[i], places[right]) >= least]
+            pairs.update((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near if ids[i] != ids[j])
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.string()), "b": pa.array([b for _, b in pairs], pa.string())})
+
+    return met.groupBy("band", "rows", "low", "high").applyInArrow(likely, "a string, b string").distinct()
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets have at least the similarity, with it. Only texts of candidates are read again, one a class."""
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select(F.md5(text).alias("class_id"), text.alias("text"))
+    wanted = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id"))).distinct()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, buf, offsets in text_slices(batch.column("text")):
+                hashes, bounds = shingle_hashes(buf, offsets, SHINGLE_WORDS)
+                own = [np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("class_id").slice(first, end - first), pa.array(own, pa.binary())], names=["class_id", "shingles"])
+
+    held = named.join(not_broadcast(wanted), "class_id", "left_semi").mapInArrow(sets, "class_id string, shingles binary")
+    held = checkpointed(held.groupBy("class_id").agg(F.first("shingles").alias("shingles")))
+    both = pairs.join(not_broadcast(held.select(F.col("class_id").alias("a"), F.col("shingles").alias("sa"))), "a")
+    both = both.join(not_broadcast(held.select(F.col("class_id").alias("b"), F.col("shingles").alias("sb"))), "b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            exact = []
+            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                exact.append(shared / (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(exact, pa.float64())], names=["a", "b", "jaccard"])
+
+    return both.mapInArrow(compare, "a string, b string, jaccard double").filter(F.col("jaccard") >= similarity)
 
 
 # --- documents against edited ones ----------------------------------------------
