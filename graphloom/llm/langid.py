@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .samples import bounded_sample, id_remainder
+from .session import on_core
 from .textkernels import text_slices
 
 UNDETERMINED = "und"
@@ -191,4 +192,5 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is identified, columns as they are; the model is fitted on the documents themselves."""
-    return identify(docs, fit_documents(docs)).filter("NOT lang_rejected").select(*docs.columns)
+    model = fit_documents(docs)
+    return on_core(docs, lambda core: identify(core, model).filter("NOT lang_rejected").select(*core.columns))

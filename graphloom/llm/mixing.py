@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cells import cell_of, hash60, running_start
-from .session import checkpointed, not_broadcast
+from .session import checkpointed, not_broadcast, on_core
 
 #: Fixed by the contract: weights in turn over the sources by code point, and the largest reuse.
 WEIGHTS = (5, 2, 1)
@@ -203,6 +203,10 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int
     words taken, joined by single spaces, and its n_chars (where there is one)
     their length. Documents that the mix doesn't take, and those without words, go.
     """
+    return on_core(docs, lambda core: _mixed_documents(core, block_words, cells))
+
+
+def _mixed_documents(docs: DataFrame, block_words: int, cells: int) -> DataFrame:
     names = docs.columns
     key = ["doc_id", "source", "_size"]
     same = Window.partitionBy(*key)

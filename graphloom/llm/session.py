@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
@@ -29,3 +31,17 @@ def not_broadcast(frame: DataFrame) -> DataFrame:
     guess.
     """
     return frame.hint("merge")
+
+
+#: Columns of documents that operators read or change.
+CORE = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def on_core(docs: DataFrame, operate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """operate(docs), with all columns but CORE packed away meanwhile, so that no name of theirs can clash."""
+    others = [c for c in docs.columns if c not in CORE]
+    if not others:
+        return operate(docs)
+    packed = docs.select(*[c for c in docs.columns if c in CORE], F.struct(*[F.col(f"`{c}`") for c in others]).alias("_others"))
+    done = operate(packed)
+    return done.select(*[F.col(c) if c in CORE else F.col("_others")[c].alias(c) for c in docs.columns])

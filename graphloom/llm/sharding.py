@@ -123,8 +123,17 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.0, c
     Shards hold contiguous runs of the key order, of near-equal bytes (the text's
     UTF-8 bytes plus 16 for each row). Null texts and ids, empty texts and
     repeated rows are kept like any other; an empty table gives no row. Other
-    columns pass through; names beginning with an underscore are reserved.
+    columns pass through, but own ones named shard or slot, which are replaced.
     """
+    kept = docs.select(*[c for c in docs.columns if c not in ("shard", "slot")])
+    names = [F.col(f"`{c}`") for c in kept.columns if c not in ("doc_id", "text")]
+    packed = kept.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *names).alias("_others"))
+    done = _shard_documents(packed, shards, tolerance, cells)
+    back = [F.col(c) if c in ("doc_id", "text") else F.col("_others")[c].alias(c) for c in kept.columns]
+    return done.select(*back, "shard", "slot")
+
+
+def _shard_documents(docs: DataFrame, shards: int, tolerance: float, cells: int) -> DataFrame:
     bounds = splitters(checkpointed(keyed(docs).select("_size", "_k1", "_k2")), shards, tolerance)
     shard = F.lit(0)
     for k1, k2 in bounds:

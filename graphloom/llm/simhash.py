@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .session import checkpointed
+from .session import checkpointed, on_core
 
 #: Fixed by the contract.
 SHINGLE_WORDS = 3
@@ -349,8 +349,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one of each component kept: that of the least doc_id.
 
     Where several rows could stay (repeated ids, or ids that are all null), the
-    first by text, then by the other columns as JSON, stays.
+    first by text, then by the other columns as JSON, stays. Columns stay as they are.
     """
+    return on_core(docs, _keep_one)
+
+
+def _keep_one(docs: DataFrame) -> DataFrame:
     own = checkpointed(fingerprints(docs))
     classes = checkpointed(_classes(own))
     kept = own.join(classes, "fp").filter("doc_id = component_id").select("doc_id").distinct()

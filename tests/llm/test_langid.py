@@ -32,6 +32,6 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'own' AS lang_pred")
     kept = L.keep_identified(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 1, 4]
+    assert sorted((r.doc_id, r.lang_pred) for r in kept.collect()) == [(1, "own"), (1, "own"), (4, "own")]
     assert L.identify(docs.limit(0), None).count() == 0
     assert {r.lang_pred for r in L.identify(docs, None).collect()} == {"und"}

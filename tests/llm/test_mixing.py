@@ -72,6 +72,9 @@ def test_mixed_documents(spark, table):
     taken = {}
     for r in M.mix_documents(docs, 16, 4).collect():
         taken[r.source] = taken.get(r.source, 0) + r.taken
+    clash = docs.selectExpr("*", "1 AS _size", "2 AS taken", "3 AS position", "4 AS size")
+    out = M.mixed_documents(clash, 16, 4)
+    assert out.columns == clash.columns and {(r._size, r.taken, r.position, r.size) for r in out.collect()} == {(1, 2, 3, 4)}
     out = M.mixed_documents(docs, 16, 4)
     assert out.schema.names == docs.schema.names
     words = {}

@@ -26,7 +26,8 @@ ROWS += [(None, None), (5000, None), (5001, ""), (None, "é" * 4000)]
 
 @pytest.mark.parametrize("shards,cells", [(7, 4), (40, 1024)])
 def test_equal_to_running_sums(spark, shards, cells):
-    docs = spark.createDataFrame(ROWS, "doc_id long, text string").selectExpr("*", "'x' AS source")
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string").selectExpr("*", "'x' AS source", "1 AS _cell", "2 AS slot", "3 AS size")
+    assert H.shard_documents(docs, 2).columns == ["doc_id", "text", "source", "_cell", "size", "shard", "slot"]
     got = H.shard_documents(docs, shards, cells=cells).collect()
     assert sorted((str(r.doc_id), str(r.text), r.shard) for r in got) == sorted((str(a), str(b), s) for (a, b), s in plain(ROWS, shards))
     by_shard = {}

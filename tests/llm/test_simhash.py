@@ -84,7 +84,7 @@ def _with_limit(full):
 
 def test_odd_rows(spark):
     rows = [(5, None), (None, ""), (3, " \n"), (3, " \n"), (None, "only this one"), (9, "some other words"), (8, "some Other words")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS fp", "1 AS component_id")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS fp", "1 AS component_id", "2 AS _row", "3 AS root")
     got = sorted(((r.doc_id, r.component_id) for r in S.near_duplicates(docs).collect()), key=str)
     assert got == sorted([(5, 3), (None, 3), (3, 3), (3, 3), (None, None), (9, 8), (8, 8)], key=str)
     kept = S.keep_one(docs)
