@@ -40,7 +40,7 @@ NODE_MEMBERS = 4096
 #: Members and child nodes of an index node.
 FAN_OUT = 8
 #: (query, node) pairs that a search holds at once.
-FRONTIER = 1 << 20
+FRONTIER = 1 << 17
 
 #: Bytes of a text whose words are held at once.
 RUN_BYTES = 1 << 20
