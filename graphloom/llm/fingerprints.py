@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,6 +175,22 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
 # --- documents against edited ones ----------------------------------------------
 
 
+def _longs(values: list[int]) -> Column:
+    """A constant array, as one literal however long it is."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _cuts_above(value: Column, cuts: list[int]) -> Column:
+    """How many of the falling cuts are greater than a value, by two searches of about a root of their number."""
+    if not cuts:
+        return F.lit(0)
+    run = round(len(cuts) ** 0.5) or 1
+    last_of_runs = cuts[run - 1 :: run]
+    greater = lambda among: F.size(F.filter(among, lambda c: c > value))
+    whole = greater(_longs(last_of_runs)) * run if last_of_runs else F.lit(0)
+    return whole + greater(F.slice(_longs(cuts), whole + 1, F.lit(run)))
+
+
 def ring(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Rows dealt to partitions by descending doc_id, each followed by the row that comes next.
 
@@ -188,19 +204,16 @@ def ring(docs: DataFrame, parts: int | None = None) -> DataFrame:
     ids = docs.select("doc_id").filter("doc_id IS NOT NULL")
     cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
     cuts = sorted(set(cuts), reverse=True)
-    part = F.lit(0)
-    for cut in cuts:
-        part = part + F.when(F.col("doc_id") < cut, 1).otherwise(0)
-    part = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(part).cast("int")
+    part = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(_cuts_above(F.col("doc_id"), cuts)).cast("int")
     heads = docs.select("doc_id").withColumn("_part", part).groupBy("_part").agg(F.max("doc_id").alias("head")).orderBy("_part").collect()
     if not heads:
         return docs.withColumn("_part", F.lit(0)).withColumn("_ghost", F.lit(False))
     parts_there = [h["_part"] for h in heads]
     ghost_part = dict(zip(parts_there, [parts_there[-1], *parts_there[:-1]], strict=True))
-    ghost_of = F.array(*[F.lit(ghost_part.get(p, 0)) for p in range(len(cuts) + 1)])
+    ghost_of = _longs([ghost_part.get(p, 0) for p in range(len(cuts) + 1)])
     is_head = F.coalesce(F.col("doc_id").isin([h["head"] for h in heads if h["head"] is not None]), F.lit(heads[-1]["head"] is None))
     own = F.struct(F.col("_own").alias("_part"), F.lit(False).alias("_ghost"))
-    ghost = F.struct(F.get(ghost_of, F.col("_own")).alias("_part"), F.lit(True).alias("_ghost"))
+    ghost = F.struct(F.get(ghost_of, F.col("_own")).cast("int").alias("_part"), F.lit(True).alias("_ghost"))
     targets = F.when(is_head, F.array(own, ghost)).otherwise(F.array(own))
     spread = docs.withColumn("_own", part).withColumn("_to", F.explode(targets)).select(*docs.columns, "_to.*")
     order = ["_part", "_ghost", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text")]
