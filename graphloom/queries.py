@@ -104,7 +104,8 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _seeds(spark: SparkSession, *keys: int) -> DataFrame:
-    return spark.createDataFrame([(f"speaker:{k}",) for k in keys], "speaker string")
+    """Seed speakers as constants, whose size Catalyst knows, so that it broadcasts them by itself."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(f"speaker:{k}") for k in keys])).alias("speaker"))
 
 
 def _event_rows(spark: SparkSession, d: str) -> DataFrame:
