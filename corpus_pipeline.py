@@ -12,27 +12,31 @@ from graphloom.llm.langid import keep_identified
 from graphloom.llm.mixing import mixed_documents
 from graphloom.llm.pii import redact_documents
 from graphloom.llm.sentencepiece_bpe import encode_decode
-from graphloom.llm.session import checkpointed
+from graphloom.llm.session import bounded_batches, checkpointed
 from graphloom.llm.simhash import keep_one
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified."""
+    bounded_batches(spark)
     return keep_identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
+    bounded_batches(spark)
     return keep_one(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
+    bounded_batches(spark)
     return redact_documents(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
+    bounded_batches(spark)
     return mixed_documents(docs)
 
 
@@ -40,6 +44,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document (comma-joined), their number, and digests of the ids and of the decoded text."""
     import public_tokenizers
 
+    bounded_batches(spark)
     found = encode_decode(docs.select("doc_id", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
     told = found.withColumn("token_ids", F.array_join(F.col("ids").cast("array<string>"), ","))
     return told.select(

@@ -23,6 +23,24 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+#: Bytes of rows that go to a Python worker at once; long texts count, not rows.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches in this session, unless they are bounded lower already.
+
+    A batch stands in the JVM, in Arrow and in the worker at the same time, for
+    each task of an executor.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, "64MB").lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    size = int(now[:-1]) * units[now[-1]] if now[-1:] in units else int(now)
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def not_broadcast(frame: DataFrame) -> DataFrame:
     """The frame, to be joined by shuffle and merge.
 
