@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,17 @@ def read_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return nodes.select("id", "label", "props"), edges.select("src", "dst", "label", "props")
 
 
+def kept(frame: DataFrame) -> DataFrame:
+    """The frame, computed once: a checkpoint in the folder of spark.checkpoint.dir, which outlives lost executors.
+
+    Only where that setting is absent, as in local tests, a new temporary folder is used.
+    """
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return frame.checkpoint()
+
+
 def last_records(records: DataFrame) -> DataFrame:
     """One record per id: that of the last run_ts, then source_file; a later write replaces an earlier one."""
     others = [c for c in records.columns if c != "id"]
