@@ -40,7 +40,11 @@ _EMPTY = np.full(PERMUTATIONS, 0xFFFF, dtype=np.uint16)
 
 
 def signatures(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Fingerprints (rows x PERMUTATIONS, the upper 16 bits of each minimum) of the texts in a flat buffer."""
+    """Fingerprints (rows x PERMUTATIONS, the lower 16 bits of each minimum) of the texts in a flat buffer.
+
+    A minimum shrinks with the number of shingles, so its upper bits tell long texts
+    apart no more; its lower bits stay even.
+    """
     hashes, bounds = shingle_hashes(buf, offsets, SHINGLE_WORDS)
     values = (hashes >> np.uint64(32)).astype(np.uint32)
     out = np.full((len(offsets) - 1, PERMUTATIONS), 0xFFFFFFFF, dtype=np.uint32)
@@ -52,7 +56,7 @@ def signatures(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             np.multiply(x[:, None], _A, out=part)
             part += _B
             np.minimum(out[i], part.min(axis=0), out=out[i])
-    short = (out >> np.uint32(16)).astype(np.uint16)
+    short = (out & np.uint32(0xFFFF)).astype(np.uint16)
     short[np.diff(bounds) > 0] = np.minimum(short[np.diff(bounds) > 0], 0xFFFE)
     return short
 

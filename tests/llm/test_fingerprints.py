@@ -70,3 +70,13 @@ def test_near_duplicate_pairs_keep_every_link(spark, monkeypatch):
             assert (key in found) == (exact >= 0.8)
             assert abs(found.get(key, exact) - exact) < 1e-12
     assert found
+
+
+@pytest.mark.parametrize("words", [20_000, 200_000])
+def test_long_unrelated_texts_are_unlike(words):
+    texts = [" ".join(f"{name}{i}" for i in range(words)) for name in "ab"]
+    texts.append(M.edited(*texts))
+    a, b, changed = M.text_signatures(texts)
+    assert M.likeness(a, b) < 0.03
+    exact = jaccard(texts[0], texts[2])
+    assert abs(M.likeness(a, changed) - exact) < 0.18
