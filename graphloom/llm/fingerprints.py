@@ -8,15 +8,17 @@ estimates the Jaccard similarity of their shingle sets.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .session import checkpointed, not_broadcast
+from .session import not_broadcast, settled
 from .textkernels import shingle_hashes, text_slices
 
 SHINGLE_WORDS = 5
@@ -24,10 +26,10 @@ PERMUTATIONS = 128
 #: Bands of a fingerprint; rows of a band are PERMUTATIONS / BANDS. At similarity 0.8 a pair shares no band with odds of 1 to 40 million.
 BANDS = 32
 SIMILARITY = 0.8
-#: A pair is verified exactly if its estimate is so much below the similarity or less: four deviations.
-ESTIMATE_MARGIN = 0.15
-#: Distinct fingerprints of a band's bucket that are compared in one task; a fuller bucket is compared in pairs of blocks.
+#: Classes of a leader that are compared in one task; more are compared in pairs of blocks.
 BLOCK_MEMBERS = 1024
+#: Bits of the filter that spares the exchange of texts without candidates; a smaller one lets more through and loses none.
+FILTER_BITS = 1 << 26
 #: Shingles that are permuted at once.
 SHINGLES_AT_ONCE = 2048
 
@@ -98,82 +100,133 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
 # --- near-duplicate pairs -----------------------------------------------------
 
+def _class() -> Column:
+    return F.md5(F.coalesce("text", F.lit("")))
+
 
 def near_duplicate_pairs(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(membership, pairs): doc_id and class_id of each row; pairs (a, b, jaccard) of class ids, a < b.
 
     Rows of equal text form a class, named by the text's digest, so copies are not
-    expanded. Classes that share a band of their fingerprints meet in its bucket;
-    those whose fingerprints are alike within ESTIMATE_MARGIN are candidates, and the
-    Jaccard similarity of their shingle sets is then computed exactly. Null texts
-    count as empty; texts without words pair with none.
+    expanded. Classes that share a band of their fingerprints meet, and the Jaccard
+    similarity of their shingle sets is computed exactly. Null texts count as empty;
+    texts without words pair with none.
     """
-    own = fingerprint_documents(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    own = checkpointed(own.select("doc_id", F.md5("text").alias("class_id"), "fingerprint"))
-    found = checkpointed(_candidates(own.groupBy("class_id").agg(F.min("fingerprint").alias("fingerprint")), similarity - ESTIMATE_MARGIN))
-    return own.select("doc_id", "class_id"), _verified(docs, found, similarity)
 
+    def pairs(ids: np.ndarray, left: int, right: np.ndarray, likeness: np.ndarray, out: dict[str, list]) -> None:
+        for j, jaccard in zip(right, likeness, strict=True):
+            out["a"].append(min(ids[left], ids[j]))
+            out["b"].append(max(ids[left], ids[j]))
+            out["jaccard"].append(jaccard)
+
+    return docs.select("doc_id", _class().alias("class_id")), _verified(docs, similarity, pairs, "a string, b string, jaccard double")
+
+
+def near_duplicate_links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(class_id, n_links) of the classes with a verified link: to how many others. As near_duplicate_pairs, but no row a pair is made."""
+
+    def ends(ids: np.ndarray, left: int, right: np.ndarray, _: np.ndarray, out: dict[str, list]) -> None:
+        counts = out.setdefault("", Counter())
+        counts[ids[left]] += len(right)
+        counts.update(ids[right])
+
+    return _verified(docs, similarity, ends, "class_id string, n_links long").groupBy("class_id").agg(F.sum("n_links").alias("n_links"))
 
-def _candidates(classes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b), a < b, of classes that share a band and whose fingerprints' likeness is `least` or more.
 
-    A full bucket is cut into blocks by the classes' hashes, and each pair of blocks
-    is one task's group; only likely pairs leave a task.
+def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with words: class_id and the bytes of all places."""
+    for batch in batches:
+        for first, end, buf, offsets in text_slices(batch.column("text")):
+            found = signatures(buf, offsets)
+            part = batch.slice(first, end - first)
+            rows = pa.RecordBatch.from_arrays([part.column("class_id"), pa.array([s.astype(">u2").tobytes() for s in found], pa.binary())], names=["class_id", "fingerprint"])
+            yield rows.filter(pa.array((found != _EMPTY).any(axis=1)))
+
+
+def _leaders(docs: DataFrame) -> DataFrame:
+    """(c, leaders): of each class that shares a band with another, the least classes of its bands' buckets; c is the class's 64-bit hash.
+
+    Two classes of one bucket have its leader in common, so they meet there; the
+    classes of a near group mostly share few leaders, unlike buckets.
     """
-    classes = checkpointed(classes)
     width = 2 * PERMUTATIONS // BANDS
-    empty = F.lit(_EMPTY.astype(">u2").tobytes())
-    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.substring("fingerprint", 1 + b * width, width).alias("rows")) for b in range(BANDS)])
-    spread = classes.filter(F.col("fingerprint") != empty).select("class_id", "fingerprint", F.explode(bands).alias("_b")).select("class_id", "fingerprint", "_b.*")
-    sizes = spread.groupBy("band", "rows").agg(F.count("*").alias("n")).filter("n > 1")
-    met = spread.join(not_broadcast(sizes), ["band", "rows"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int"))
-    met = met.withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("class_id", "fingerprint", "block", "band", "rows", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-
-    def likely(key: tuple, table: pa.Table) -> pa.Table:
-        low, high = key[2].as_py(), key[3].as_py()
-        ids = np.array(table.column("class_id").to_pylist(), dtype=object)
-        places = np.frombuffer(b"".join(table.column("fingerprint").to_pylist()), dtype=">u2").reshape(len(ids), PERMUTATIONS)
-        block = table.column("block").to_numpy()
-        right = np.flatnonzero(block == high)
-        pairs = set()
-        for i in np.flatnonzero(block == low):
-            near = right[likeness(places[i], places[right]) >= least]
-            pairs.update((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near if ids[i] != ids[j])
-        return pa.table({"a": pa.array([a for a, _ in pairs], pa.string()), "b": pa.array([b for _, b in pairs], pa.string())})
+    classes = docs.select(_class().alias("class_id"), "text").mapInArrow(_band_keys, "class_id string, fingerprint binary")
+    classes = classes.groupBy("class_id").agg(F.min("fingerprint").alias("fingerprint"))
+    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("fingerprint", 1 + b * width, width)) for b in range(BANDS)])
+    bucket = Window.partitionBy("key")
+    spread = classes.select(F.xxhash64("class_id").alias("c"), F.explode(keys).alias("key"))
+    met = spread.select("c", F.min("c").over(bucket).alias("leader"), F.max("c").over(bucket).alias("_last")).filter("leader <> _last")
+    return met.groupBy("c").agg(F.array_sort(F.collect_set("leader")).alias("leaders"))
 
-    return met.groupBy("band", "rows", "low", "high").applyInArrow(likely, "a string, b string").distinct()
 
+def _held_by(members: DataFrame) -> Callable[[Column], Column]:
+    """A test of 64-bit hashes that all members pass and few others: one bit a member, FILTER_BITS at most, so texts of others need no exchange."""
+    bit = F.pmod(F.col("c"), F.lit(FILTER_BITS))
+    words = members.select((bit / 64).cast("int").alias("word"), (bit % 64).cast("int").alias("at"))
+    told = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits")).toArrow()
+    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    table[told.column("word").to_numpy()] = told.column("bits").to_numpy()
+    shared = members.sparkSession.sparkContext.broadcast(table)
 
-def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets have at least the similarity, with it. Only texts of candidates are read again, one a class."""
-    text = F.coalesce("text", F.lit(""))
-    named = docs.select(F.md5(text).alias("class_id"), text.alias("text"))
-    wanted = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id"))).distinct()
+    @F.arrow_udf("boolean")
+    def held(c: pa.Array) -> pa.Array:
+        at = np.mod(c.to_numpy(zero_copy_only=False), FILTER_BITS)
+        return pa.array((shared.value[at // 64] >> (at % 64)) & 1 == 1)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, end, buf, offsets in text_slices(batch.column("text")):
-                hashes, bounds = shingle_hashes(buf, offsets, SHINGLE_WORDS)
-                own = [np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("class_id").slice(first, end - first), pa.array(own, pa.binary())], names=["class_id", "shingles"])
+    return held
 
-    held = named.join(not_broadcast(wanted), "class_id", "left_semi").mapInArrow(sets, "class_id string, shingles binary")
-    held = checkpointed(held.groupBy("class_id").agg(F.first("shingles").alias("shingles")))
-    both = pairs.join(not_broadcast(held.select(F.col("class_id").alias("a"), F.col("shingles").alias("sa"))), "a")
-    both = both.join(not_broadcast(held.select(F.col("class_id").alias("b"), F.col("shingles").alias("sb"))), "b")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            exact = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                exact.append(shared / (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(exact, pa.float64())], names=["a", "b", "jaccard"])
+def _verified(docs: DataFrame, similarity: float, tell: Callable, schema: str) -> DataFrame:
+    """What `tell` makes of the pairs of classes that share a leader and whose shingle sets have at least the similarity.
 
-    return both.mapInArrow(compare, "a string, b string, jaccard double").filter(F.col("jaccard") >= similarity)
+    A full leader's classes are cut into blocks by hash, and each pair of blocks is
+    one task's group. A pair counts at its least common leader only.
+    """
+    members = settled(_leaders(docs))
+    named = docs.select(_class().alias("class_id"), "text").withColumn("c", F.xxhash64("class_id"))
+    texts = named.filter(_held_by(members)(F.col("c"))).groupBy("class_id", "c").agg(F.first("text").alias("text"))
+    sizes = members.select(F.explode("leaders").alias("leader")).groupBy("leader").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).cast("int").alias("blocks"))
+    at = members.select("*", F.explode("leaders").alias("leader")).join(not_broadcast(sizes), "leader")
+    at = at.withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+    at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    at = at.select("c", "leaders", "leader", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    met = texts.join(not_broadcast(at), "c").drop("c")
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        leader, low, high = (k.as_py() for k in key)
+        ids = np.array(table.column("class_id").to_pylist(), dtype=object)
+        leaders = [frozenset(v) for v in table.column("leaders").to_pylist()]
+        block = table.column("block").to_numpy()
+        sets = []
+        for _, _, buf, offsets in text_slices(table.column("text")):
+            hashes, bounds = shingle_hashes(buf, offsets, SHINGLE_WORDS)
+            sets += [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        sizes = np.array([len(s) for s in sets])
+        right = np.flatnonzero(block == high)
+        flat, places = np.unique(np.concatenate(sets), return_inverse=True)
+        mine = np.split(places, np.cumsum(sizes)[:-1])
+        others = np.concatenate([mine[j] for j in right]) if len(right) else places[:0]
+        starts = np.concatenate([[0], np.cumsum(sizes[right])[:-1]]).astype(np.int64) if len(right) else None
+        out: dict[str, list] = {n: [] for n in names}
+        present = np.zeros(len(flat), dtype=np.int64)
+        for i in np.flatnonzero(block == low) if len(right) else ():
+            present[mine[i]] = 1
+            shared = np.add.reduceat(present[others], starts)
+            present[mine[i]] = 0
+            jaccard = shared / (sizes[i] + sizes[right] - shared)
+            near = jaccard >= similarity
+            near &= (right > i) if low == high else (right != i)
+            near[near] = [min(leaders[i] & leaders[j]) == leader for j in right[near]]
+            if near.any():
+                tell(ids, i, right[near], jaccard[near], out)
+        if "" in out:
+            counts = out.pop("")
+            out = dict(zip(names, (list(counts), list(counts.values())), strict=True))
+        kinds = {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}
+        return pa.table({f.split()[0]: pa.array(out[f.split()[0]], kinds[f.split()[1]]) for f in schema.split(", ")})
+
+    return met.groupBy("leader", "low", "high").applyInArrow(compare, schema)
 
 
 # --- documents against edited ones ----------------------------------------------
@@ -230,23 +283,37 @@ _EDITED = (
 )
 
 
+_LINKED = (("class_id", T.StringType()), ("n_links", T.LongType()))
+
+
 def edited(text: str, following: str) -> str:
     """The text with its last third of code points (rounded down) replaced by the first as many, or all, of the following one."""
     k = len(text) // 3
     return text[: len(text) - k] + following[:k]
 
 
-def compare_with_edited(docs: DataFrame, parts: int | None = None) -> DataFrame:
+def compare_with_edited(docs: DataFrame, parts: int | None = None, links: DataFrame | None = None) -> DataFrame:
     """Each document's fingerprint against its edited text's and the next document's.
 
+    With links (of near_duplicate_links), each row also has its class_id and n_links.
+    They travel as notes, rows without text before those they tell of, since a join
+    would exchange texts or fingerprints once more.
+
     The next document is that of the next lower doc_id (after the least: of the
     greatest); rows with one id follow each other by text, null ids come last, and
     a lone row follows itself. Null texts count as empty. An empty table gives no row.
     """
+    linked = links is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple | None = None  # the row before: id, text, fingerprint, whether it is a ghost
+        known: dict[str, int] = {}
         for batch in batches:
+            if linked:
+                is_note = batch.column("n_links").is_valid()
+                notes = batch.filter(is_note)
+                known.update(zip(notes.column("class_id").to_pylist(), notes.column("n_links").to_pylist(), strict=True))
+                batch = batch.filter(pa.compute.invert(is_note))
             for first, end, buf, offsets in text_slices(batch.column("text")):
                 part = batch.slice(first, end - first)
                 texts = [t or "" for t in part.column("text").to_pylist()]
@@ -269,7 +336,16 @@ def compare_with_edited(docs: DataFrame, parts: int | None = None) -> DataFrame:
                     pa.array(likeness(mine, new), pa.float64()),
                     pa.array(likeness(mine, following), pa.float64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(n for n, _ in _EDITED)])
-
-    schema = T.StructType([docs.schema["doc_id"], *(T.StructField(n, t) for n, t in _EDITED)])
-    return ring(docs.select("doc_id", "text"), parts).mapInArrow(run, schema)
+                if linked:
+                    classes = [hashlib.md5(a[1].encode("utf-8", "surrogatepass")).hexdigest() for a, _ in pairs]
+                    columns += [pa.array(classes, pa.string()), pa.array([known.get(c, 0) for c in classes], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *(n for n, _ in told)])
+
+    told = _EDITED + _LINKED if linked else _EDITED
+    schema = T.StructType([docs.schema["doc_id"], *(T.StructField(n, t) for n, t in told)])
+    rows = docs.select("doc_id", "text")
+    if linked:
+        notes = docs.select("doc_id", _class().alias("class_id")).distinct().join(not_broadcast(links), "class_id")
+        notes = settled(notes.select("doc_id", "class_id", "n_links"))
+        rows = rows.unionByName(notes, allowMissingColumns=True)
+    return ring(rows, parts).mapInArrow(run, schema)

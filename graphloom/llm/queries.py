@@ -16,9 +16,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .fingerprints import compare_with_edited
+    from .fingerprints import compare_with_edited, near_duplicate_links
 
-    return compare_with_edited(_documents(spark, sf_dir))
+    docs = _documents(spark, sf_dir)
+    return compare_with_edited(docs, links=near_duplicate_links(docs))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,17 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def settled(frame: DataFrame) -> DataFrame:
+    """As checkpointed; what the frame's own run has exchanged is deleted at its end, not when the driver next collects its garbage."""
+    conf, key = frame.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return checkpointed(frame.select("*"))
+    finally:
+        conf.set(key, before)
+
+
 #: Bytes of rows that go to a Python worker at once; long texts count, not rows.
 BATCH_BYTES = 16 << 20
 

@@ -80,3 +80,29 @@ def test_long_unrelated_texts_are_unlike(words):
     assert M.likeness(a, b) < 0.03
     exact = jaccard(texts[0], texts[2])
     assert abs(M.likeness(a, changed) - exact) < 0.18
+
+
+def test_query_tells_verified_links(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    of = {t: shingles(t) for t in set(texts.values())}
+    links = dict.fromkeys(of, 0)
+    for a, b in itertools.combinations(of, 2):
+        if of[a] & of[b] and len(of[a] & of[b]) >= 0.8 * len(of[a] | of[b]):
+            links[a] += 1
+            links[b] += 1
+    got = queries()["op1_fingerprints"](spark, sf_dir).select("doc_id", "class_id", "n_links").collect()
+    assert {(r.doc_id, r.class_id, r.n_links) for r in got} == {(d, hashlib.md5(t.encode()).hexdigest(), links[t]) for d, t in texts.items()}
+    assert any(links.values())
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_links_reach_rows_of_odd_ids(spark, parts, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_MEMBERS", 3)
+    base = " ".join(f"w{i}" for i in range(100))
+    texts = [base + " " + "x" * i for i in range(1, 9)]
+    rows = [*enumerate(texts), (None, texts[0]), (3, texts[5]), (3, None), (None, None), (4, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = M.compare_with_edited(docs, parts, M.near_duplicate_links(docs)).collect()
+    told = [(str(r.doc_id), r.class_id, r.n_links) for r in got]
+    assert sorted(told) == sorted((str(d), hashlib.md5((t or "").encode()).hexdigest(), 7 * (t in texts)) for d, t in rows)
