@@ -54,6 +54,19 @@ _AGAINST = {
 }
 
 
+#: Characters of an IBAN by country.
+_IBAN_LENGTHS = {
+    code: n
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for code in codes.split()
+}
+
+
 class Span(NamedTuple):
     kind: str
     start: int
@@ -78,6 +91,27 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Confirmed (start, end). A run may go on into the words after an IBAN, so an end before is looked for.
+
+    The length of the country counts first, then the whole run; where the country is
+    unknown, each word end from the last. What follows a kept span, or a head without
+    one, is looked at anew.
+    """
+    at = 0
+    while m := _IBAN.search(text, at):
+        run = m[0]
+        ends = [i for i in range(len(run), 0, -1) if run[i - 1] != " " and (i == len(run) or run[i] == " ")]
+        known = _IBAN_LENGTHS.get(run[:2])
+        if known:
+            ends = [i for i in ends if i - run.count(" ", 0, i) == known] + [len(run)]
+        bare = ((i, run[:i].replace(" ", "")) for i in ends)
+        end = next((i for i, b in bare if len(b) >= 15 and mod97(b)), None)
+        if end:
+            yield m.start(), m.start() + end
+        at = m.start() + (end or 1)
+
+
 def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
     """Confirmed (kind, start, end), by kind as listed, then start."""
     if "@" in text:
@@ -101,9 +135,8 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PHONE.finditer(text):
             if 9 <= len(_NOT_DIGIT.sub("", m[0])) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", m.start(), m.end()
+    for start, end in _ibans(text):
+        yield "iban", start, end
 
 
 def find_spans(text: str | None) -> list[Span]:

@@ -47,6 +47,24 @@ def test_checksums_and_context():
     assert with_word > find_spans("thing 4111111111111111")[0].score > find_spans("order 4111111111111111")[0].score
 
 
+def test_ibans_before_upper_case_words_and_digits():
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+    unknown = "XX12 ABCD 1234 5678 9012"
+    check = 98 - int("".join(str(int(c, 36)) for c in unknown[4:].replace(" ", "") + "XX00")) % 97
+    unknown = f"XX{check:02d}{unknown[4:]}"
+    for text, wanted in {
+        f"IBAN {de} BIC COBADEFFXXX": [de],
+        f"{gb} EUR 500": [gb],
+        f"{de} 12 {gb} {no} A1": [de, gb, no],
+        f"REF AB12 {de} X": [de],
+        f"{unknown} EUR 500": [unknown],
+        f"x{de} {de}x {de}": [de],
+        f"{de[:-1]}1 BIC COBADEFFXXX": [],
+    }.items():
+        assert [text[s.start : s.end] for s in find_spans(text) if s.kind == "iban"] == wanted, text
+    assert redacted(f"IBAN {de} BIC COBADEFFXXX") == "IBAN [IBAN] BIC COBADEFFXXX"
+
+
 def test_redaction():
     assert redacted("to a@b.cc, at 10.1.2.3") == "to [EMAIL], at [IP]"
     assert redacted("none") == "none"
