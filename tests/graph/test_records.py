@@ -172,3 +172,12 @@ def test_scalars(spark):
     assert one("x" + "é" * 600, X.single_talk_abstract) == "x" + "é" * 499
     assert one("a/b/c.d.html", X.file_stem) == "c.d" and one("abc", X.file_stem) is None
     assert one("x", lambda c: X.group_display_name(c, {"x": "X"})) == "X" and one("y", lambda c: X.group_display_name(c, {})) == "y"
+
+
+def test_candidates_by_frequent_tokens_only(spark):
+    n = 2500
+    catalog = spark.range(n).selectExpr("concat('graph-', id) AS name", "concat('o/graph-', id) AS full_name", "id AS stars")
+    projects = spark.createDataFrame([("p:1", "Graph"), ("p:2", "graph 7"), ("p:3", "other")], "id string, name string")
+    found = enrich.catalog_candidates(projects, catalog)
+    assert found.columns == ["project_nid", "project_name", "name", "full_name", "stars"]
+    assert {(r.project_nid, r.n) for r in found.groupBy("project_nid").agg(F.count("*").alias("n")).collect()} == {("p:1", n), ("p:2", n)}
