@@ -3,26 +3,54 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The frame, computed once and kept in the folder of spark.checkpoint.dir.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, set for this context if it isn't yet.
 
-    Files there outlive lost executors. Only where the setting is absent, as in
-    local tests, a new temporary folder is used.
+    Only a local master, where driver and tasks share their disk, gets a new
+    temporary folder if the setting is absent; elsewhere that is an error.
     """
-    spark: SparkSession = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        if folder is None:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The frame, computed once and kept in the checkpoint folder, so that it outlives lost executors.
+
+    With spark.cleaner.referenceTracking.cleanCheckpoints its files go when the
+    driver no longer refers to it.
+    """
+    checkpoint_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
 
 
+def stored(frame: DataFrame) -> tuple[DataFrame, str]:
+    """The frame as a Parquet table in the checkpoint folder, read back, and the table's path, for forget()."""
+    spark = frame.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a stored table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settled(frame: DataFrame) -> DataFrame:
     """As checkpointed; what the frame's own run has exchanged is deleted at its end, not when the driver next collects its garbage."""
     conf, key = frame.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -42,7 +70,9 @@ def bounded_batches(spark: SparkSession) -> None:
     """Bound the bytes of Arrow batches in this session, unless they are bounded lower already.
 
     A batch stands in the JVM, in Arrow and in the worker at the same time, for
-    each task of an executor.
+    each task of an executor. Spark has this bound for a session only, so it holds
+    for later queries too; no result depends on it. Operators leave it alone: only
+    the registered queries and the pipeline call this.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key, "64MB").lower().rstrip("b")
