@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import hash60
 
+#: Labels that a sample tells apart, the most frequent ones.
+LABELS = 4000
+
 
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo divisor; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def bounded_sample(rows: DataFrame, label: str, per_label: int, most: int) -> DataFrame:
-    """At most per_label rows of each label, and about `most` in all, those of the least hashed doc_id.
+def sample_hash(*key: str) -> Column:
+    """A 60-bit hash of the columns, the same in every run."""
+    return hash60(F.concat(F.lit("sample:"), F.xxhash64(*key).cast("string")))
+
+
+def bounded_sample(rows: DataFrame, label: str, per_label: int, most: int, key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """About per_label rows of each label, and about `most` in all: those whose hashed key is least.
 
-    Labels are counted over all rows; a hash bound per label then leaves a few
-    times what is wanted, and only these rows are ranked.
+    Labels are counted over all rows, and a hash bound per label leaves about what
+    is wanted, so nothing is ranked or gathered by label. Rows of one label and key
+    count once, whatever their number; null keys are keys. Of more than LABELS
+    labels the most frequent are taken.
     """
-    counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
+    counts = rows.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label).limit(LABELS).collect()
     if not counts:
         return rows.limit(0)
     wanted = max(1, min(per_label, most // len(counts)))
-    hashed = rows.withColumn("_h", hash60(F.concat(F.lit("sample:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-    bound = reduce(
-        lambda rest, item: F.when(F.col(label) == item[0], F.lit(min(1 << 60, (3 * wanted + 50) * (1 << 60) // item[1]))).otherwise(rest),
-        counts.items(),
-        F.lit(0),
-    )
-    near = hashed.filter(F.col("_h") < bound)
-    first = Window.partitionBy(label).orderBy("_h", "doc_id")
-    return near.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= wanted).drop("_h", "_rank")
+    bounds = [(r[label], min(1 << 60, (wanted << 60) // r["n"])) for r in counts]
+    told = rows.sparkSession.createDataFrame(bounds, f"`{label}` {rows.schema[label].dataType.simpleString()}, _bound long")
+    near = rows.withColumn("_h", sample_hash(label, *key)).join(F.broadcast(told), label).filter(F.col("_h") <= F.col("_bound"))
+    return near.dropDuplicates([label, "_h"]).select(rows.columns)
