@@ -1,10 +1,14 @@
 """Toxicity by weak supervision: lexicon and pattern voters, a generative label model, a linear classifier.
 
-Candidate terms (words and word beginnings) come from labelled rows. The most
+Candidate terms (words and word beginnings) are chosen on labelled rows. The most
 telling ones become one-term voters, the others are pooled into lexicon voters,
-and pattern voters watch the way a text is written. The label model estimates
-each voter's firing rates under either label, and which voters fire together,
-from votes alone; a linear classifier is trained on its posterior labels.
+and pattern voters watch the way a text is written. All of them vote on labelled
+and unlabelled rows; a voter that does not fire abstains, and one voter fires where
+all lexicon voters abstain. The label model starts from whether a lexicon voter
+fires, and estimates how often each voter is right and which voters fire together.
+The given labels are one more voter, silent on unlabelled rows, whose accuracy is
+estimated against what the others say. A linear classifier is trained on the
+posterior labels.
 """
 
 from __future__ import annotations
@@ -19,26 +23,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .samples import bounded_sample, id_remainder
+from .session import checkpointed
 from .textkernels import mix64, span_hashes, text_slices
 
 #: Rows held out from learning: those of remainder HELD by HELD_DIVISOR.
 HELD_DIVISOR, HELD = 3, 1
-#: The fit's bounds: labelled rows of a label, candidate terms, one-term voters and pooled voters.
+#: The fit's bounds: labelled rows of a label, unlabelled rows, candidate terms, one-term voters and pooled voters.
 SAMPLE_PER_LABEL = 2500
+SAMPLE_UNLABELLED = 2500
 CANDIDATES = 512
 TERM_VOTERS = 48
 POOLS = 8
 #: Lengths of word beginnings, in bytes.
 BEGINNINGS = range(3, 9)
 #: What a candidate must reach: log-odds of label 1, and evidence (likelihood-ratio statistic) for them.
-LEAST_ODDS, LEAST_EVIDENCE = 2.0, 28.0
+LEAST_ODDS, LEAST_EVIDENCE = 4.0, 28.0
 #: A one-term voter reaches at least this part of the sample's label-1 rows that no two others reach.
 LEAST_GAIN = 0.005
 #: What a label-0 row costs a term in rows of label 1, and the part of its rows that makes it the same word as another.
 WRONG_COST, SAME_WORD = 3.0, 0.9
-#: Log-odds that the given label of a sampled row, itself a voter, adds to its posterior.
-GIVEN = 3.0
-EM_ROUNDS = 25
+#: A row without a given label.
+UNLABELLED = -1
+#: Rows seen in advance: of the given labels, right and wrong ones, and of each other voter, at the share of label 1.
+GIVEN_RIGHT, GIVEN_WRONG = 8.0, 2.0
+VOTER_ROWS = 2.0
+#: Probability of label 1 before the first round, where no lexicon voter fires and where one does.
+START_SILENT, START_FIRED = 0.05, 0.9
+ROUNDS = 25
 CORRELATED = 0.2
 PREDICT_AT = 0.7
 ROWS_AT_ONCE = 4096
@@ -156,37 +167,64 @@ def _patterns(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """Prior of label 1, firing rates of the voters under either label, and the weight left to each by its correlations."""
+    """Share of label 1, of the rows where each voter fires that of label 1, the weight left to each voter by its
+    correlations, and how often a given label is right where label 1 or label 0 holds."""
 
     prior: float
-    rate1: np.ndarray
-    rate0: np.ndarray
+    share1: np.ndarray
     weight: np.ndarray
-
-    def posterior(self, votes: np.ndarray, given: np.ndarray | float = 0.0) -> np.ndarray:
-        """Probability of label 1; `given` is added to the log-odds."""
-        fired, silent = np.log(self.rate1 / self.rate0), np.log((1 - self.rate1) / (1 - self.rate0))
-        odds = np.log(self.prior / (1 - self.prior)) + votes @ (self.weight * fired) + (1 - votes) @ (self.weight * silent) + given
+    right1: float
+    right0: float
+
+    def odds(self, votes: np.ndarray) -> np.ndarray:
+        """Log-odds of label 1 by the votes alone; voters that do not fire abstain."""
+        return _odds(self.prior) + votes @ (self.weight * (_odds(self.share1) - _odds(self.prior)))
+
+    def posterior(self, votes: np.ndarray, given: np.ndarray | None = None) -> np.ndarray:
+        """Probability of label 1; given labels (1, 0 or UNLABELLED) vote too."""
+        odds = self.odds(votes)
+        if given is not None:
+            odds = odds + np.log(self.right1 / (1 - self.right0)) * (given == 1) + np.log((1 - self.right1) / self.right0) * (given == 0)
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
+def _odds(p: np.ndarray | float) -> np.ndarray:
+    return np.log(p / (1 - p))
+
+
+def _correlation_weights(votes: np.ndarray, guess: np.ndarray) -> np.ndarray:
+    """Each voter's weight: less, the more it fires together with others within a label."""
+    cov = np.zeros((votes.shape[1], votes.shape[1]))
+    for belief in (guess, 1 - guess):
+        centred = (votes - belief @ votes / max(belief.sum(), 1e-9)) * np.sqrt(belief)[:, None]
+        cov += centred.T @ centred / len(guess)
+    scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+    correlation = cov / scale[:, None] / scale
+    np.fill_diagonal(correlation, 0)
+    return 1 / (1 + np.where(correlation > CORRELATED, correlation, 0).sum(axis=1))
+
+
 def fit_label_model(votes: np.ndarray, given: np.ndarray) -> LabelModel:
-    """Expectation-maximisation from the given log-odds of each row; the votes' correlations within a label damp the voters."""
-    votes, guess, n = votes.astype(np.float64), 1 / (1 + np.exp(-given)), len(given)
+    """The model of votes (rows x voters; the last column is the voter of silence) and given labels, in rounds.
+
+    Given labels are judged by the posterior of the other voters, so they never
+    confirm themselves. A voter is judged by how often label 1 is given where it
+    fires, corrected for how often given labels are wrong, so it doesn't confirm
+    itself on rows where it fires alone. The first round starts from silence alone.
+    """
+    votes, n, known = votes.astype(np.float64), len(given), given != UNLABELLED
+    guess = alone = np.where(votes[:, -1] == 1, START_SILENT, START_FIRED)
     weight = np.ones(votes.shape[1])
-    for round_ in range(EM_ROUNDS):
-        n1 = guess.sum()
-        rate1 = np.clip((guess @ votes + 0.1) / (n1 + 1), 1e-4, 1 - 1e-4)
-        rate0 = np.clip(((1 - guess) @ votes + 0.05) / (n - n1 + 1), 1e-5, 1 - 1e-4)
-        model = LabelModel(float(np.clip((n1 + 1) / (n + 2), 0.01, 0.99)), rate1, rate0, weight)
+    named1 = ((given == 1) @ votes + VOTER_ROWS * (given == 1).sum() / max(known.sum(), 1)) / (known @ votes + VOTER_ROWS)
+    for round_ in range(ROUNDS):
+        right1 = (alone[given == 1].sum() + GIVEN_RIGHT) / (alone[known].sum() + GIVEN_RIGHT + GIVEN_WRONG)
+        right0 = ((1 - alone)[given == 0].sum() + GIVEN_RIGHT) / ((1 - alone)[known].sum() + GIVEN_RIGHT + GIVEN_WRONG)
+        share1 = np.clip((named1 - (1 - right0)) / max(right1 + right0 - 1, 0.1), 1e-3, 1 - 1e-3)
         if round_ % 5 == 4:
-            centred1, centred0 = (votes - rate1) * np.sqrt(guess)[:, None], (votes - rate0) * np.sqrt(1 - guess)[:, None]
-            cov = (centred1.T @ centred1 + centred0.T @ centred0) / n
-            scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-            correlation = cov / scale[:, None] / scale
-            np.fill_diagonal(correlation, 0)
-            model.weight = weight = 1 / (1 + np.where(correlation > CORRELATED, correlation, 0).sum(axis=1))
-        guess = model.posterior(votes, given)
+            weight = _correlation_weights(votes, guess)
+        prior = float(np.clip((guess.sum() + 1) / (n + 2), 0.01, 0.99))
+        model = LabelModel(prior, share1, weight, float(right1), float(right0))
+        alone, guess = model.posterior(votes), model.posterior(votes, given)
     return model
 
 
@@ -248,18 +286,29 @@ def _covering(fired: np.ndarray, toxic: np.ndarray, odds: np.ndarray) -> tuple[l
 
 
 def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(label, text) of a bounded sample of rows that are not held out: labelled ones, and unlabelled ones as UNLABELLED.
+
+    Rows of equal label and text count once. The sample is kept, as several passes read it.
+    """
     told = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL")
     told = told.filter(id_remainder(F.col("doc_id"), HELD_DIVISOR) != HELD)
     sample = bounded_sample(told, "label", SAMPLE_PER_LABEL, 2 * SAMPLE_PER_LABEL)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter("text IS NOT NULL").dropDuplicates(["text", "label"])
+    own = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    labelled = own.join(F.broadcast(sample), "doc_id").select("label", "text")  # at most about 2 * SAMPLE_PER_LABEL ids
+    free = own.filter(id_remainder(F.col("doc_id"), HELD_DIVISOR) != HELD)
+    near = bounded_sample(free.select("doc_id", F.lit(UNLABELLED).alias("label")), "label", SAMPLE_UNLABELLED, SAMPLE_UNLABELLED)
+    near = near.join(labels.select("doc_id"), "doc_id", "left_anti")
+    unlabelled = free.join(F.broadcast(near), "doc_id").select("label", "text")
+    return checkpointed(labelled.unionByName(unlabelled).dropDuplicates(["text", "label"]))
 
 
 def fit_documents(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
-    """The model of a bounded sample of the labelled rows that are not held out; None without both labels or any term.
+    """The model of a bounded sample of the rows that are not held out; None without both labels or any term.
 
     Terms are counted in Spark; the driver gets CANDIDATES terms and the sample's votes.
     """
-    rows = _sampled(docs, labels).select("label", "text")
+    rows = _sampled(docs, labels)
+    known = rows.filter(F.col("label") != UNLABELLED)
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,11 +322,11 @@ def fit_documents(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["term", "label", "around"])
 
-    totals = dict(rows.groupBy("label").count().collect())
+    totals = dict(known.groupBy("label").count().collect())
     if len(totals) < 2:
         return None
     # copies of a row of label 1 count once: by distinct surroundings
-    counted = rows.mapInArrow(terms, "term binary, label int, around long").groupBy("term").agg(
+    counted = known.mapInArrow(terms, "term binary, label int, around long").groupBy("term").agg(
         F.count_distinct(F.when(F.col("label") == 1, F.col("around"))).alias("n1"), F.count_if(F.col("label") == 0).alias("n0")
     )
     odds = F.log((F.col("n1") + 0.5) / (totals[1] + 1)) - F.log((F.col("n0") + 0.5) / (totals[0] + 1))
@@ -300,14 +349,15 @@ def fit_documents(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
                 )
 
     cast = sorted((r["label"], bytes(r["bits"])) for r in rows.mapInArrow(votes, "label int, bits binary").collect())
-    toxic = np.array([k for k, _ in cast]) == 1
+    given = np.array([k for k, _ in cast])
     bits = np.unpackbits(np.frombuffer(b"".join(b for _, b in cast), dtype=np.uint8).reshape(len(cast), -1), axis=1)
-    return fit_votes(every.terms, np.array([r["odds"] for r in best]), bits[:, : len(best)], bits[:, len(best) : len(best) + len(PATTERNS)], toxic)
+    return fit_votes(every.terms, np.array([r["odds"] for r in best]), bits[:, : len(best)], bits[:, len(best) : len(best) + len(PATTERNS)], given)
 
 
-def fit_votes(terms: list[bytes], odds: np.ndarray, fired: np.ndarray, patterns: np.ndarray, toxic: np.ndarray) -> ToxicityModel:
-    """The model of which candidate terms and patterns stand in the sampled rows, and the rows' labels."""
-    chosen, told = _covering(fired, toxic, odds)
+def fit_votes(terms: list[bytes], odds: np.ndarray, fired: np.ndarray, patterns: np.ndarray, given: np.ndarray) -> ToxicityModel:
+    """The model of which candidate terms and patterns stand in the sampled rows, and the rows' given labels."""
+    known = given != UNLABELLED
+    chosen, told = _covering(fired[known], given[known] == 1, odds)
     kept = [*chosen, *np.flatnonzero(~told).tolist()]
     terms, fired = [terms[i] for i in kept], fired[:, kept]
     chosen, rest = list(range(len(chosen))), list(range(len(chosen), len(kept)))
@@ -318,10 +368,9 @@ def fit_votes(terms: list[bytes], odds: np.ndarray, fired: np.ndarray, patterns:
     votes = np.zeros((len(fired), voters), dtype=bool)
     for i in range(len(terms)):
         votes[:, voter[i]] |= fired[:, i].astype(bool)
-    cast, given = np.column_stack([votes, patterns]).astype(np.float64), np.where(toxic, GIVEN, -GIVEN)
+    cast = np.column_stack([votes, patterns, ~votes.any(axis=1)]).astype(np.float64)
     labels = fit_label_model(cast, given)
-    posterior = labels.posterior(cast, given)
-    return ToxicityModel(Lexicon(terms, voter, voters), labels, fit_linear(linear_features(votes, patterns), posterior))
+    return ToxicityModel(Lexicon(terms, voter, voters), labels, fit_linear(linear_features(votes, patterns), labels.posterior(cast, given)))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
