@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -54,6 +56,56 @@ def test_gradient_finds_the_bad_passage():
     assert np.allclose(np.add.reduceat(out["attention"], bounds[:-1]), 1)
 
 
+def plain_score(model, text):
+    """The score by loops over passages and words."""
+    p, words = model.parts, re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    starts = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (text or "").encode())]
+    raw, bags, seen = (text or "").encode(), [], set()
+    for at in range(0, max(len(words), 1), Q.PASSAGE_WORDS):
+        own = [w.lower() for w in words[at : at + Q.PASSAGE_WORDS]]
+        if not own:
+            bags.append(np.zeros(Q.FIGURES))
+            continue
+        end = starts[at + Q.PASSAGE_WORDS] if at + Q.PASSAGE_WORDS < len(words) else len(raw)
+        part = raw[0 if at == 0 else starts[at] : end]
+        counts = [0] * Q.CLASSES
+        for b in part:
+            counts[Q._CLASS[b]] += 1
+        n, cased, lengths = len(own), words[at : at + Q.PASSAGE_WORDS], [len(w) for w in own]
+        again = []
+        for w in own:
+            again.append(w in seen)
+            seen.add(w)
+        kinds = [(Q._CLASS[w[0]], Q._CLASS[w[-1]]) for w in cased]
+        mean = sum(lengths) / n
+        bags.append(np.array([
+            *[math.sqrt(c / len(part)) for c in counts], math.log1p(mean), math.log1p(math.sqrt(max(sum(x * x for x in lengths) / n - mean**2, 0))),
+            sum(a == b for a, b in zip(own, own[1:])) / n, (n - len(set(own))) / n, sum(a and x > 6 for a, x in zip(again, lengths)) / n,
+            sum(b in (5, 7) for _, b in kinds) / n, sum(a == 2 and b != 1 for a, b in kinds) / n, math.log1p(n),
+        ]))
+    encoded = [np.tanh(np.clip((b - model.mean) / model.scale, -6, 6) @ p["w1"] + p["b1"]) for b in bags]
+    gates = [math.exp((np.tanh(h @ p["v"]) / (1 + np.exp(-(h @ p["u"])))) @ p["w"]) for h in encoded]
+    z = sum(g / sum(gates) * h for g, h in zip(gates, encoded))
+    return 1 / (1 + math.exp(-(z @ p["c"] + p["c0"])))
+
+
+def test_scores_equal_plain_ones(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    model = Q.fit_documents(docs, labels)
+    got = {r.doc_id: r.score for r in queries()["op4_quality"](spark, sf_dir).collect()}
+    wanted = {r.doc_id: plain_score(model, r.text) for r in docs.collect()}
+    assert got.keys() == wanted.keys() and max(abs(got[d] - wanted[d]) for d in got) < 1e-4
+
+
+def test_every_passage_is_learned_from(spark, monkeypatch):
+    bags = []
+    monkeypatch.setattr(Q, "fit", lambda figures, bounds, y: bags.append(np.diff(bounds)))
+    docs = spark.createDataFrame([(1, "w " * 20_000), (2, "one")], "doc_id long, text string")
+    Q.fit_documents(docs, spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int"))
+    assert sorted(bags[0].tolist()) == [1, 200]
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "a house " * 3000)], "doc_id long, text string").selectExpr("*", "1 AS quality", "1 AS label")
     none = spark.createDataFrame([], "doc_id long, quality int")
