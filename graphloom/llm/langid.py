@@ -1,9 +1,10 @@
 """Language identification by nearest centroids of TF-IDF n-gram vectors.
 
 A text's vector counts its hashed byte bigrams and trigrams, weighted by inverse
-document frequency and normalised. Each language has a few centroids, clustered
-from a bounded sample of labelled rows; the nearest one by cosine names the
-language, and a text farther from it than the sample's texts are is rejected.
+document frequency and normalised. Document frequencies are counted over all rows
+that may be learned from. Each language has a few centroids, clustered from a
+bounded sample of them; the nearest one by cosine names the language, and a text
+that is clearly farther from it than the sample's texts of its length are is rejected.
 """
 
 from __future__ import annotations
@@ -31,11 +32,13 @@ SAMPLE_PER_LANGUAGE = 600
 SAMPLE_ROWS = 4000
 CENTROIDS = 4
 ROUNDS = 12
-#: A text is rejected below this part of the sample's FAR_QUANTILE of cosines to the nearest centroid.
-REJECT_PART = 0.5
+#: A text is rejected below this part of the FAR_QUANTILE of its length class: of the sample's cosines to the nearest centroid.
+REJECT_PART = 0.85
 FAR_QUANTILE = 0.005
-#: N-grams from which on the distance counts in full; a few words lie far from any centroid and say little.
-SURE_GRAMS = 400
+#: Length classes: a text of 4**k to 4**(k+1) - 1 n-grams is of class k, the last one without an end.
+CLASSES = 6
+#: Sampled texts that give a class a limit of its own; a class of fewer takes that of the next shorter one.
+CLASS_ROWS = 16
 #: Sharpness of the score over the languages' cosines.
 SHARPNESS = 25.0
 ROWS_AT_ONCE = 256
@@ -75,7 +78,7 @@ class LanguageModel:
     idf: np.ndarray
     centroids: np.ndarray  # rows of unit length
     language_of: np.ndarray  # of each centroid
-    least_cosine: np.ndarray  # of each language: below it a text is rejected
+    least_cosine: np.ndarray  # of each length class: below it a text is rejected
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         return _normalised(np.log1p(counts).astype(np.float32) * self.idf)
@@ -101,36 +104,65 @@ def _clusters(vectors: np.ndarray, k: int) -> np.ndarray:
     return centroids
 
 
+def length_class(grams: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(grams, 1)).astype(np.int64) // 2, CLASSES - 1)
+
+
 def fit(texts: list[str], languages: list[str]) -> LanguageModel:
-    """The model of labelled texts; at least one."""
+    """The model of labelled texts alone; at least one."""
     order = sorted(range(len(texts)), key=lambda i: (languages[i], texts[i]))
     texts, languages = [texts[i] for i in order], [languages[i] for i in order]
     counts = np.concatenate([gram_counts(texts[i : i + ROWS_AT_ONCE]) for i in range(0, len(texts), ROWS_AT_ONCE)])
-    return fit_counts(counts, languages)
+    return fit_counts(counts, languages, len(counts), (counts > 0).sum(axis=0))
 
 
-def fit_counts(counts: np.ndarray, languages: list[str]) -> LanguageModel:
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
+def fit_counts(counts: np.ndarray, languages: list[str], n: int, frequencies: np.ndarray) -> LanguageModel:
+    """The model of the sample's n-gram counts, with the document frequencies of n texts."""
+    idf = np.log((1 + n) / (1 + frequencies)).astype(np.float32) + 1
     names = sorted(set(languages))
-    model = LanguageModel(names, idf, np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, np.int64), np.zeros(len(names)))
+    model = LanguageModel(names, idf, np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, np.int64), np.zeros(CLASSES))
     vectors = model.vectors(counts)
     own = np.array([names.index(x) for x in languages])
     parts = [_clusters(vectors[own == k], CENTROIDS) for k in range(len(names))]
     model.centroids = np.concatenate(parts).astype(np.float32)
     model.language_of = np.repeat(np.arange(len(names)), [len(p) for p in parts])
-    cosines = model.cosines(vectors)
-    model.least_cosine = np.array([REJECT_PART * np.quantile(cosines[own == k, k], FAR_QUANTILE) for k in range(len(names))])
+    nearest, of = model.cosines(vectors).max(axis=1), length_class(counts.sum(axis=1))
+    limit = 0.0
+    for k in range(CLASSES):
+        if (of == k).sum() >= CLASS_ROWS:
+            limit = REJECT_PART * float(np.quantile(nearest[of == k], FAR_QUANTILE))
+        model.least_cosine[k] = limit
     return model
 
 
+def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """How many texts there are, and in how many of them each dimension occurs. Each task sums up its own rows, so only sums are exchanged."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+        for batch in batches:
+            for first, end, _, _ in text_slices(batch.column("text"), rows=ROWS_AT_ONCE):
+                found[:-1] += (gram_counts(batch.column("text").slice(first, end - first).to_pylist()) > 0).sum(axis=0)
+                found[-1] += end - first
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(found[some], pa.int64())], names=["dimension", "n"])
+
+    told = docs.select("text").mapInArrow(count, "dimension int, n long").groupBy("dimension").agg(F.sum("n").alias("n"))
+    out = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+    for r in told.collect():  # at most DIMENSIONS + 1 rows
+        out[r["dimension"]] = r["n"]
+    return int(out[-1]), out[:-1]
+
+
 def fit_documents(docs: DataFrame) -> LanguageModel | None:
-    """The model of a bounded sample of the rows with text and lang that are not held out; None without such rows.
+    """The model of the rows with text and lang that are not held out; None without such rows.
 
-    Only counts of the sample's n-grams reach the driver.
+    Only document frequencies and the sample's n-gram counts reach the driver. Rows
+    that repeat id, text and lang are sampled once. Null ids are held out.
     """
     rows = docs.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     rows = rows.filter(id_remainder(F.col("doc_id"), HELD_DIVISOR) != 0).filter(F.col("text").rlike(r"\p{L}"))
-    sample = bounded_sample(rows, "lang", SAMPLE_PER_LANGUAGE, SAMPLE_ROWS)
+    sample = bounded_sample(rows, "lang", SAMPLE_PER_LANGUAGE, SAMPLE_ROWS, ("doc_id", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,7 +176,8 @@ def fit_documents(docs: DataFrame) -> LanguageModel | None:
     found = sorted((r["lang"], bytes(r["counts"])) for r in sample.mapInArrow(count, "lang string, counts binary").collect())
     if not found:
         return None
-    return fit_counts(np.frombuffer(b"".join(c for _, c in found), dtype=np.float32).reshape(len(found), -1), [k for k, _ in found])
+    counts = np.frombuffer(b"".join(c for _, c in found), dtype=np.float32).reshape(len(found), -1)
+    return fit_counts(counts, [k for k, _ in found], *document_frequencies(rows))
 
 
 def has_letter(text: str | None) -> bool:
@@ -163,7 +196,7 @@ def predict(model: LanguageModel | None, texts: list[str | None]) -> tuple[list[
         top = cosines[np.arange(len(some)), best]
         names[some] = np.array(model.languages, dtype=object)[best]
         scores[some] = np.clip(1 / np.exp(SHARPNESS * (cosines - top[:, None])).sum(axis=1), 0, 1)
-        rejected[some] = top < model.least_cosine[best] * np.minimum(1, counts.sum(axis=1) / SURE_GRAMS)
+        rejected[some] = top < model.least_cosine[length_class(counts.sum(axis=1))]
     return names.tolist(), scores, rejected
 
 
