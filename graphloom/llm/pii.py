@@ -20,10 +20,12 @@ from pyspark.sql import types as T
 KINDS = ("email", "ip", "card", "phone", "iban")
 BASE_KINDS = KINDS[:4]
 
-#: A span whose score is lower is not acted upon, unless it is of a base kind.
+#: A span whose score is lower is reported, but not acted upon.
 ACT_AT = 0.5
-#: Code points before a span in which context words count.
+#: Code points before and after a span in which context words count.
 CONTEXT = 48
+#: What a word for the kind adds; what a word against it takes, where no word for it is near.
+MORE, LESS = 0.15, 0.25
 
 # A run is matched whole, with or without what must follow it, so that a long
 # run is read once and not once from each of its characters.
@@ -32,11 +34,11 @@ _EMAIL = re.compile(r"[A-Za-z0-9._%+-]++(@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)?
 _IP = re.compile(r"([0-9]++)(?:\.([0-9]++)(?:\.([0-9]++)(?:\.([0-9]++))?)?)?")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){11,30}(?![A-Za-z0-9])")
 _WORD = re.compile(r"[a-z]+")
 _NOT_DIGIT = re.compile("[^0-9]")
 
-#: Start score of a confirmed span, and words before it that raise or lower it.
+#: Start score of a confirmed span, and words near it that raise or lower it.
 _START = {"email": 0.8, "ip": 0.55, "card": 0.75, "phone": 0.65, "iban": 0.8}
 _FOR = {
     "email": {"mail", "email", "contact", "write", "reach"},
@@ -87,7 +89,7 @@ def luhn(digits: str) -> bool:
 
 def mod97(iban: str) -> bool:
     """Whether an IBAN without spaces leaves 1 modulo 97."""
-    moved = iban[4:] + iban[:4]
+    moved = iban[4:] + iban[:4]  # letters count from 10 on, in either case
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
@@ -95,16 +97,16 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
     """Confirmed (start, end). A run may go on into the words after an IBAN, so an end before is looked for.
 
     The length of the country counts first, then the whole run; where the country is
-    unknown, each word end from the last. What follows a kept span, or a head without
-    one, is looked at anew.
+    unknown, each word end from the last. In lower or mixed case only a country's own
+    length counts. What follows a kept span, or a head without one, is looked at anew.
     """
     at = 0
     while m := _IBAN.search(text, at):
         run = m[0]
         ends = [i for i in range(len(run), 0, -1) if run[i - 1] != " " and (i == len(run) or run[i] == " ")]
-        known = _IBAN_LENGTHS.get(run[:2])
-        if known:
-            ends = [i for i in ends if i - run.count(" ", 0, i) == known] + [len(run)]
+        known = _IBAN_LENGTHS.get(run[:2].upper())
+        if known or not run.isupper():
+            ends = [i for i in ends if i - run.count(" ", 0, i) == known] + [len(run)] * run.isupper()
         bare = ((i, run[:i].replace(" ", "")) for i in ends)
         end = next((i for i, b in bare if len(b) >= 15 and mod97(b)), None)
         if end:
@@ -140,18 +142,18 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
 
 
 def find_spans(text: str | None) -> list[Span]:
-    """All spans of a text (null: empty), by kind as listed, then start."""
-    spans = []
-    for kind, start, end in _proposed(text or ""):
-        near = set(_WORD.findall(text[max(0, start - CONTEXT) : start].lower()))
-        score = _START[kind] + 0.15 * bool(near & _FOR[kind]) - 0.35 * bool(near & _AGAINST[kind])
+    """All spans of a text (null: empty), by kind as listed, then start; words on either side adjust their scores."""
+    spans, text = [], text or ""
+    for kind, start, end in _proposed(text):
+        near = set(_WORD.findall(text[max(0, start - CONTEXT) : start].lower())) | set(_WORD.findall(text[end : end + CONTEXT].lower()))
+        score = _START[kind] + (MORE if near & _FOR[kind] else -LESS if near & _AGAINST[kind] else 0)
         spans.append(Span(kind, start, end, round(min(score, 1.0), 2)))
     return spans
 
 
 def redacted(text: str) -> str:
-    """The text with every acted-upon span replaced by its kind in brackets; overlapping spans become one."""
-    spans = sorted((s for s in find_spans(text) if s.kind in BASE_KINDS or s.score >= ACT_AT), key=lambda s: (s.start, -s.end))
+    """The text with every span of a score of ACT_AT or more replaced by its kind in brackets; overlapping spans become one."""
+    spans = sorted((s for s in find_spans(text) if s.score >= ACT_AT), key=lambda s: (s.start, -s.end))
     out, at, i = [], 0, 0
     while i < len(spans):
         first = best = spans[i]

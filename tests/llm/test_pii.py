@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+from graphloom.llm.queries import queries
 from graphloom.llm.pii import find_spans, luhn, pii_digests, redact_documents, redacted
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -45,6 +46,32 @@ def test_checksums_and_context():
     assert not [s for s in find_spans("GB83 WEST 1234 5698 7654 32") if s.kind == "iban"]
     with_word = find_spans("card 4111111111111111")[0].score
     assert with_word > find_spans("thing 4111111111111111")[0].score > find_spans("order 4111111111111111")[0].score
+    assert find_spans("4111111111111111 is my card")[0].score == with_word
+    # what a score does: a version number stays unless a word for an address is near, on either side
+    assert redacted("release 1.2.3.4") == "release 1.2.3.4" and redacted("release 1.2.3.4 of the server") == "release [IP] of the server"
+    assert redacted("see 1.2.3.4") == "see [IP]" and redacted("invoice +49 30 1234567") == "invoice +49 30 1234567"
+
+
+def test_ibans_in_lower_case():
+    for text in ("gb82 west 1234 5698 7654 32 is my account", "de89 3704 0044 0532 0130 00 and more words", "Gb82WEST12345698765432"):
+        (iban,) = [s for s in find_spans(text) if s.kind == "iban"]
+        assert iban.start == 0 and len(text[: iban.end].replace(" ", "")) == 22
+    assert not [s for s in find_spans("xx12 any words that stand in a row 1234 of lower case") if s.kind == "iban"]
+
+
+def test_query_on_a_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in queries()["op7_pii"](spark, sf_dir).collect()}
+    assert got.keys() == docs.keys()
+    for d, text in docs.items():
+        base = plain(text)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        r = got[d]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == kind for k, _, _ in base) for kind in ("email", "ip", "card", "phone"))
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+    assert any(r.n_email for r in got.values()) and any(r.n_card for r in got.values())
 
 
 def test_ibans_before_upper_case_words_and_digits():
