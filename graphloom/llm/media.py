@@ -88,10 +88,10 @@ def encode_frames(samples: np.ndarray) -> list[bytes]:
     return [_HEAD + stuffed[a:b] + _TAIL for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def decode_frames(files: list[bytes]) -> np.ndarray:
-    """Grey samples (n x rows x columns) of JPEG files of one size: at once where encode_frames made them, else one by one."""
+def decode_frames(files: list[bytes]) -> list[np.ndarray]:
+    """Grey samples (rows x columns) of JPEG files: at once where encode_frames made them, else one by one."""
     if not all(f.startswith(_HEAD) and f.endswith(_TAIL) for f in files):
-        return np.stack([decode_frame(f) for f in files])
+        return [decode_frame(f) for f in files]
     stuffed = np.frombuffer(b"".join(f[len(_HEAD) : -len(_TAIL)] for f in files), dtype=np.uint8)
     keep = np.ones(len(stuffed), dtype=bool)
     after = np.flatnonzero(stuffed == 0xFF) + 1
@@ -103,7 +103,7 @@ def decode_frames(files: list[bytes]) -> np.ndarray:
     d = _DIFFERENCES[c].reshape(len(files), HEIGHT, WIDTH)
     d[:, 0, 0] += 128
     d[:, :, 0] = np.cumsum(d[:, :, 0], axis=1)
-    return np.cumsum(d, axis=2).astype(np.uint8)
+    return list(np.cumsum(d, axis=2).astype(np.uint8))
 
 
 # --- RIFF ---------------------------------------------------------------------
@@ -163,46 +163,88 @@ class Movie:
     payload_bytes: int | None
 
 
+def _is_frame(name: bytes) -> bool:
+    return name[:2].isdigit() and name[2:] in (b"dc", b"db")
+
+
+def _listed_frames(data: bytes, at: int, end: int) -> Iterator[bytes]:
+    """Frame files in file order, those inside `rec ` lists too."""
+    for name, a, b in _chunks(data, at, end):
+        if name == b"LIST" and data[a : a + 4] == b"rec ":
+            yield from _listed_frames(data, a + 4, b)
+        elif _is_frame(name):
+            yield data[a:b]
+
+
+def _idx1_frames(data: bytes, index: bytes, movi: int) -> Iterator[bytes]:
+    """Frame files by an idx1 index, whose offsets count from the movi list's name or, in some files, from the file's start."""
+    rows = [(name, at) for name, _, at, _ in struct.iter_unpack("<4sIII", index) if _is_frame(name)]
+    base = movi if any(data[movi + at : movi + at + 4] == name for name, at in rows[:1]) else 0
+    for name, at in rows:
+        if data[base + at : base + at + 4] != name:
+            raise ValueError("the index points beside a frame")
+        size = struct.unpack_from("<I", data, base + at + 4)[0]
+        yield data[base + at + 8 : base + at + 8 + size]
+
+
+def _open_dml_frames(data: bytes, super_index: bytes) -> Iterator[bytes]:
+    """Frame files by an OpenDML super index: each of its entries is the place of a standard index of frame places."""
+    for i in range(struct.unpack_from("<I", super_index, 4)[0]):
+        at = struct.unpack_from("<Q", super_index, 24 + 16 * i)[0] + 8
+        n, _, base = struct.unpack_from("<I4sQ", data, at + 4)
+        for j in range(n):
+            offset, size = struct.unpack_from("<II", data, at + 24 + 8 * j)
+            yield data[base + offset : base + offset + (size & 0x7FFFFFFF)]
+
+
 def read_avi(data: bytes) -> Movie:
-    """Parse a RIFF AVI file; frames are found by its idx1 index, or in file order without one."""
+    """Parse a RIFF AVI file. Frames are found by its OpenDML index, else by idx1, else in file order; there may be none."""
     if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         raise ValueError("not an AVI file")
-    frame_us, length, movi, index, files = 1_000_000 // FRAMES_PER_SECOND, None, None, None, []
-    for name, start, end in _chunks(data, 12, min(len(data), 8 + struct.unpack_from("<I", data, 4)[0])):
-        kind = data[start : start + 4] if name == b"LIST" else b""
-        if kind == b"hdrl":
-            for inner, a, _ in _chunks(data, start + 4, end):
-                if inner == b"avih":
-                    frame_us = struct.unpack_from("<I", data, a)[0]
-        elif kind == b"INFO":
-            for inner, a, b in _chunks(data, start + 4, end):
-                if inner == b"ICMT" and data[a:b].startswith(b"payload="):
-                    length = int(data[a + 8 : b].rstrip(b"\0"))
-        elif kind == b"movi":
-            movi = (start, end)
-        elif name == b"idx1":
-            index = data[start:end]
-    if movi is None:
-        raise ValueError("an AVI file without frames")
-    if index is not None:
-        for name, _, at, size in struct.iter_unpack("<4sIII", index):
-            if name[2:] in (b"dc", b"db"):
-                begin = movi[0] + at + 8
-                files.append(data[begin : begin + size])
+    frame_us, length, movies, index, super_index = 1_000_000 // FRAMES_PER_SECOND, None, [], None, None
+    for segment, first, last in _chunks(data, 0, len(data)):
+        if segment != b"RIFF":
+            continue
+        for name, start, end in _chunks(data, first + 4, last):
+            kind = data[start : start + 4] if name == b"LIST" else b""
+            if kind == b"hdrl":
+                for inner, a, b in _chunks(data, start + 4, end):
+                    if inner == b"avih":
+                        frame_us = struct.unpack_from("<I", data, a)[0]
+                    elif inner == b"LIST" and data[a : a + 4] == b"strl":
+                        parts = {n: data[x:y] for n, x, y in _chunks(data, a + 4, b)}
+                        if parts.get(b"strh", b"")[:4] == b"vids" and super_index is None:
+                            super_index = parts.get(b"indx")
+            elif kind == b"INFO":
+                for inner, a, b in _chunks(data, start + 4, end):
+                    if inner == b"ICMT" and data[a:b].startswith(b"payload="):
+                        length = int(data[a + 8 : b].rstrip(b"\0"))
+            elif kind == b"movi":
+                movies.append((start, end))
+            elif name == b"idx1" and index is None:
+                index = data[start:end]
+    if super_index:
+        files = list(_open_dml_frames(data, super_index))
+    elif index is not None and len(movies) == 1:
+        files = list(_idx1_frames(data, index, movies[0][0]))
     else:
-        files = [data[a:b] for name, a, b in _chunks(data, movi[0] + 4, movi[1]) if name[2:] in (b"dc", b"db")]
+        files = [f for start, end in movies for f in _listed_frames(data, start + 4, end)]
     return Movie(files, frame_us, length)
 
 
 # --- shots --------------------------------------------------------------------
 
 
-def shots(frames: np.ndarray) -> list[tuple[int, int]]:
-    """(first, end) frames of each shot, by adaptive differences of neighbouring histograms."""
+def shots(frames: list[np.ndarray]) -> list[tuple[int, int]]:
+    """(first, end) frames of each shot, by adaptive differences of neighbouring histograms. Frames may differ in size; none give no shot."""
     n = len(frames)
-    bins = frames.reshape(n, -1) >> (8 - (HISTOGRAM_BINS - 1).bit_length())
-    row = np.arange(n)[:, None] * HISTOGRAM_BINS
-    histogram = np.bincount((bins + row).ravel(), minlength=n * HISTOGRAM_BINS).reshape(n, -1) / bins.shape[1]
+    if not n:
+        return []
+    shift = 8 - (HISTOGRAM_BINS - 1).bit_length()
+    sizes = np.array([f.size for f in frames])
+    row = np.repeat(np.arange(n) * HISTOGRAM_BINS, sizes)
+    bins = np.concatenate([f.ravel() for f in frames]) >> shift
+    histogram = np.bincount(bins + row, minlength=n * HISTOGRAM_BINS).reshape(n, -1) / np.maximum(sizes, 1)[:, None]
     differences = np.abs(np.diff(histogram, axis=0)).sum(axis=1) / 2
     found, first, count, mean, spread = [], 0, 0, 0.0, 0.0
     for i, d in enumerate(differences.tolist(), start=1):
@@ -243,36 +285,39 @@ _CLIP = _CLIP.add("start_s", T.DoubleType()).add("end_s", T.DoubleType())
 
 
 def read_media(media: DataFrame) -> DataFrame:
-    """All columns but `media`, and what the stored bytes hold: payload, clips (array of timed shots) and frames.
+    """All columns but `media`, and what the stored bytes hold: payload, frames, clips (array of timed shots) and fault.
 
-    Also media_bytes and media_sha256 of the stored form. Frames that were filled
-    up lose the filling by the stored payload length; other AVI files of baseline or
-    lossless frames give all grey samples. Files that are no AVI raise an error;
-    null media gives nulls.
+    Frames that were filled up lose the filling by the stored payload length; other
+    AVI files of baseline or lossless frames give all grey samples, frame by frame,
+    whatever their sizes. A file without frames has an empty payload and no clip.
+    What cannot be read gives nulls and says why in `fault`, and does not stop the
+    others; null media gives nulls without a fault.
     """
-    added = T.StructType().add("payload", T.BinaryType()).add("frames", T.IntegerType()).add("clips", T.ArrayType(_CLIP))
+    added = T.StructType().add("payload", T.BinaryType()).add("frames", T.IntegerType()).add("clips", T.ArrayType(_CLIP)).add("fault", T.StringType())
     kept = [c for c in media.columns if c != "media" and c not in added.names]
 
-    def one(data: bytes | None) -> tuple[bytes | None, int | None, list[dict] | None]:
+    def one(data: bytes | None) -> tuple[bytes | None, int | None, list[dict] | None, str | None]:
         if data is None:
-            return None, None, None
-        movie = read_avi(data)
-        frames = [decode_frames(movie.files[i : i + FRAMES_AT_ONCE]) for i in range(0, len(movie.files), FRAMES_AT_ONCE)]
-        samples = np.concatenate(frames) if len(frames) != 1 else frames[0]
+            return None, None, None, None
+        try:
+            movie = read_avi(data)
+            frames = [f for i in range(0, len(movie.files), FRAMES_AT_ONCE) for f in decode_frames(movie.files[i : i + FRAMES_AT_ONCE])]
+        except (ValueError, IndexError, KeyError, struct.error) as e:
+            return None, None, None, f"{type(e).__name__}: {e}"
         seconds = movie.frame_us / 1e6
         clips = [
             {"clip": i, "first_frame": a, "end_frame": b, "start_s": round(a * seconds, 6), "end_s": round(b * seconds, 6)}
-            for i, (a, b) in enumerate(shots(samples))
+            for i, (a, b) in enumerate(shots(frames))
         ]
-        return samples.tobytes()[: movie.payload_bytes], len(samples), clips
+        return b"".join(f.tobytes() for f in frames)[: movie.payload_bytes], len(frames), clips, None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.binary(), pa.int32(), pa.list_(pa.struct([(f.name, pa.int32() if f.name != "start_s" and f.name != "end_s" else pa.float64()) for f in _CLIP]))]
+        kinds = [pa.binary(), pa.int32(), pa.list_(pa.struct([(f.name, pa.float64() if f.name in ("start_s", "end_s") else pa.int32()) for f in _CLIP])), pa.string()]
         for batch in batches:
             for at in range(0, len(batch), ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
                 read = [one(d.as_py()) for d in part.column("media")]
-                new = [pa.array([r[i] for r in read], kinds[i]) for i in range(3)]
+                new = [pa.array([r[i] for r in read], kinds[i]) for i in range(len(kinds))]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *new], names=[*kept, *added.names])
 
     schema = T.StructType([*(media.schema[c] for c in kept), *added])
@@ -287,12 +332,13 @@ def clip_rows(read: DataFrame) -> DataFrame:
 def media_digests(docs: DataFrame) -> DataFrame:
     """One row per document: lengths, digests and features of its text stored as AVI and read back.
 
-    Null and empty texts have a payload of 64 zeros. Null ids and repeated rows
+    The feature lists the timed clips that clip_rows() spreads into rows: number,
+    first and end frame, start and end second. Null and empty texts have a payload of 64 zeros. Null ids and repeated rows
     pass through; an empty table gives no row.
     """
     stored = store_texts(docs).withColumn("media_bytes", F.octet_length("media").cast("long")).withColumn("media_sha256", F.sha2("media", 256))
     read = read_media(stored)
-    cuts = F.transform(F.col("clips"), lambda c: c["first_frame"].cast("string"))
+    clip = lambda c: F.format_string("%d:%d-%d@%.2f-%.2f", c["clip"], c["first_frame"], c["end_frame"], c["start_s"], c["end_s"])
     size = F.octet_length("payload")
     return read.select(
         "doc_id",
@@ -302,5 +348,5 @@ def media_digests(docs: DataFrame) -> DataFrame:
         F.crc32(F.substring("payload", size - UNIT + 1, F.lit(UNIT))).alias("tail_crc32"),
         "media_bytes",
         "media_sha256",
-        F.concat(F.lit("frames="), F.col("frames"), F.lit(";shots="), F.size("clips"), F.lit(";starts="), F.array_join(cuts, ",")).alias("feature"),
+        F.concat(F.lit("frames="), F.col("frames"), F.lit(";clips="), F.array_join(F.transform("clips", clip), ",")).alias("feature"),
     )
