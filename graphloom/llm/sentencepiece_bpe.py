@@ -1,17 +1,17 @@
 """SentencePiece BPE with byte fallback, by vectorised merge rounds over flat symbol arrays.
 
 All distinct words of a batch stand in one flat array of symbols. In each round
-the least pair rank of every segment is found by one segmented minimum, its
-leftmost place is merged in all segments at once, and the array is compacted,
-until no pair is left. One merge a segment and round is the library's own order,
-so results are equal to its results. No piece joins a space to the left of
-another character, so words, with their leading spaces, merge on their own.
+the least pair rank of every segment is found by one segmented minimum, the places
+of that rank are merged at once, from the left, and the array is compacted, until
+no pair is left. A segment's round ends at the first merge that makes a pair of the
+same or a lesser rank, so merges come in the library's own order, and results are
+equal to its results, whatever a segment's length. No piece joins a space to the
+left of another character, so words, with their leading spaces, merge on their own.
 """
 
 from __future__ import annotations
 
 import codecs
-import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,8 +25,6 @@ from .textkernels import text_slices
 
 #: The word separator of the pieces, and of texts that contain it themselves.
 SPACE_MARK = "▁"
-#: Segments of more symbols are merged from an agenda: a round for each merge would read them too often.
-LONG_SEGMENT = 256
 #: Distinct words kept from batch to batch; the store is emptied when it is full.
 KEPT_WORDS = 200_000
 #: UTF-8 bytes of text that are encoded at once.
@@ -40,7 +38,11 @@ codecs.register_error("one_byte", lambda e: ("�", e.start + 1))
 
 
 class Vocabulary:
-    """Pieces, pair ranks and piece bytes of a model file."""
+    """Pieces, pair ranks and piece bytes of a model file.
+
+    Words merge on their own only if no piece has a space after another character,
+    and if no piece is taken before merging. A model with such a piece is refused.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -60,6 +62,8 @@ class Vocabulary:
                 self.bytes.append(b"" if model.is_control(i) else " ⁇ ".encode())
             else:
                 piece = piece.replace(SPACE_MARK, " ")
+                if " " in piece.lstrip(" "):
+                    raise ValueError(f"piece {piece!r} has a space after another character")
                 ids[piece] = i
                 self.bytes.append(piece.encode())
         self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
@@ -68,6 +72,8 @@ class Vocabulary:
 
         # equal scores are equal ranks: the leftmost pair wins among them
         scores = {p: model.get_score(i) for p, i in ids.items()}
+        if sum(s == 0 for p, s in scores.items() if len(p) > 1) > 1:  # only the first merge has score 0; user-defined pieces have no other
+            raise ValueError("user-defined pieces of several characters are not read")
         rank_of = {s: r for r, s in enumerate(sorted(set(scores.values()), reverse=True))}
         pairs = {}
         for piece, i in ids.items():
@@ -96,83 +102,52 @@ class Vocabulary:
 
     def merge_segments(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge every segment to the end: final symbols, and the segment of each."""
-        n_segments = len(starts)
+        none = len(self.keys) - 1
         segment = np.zeros(len(symbols), dtype=np.int64)
         segment[starts[1:]] = 1
         np.cumsum(segment, out=segment)
-        pair = np.full(len(symbols), len(self.keys) - 1, dtype=np.int64)
-        if len(symbols) > 1:
-            pair[:-1] = self.pairs(symbols[:-1], symbols[1:])
-            pair[:-1][segment[1:] != segment[:-1]] = len(self.keys) - 1
-        rank = self.ranks[pair]
-        done_symbols, done_segments = [], []
+        pair = np.full(len(symbols), none, dtype=np.int64)
+        inside = np.flatnonzero(segment[1:] == segment[:-1])
+        pair[inside] = self.pairs(symbols[inside], symbols[inside + 1])
+        done_symbols, done_segments = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         while len(symbols):
+            rank = self.ranks[pair]
             first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-            place = np.arange(len(symbols), dtype=np.int64)
-            least = np.minimum.reduceat(rank.astype(np.int64) << 32 | place, first)
-            open_ = least >> 32 != _NO_PAIR
-            if not open_.all():
-                keep = np.repeat(open_, np.diff(np.append(first, len(symbols))))
+            sizes = np.diff(np.append(first, len(symbols)))
+            least = np.minimum.reduceat(rank, first)
+            if (least == _NO_PAIR).any():
+                keep = np.repeat(least != _NO_PAIR, sizes)
                 done_symbols.append(symbols[~keep])
                 done_segments.append(segment[~keep])
-                moved = np.cumsum(keep) - 1
-                symbols, segment, rank, pair = symbols[keep], segment[keep], rank[keep], pair[keep]
+                symbols, segment, pair, rank = symbols[keep], segment[keep], pair[keep], rank[keep]
+                sizes, least = sizes[least != _NO_PAIR], least[least != _NO_PAIR]
                 if not len(symbols):
                     break
-                at = moved[least[open_] & 0xFFFFFFFF]
-            else:
-                at = least & 0xFFFFFFFF
-            symbols[at] = self.merged[pair[at]]
+            at = np.flatnonzero(rank == np.repeat(least, sizes))
+            order = np.arange(len(at))
+            run = np.concatenate([[True], at[1:] != at[:-1] + 1])  # of places that overlap, every second one, from the left
+            at = at[(order - np.maximum.accumulate(np.where(run, order, 0))) % 2 == 0]
+            own, of, last = self.merged[pair[at]], segment[at], len(symbols) - 1
+            new = np.concatenate([[True], of[1:] != of[:-1]])
+            joined = ~new & np.concatenate([[False], at[1:] == at[:-1] + 2])  # begins where the merge before it ends
+            has_left, has_right = (at > 0) & (segment[at - 1] == of), (at + 1 < last) & (segment[np.minimum(at + 2, last)] == of)
+            left_symbol = np.where(joined, np.concatenate([own[:1], own[:-1]]), symbols[at - 1])
+            left = np.where(has_left, self.pairs(left_symbol, own), none)
+            right = np.where(has_right, self.pairs(own, symbols[np.minimum(at + 2, last)]), none)
+            overtaken = np.minimum(self.ranks[left], self.ranks[right]) <= rank[at]
+            earlier = np.cumsum(overtaken) - overtaken
+            order = np.arange(len(at))
+            keep = earlier == earlier[np.maximum.accumulate(np.where(new, order, 0))]
+            at, own, left, right, joined, has_left = (x[keep] for x in (at, own, left, right, joined, has_left))
+            symbols[at], pair[at] = own, right
+            pair[(at - 1 - joined)[has_left]] = left[has_left]
             keep = np.ones(len(symbols), dtype=bool)
             keep[at + 1] = False
-            at = at - np.arange(len(at))  # one symbol went before each later place
-            symbols, segment, rank, pair = symbols[keep], segment[keep], rank[keep], pair[keep]
-            left = at[(at > 0)]
-            left = left[segment[left - 1] == segment[left]] - 1
-            right = at[at + 1 < len(symbols)]
-            right = right[segment[right + 1] == segment[right]]
-            pair[at], rank[at] = len(self.keys) - 1, _NO_PAIR
-            changed = np.concatenate([left, right])
-            pair[changed] = self.pairs(symbols[changed], symbols[changed + 1])
-            rank[changed] = self.ranks[pair[changed]]
-        symbols = np.concatenate([*done_symbols, np.zeros(0, np.int32)])
-        segment = np.concatenate([*done_segments, np.zeros(0, np.int64)])
+            symbols, segment, pair = symbols[keep], segment[keep], pair[keep]
+        symbols, segment = np.concatenate(done_symbols), np.concatenate(done_segments)
         order = np.argsort(segment, kind="stable")
-        assert n_segments == 0 or len(order)
         return symbols[order], segment[order]
 
-    def merge_long(self, symbols: list[int]) -> list[int]:
-        """One long segment, from an agenda of pairs by rank, then place."""
-        n = len(symbols)
-        symbols, before, after = list(symbols), list(range(-1, n - 1)), [*range(1, n), -1]
-
-        def pair(i: int) -> int:
-            j = after[i]
-            if j < 0 or symbols[i] < 0 or symbols[j] < 0:
-                return len(self.keys) - 1
-            key = symbols[i] << 32 | symbols[j]
-            at = int(np.searchsorted(self.keys[:-1], key))
-            return at if self.keys[at] == key else len(self.keys) - 1
-
-        first = np.array(symbols[:-1], dtype=np.int64), np.array(symbols[1:], dtype=np.int64)
-        found = self.pairs(*first)
-        agenda = [(int(self.ranks[p]), i, symbols[i], symbols[i + 1], int(p)) for i, p in enumerate(found) if self.ranks[p] != _NO_PAIR]
-        heapq.heapify(agenda)
-        gone = [False] * n
-        while agenda:
-            _, i, left, right, p = heapq.heappop(agenda)
-            j = after[i]
-            if gone[i] or j < 0 or symbols[i] != left or symbols[j] != right:
-                continue
-            symbols[i], gone[j] = int(self.merged[p]), True
-            after[i] = after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-            for k in (before[i], i):
-                if k >= 0 and (p := pair(k)) != len(self.keys) - 1:
-                    heapq.heappush(agenda, (int(self.ranks[p]), k, symbols[k], symbols[after[k]], p))
-        return [s for s, g in zip(symbols, gone, strict=True) if not g]
-
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words (spaces for marks), flat, and where each word's ids begin (one more at the end)."""
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
@@ -185,24 +160,9 @@ class Vocabulary:
             at = np.minimum(np.searchsorted(self.neighbours, both), len(self.neighbours) - 1)
             cut[1:-1] |= self.neighbours[at] != both
         starts = np.flatnonzero(cut[:-1])
-        sizes = np.diff(np.append(starts, len(points)))
         symbols = self.char_id[points]
         symbols = np.where(symbols == _UNKNOWN, -2 - points, symbols)  # an unknown character keeps its code point
-        long = sizes > LONG_SEGMENT
-        if long.any():
-            short = np.repeat(~long, sizes)
-            renumber = np.flatnonzero(~long)
-            kept, own = self.merge_segments(symbols[short], np.concatenate([[0], np.cumsum(sizes[~long])[:-1]]).astype(np.int64) if len(renumber) else np.zeros(0, np.int64))
-            parts, owners = [kept], [renumber[own]]
-            for s in np.flatnonzero(long):
-                ids = self.merge_long(symbols[starts[s] : starts[s] + sizes[s]].tolist())
-                parts.append(np.array(ids, dtype=np.int64))
-                owners.append(np.full(len(ids), s, dtype=np.int64))
-            ids, owner = np.concatenate(parts), np.concatenate(owners)
-            order = np.argsort(owner, kind="stable")
-            ids, owner = ids[order], owner[order]
-        else:
-            ids, owner = self.merge_segments(symbols, starts)
+        ids, owner = self.merge_segments(symbols, starts)
         word_of = np.searchsorted(word_starts, starts, side="right") - 1
         owner = word_of[owner]
         unknown = np.flatnonzero(ids < 0)

@@ -31,6 +31,24 @@ def test_equal_to_the_library(library):
         assert decoded[i] == library.decode(wanted), text
 
 
+def test_long_words_merge_in_the_library_s_order(library):
+    rng = random.Random(7)
+    texts = ["a" * 20_001, "ab" * 9000, "=-" * 5000] + ["".join(rng.choice(letters) for _ in range(6000)) for letters in ("ab", "etaoinshr", "aaab", "-=_", "the ")]
+    ids, starts = S.encode_texts(texts, PATH)
+    for i, text in enumerate(texts):
+        assert ids[starts[i] : starts[i + 1]].tolist() == library.encode(text), text[:40]
+
+
+def test_models_that_words_alone_cannot_encode_are_refused(monkeypatch):
+    class Model(sentencepiece.SentencePieceProcessor):
+        def id_to_piece(self, i):
+            return "a▁b" if i == 5000 else super().id_to_piece(i)
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Model)
+    with pytest.raises(ValueError):
+        S.Vocabulary(PATH)
+
+
 def test_decode_of_broken_bytes(library):
     vocab = S.vocabulary(PATH)
     for raw in ([0xE3, 0x81], [0xE3, 0x81, 0x41], [0xFF, 0xC3, 0xA9], [0x80], [0xF0, 0x9F, 0x98]):
