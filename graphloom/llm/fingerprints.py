@@ -259,7 +259,7 @@ def ring(docs: DataFrame, parts: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     parts = parts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ids = docs.select("doc_id").filter("doc_id IS NOT NULL")
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
+    cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], max(10_000, 20 * parts))).first()[0] or []
     cuts = sorted(set(cuts), reverse=True)
     part = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(_cuts_above(F.col("doc_id"), cuts)).cast("int")
     heads = docs.select("doc_id").withColumn("_part", part).groupBy("_part").agg(F.max("doc_id").alias("head")).orderBy("_part").collect()

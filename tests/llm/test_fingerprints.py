@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -72,7 +73,7 @@ def test_near_duplicate_pairs_keep_every_link(spark, monkeypatch):
     assert found
 
 
-@pytest.mark.parametrize("words", [20_000, 200_000])
+@pytest.mark.parametrize("words", [2000, 20_000, 200_000])
 def test_long_unrelated_texts_are_unlike(words):
     texts = [" ".join(f"{name}{i}" for i in range(words)) for name in "ab"]
     texts.append(M.edited(*texts))
@@ -96,6 +97,24 @@ def test_query_tells_verified_links(spark):
     assert any(links.values())
 
 
+def test_links_are_found_among_all_pairs(spark):
+    """Recall against all pairs of texts, by an exact count of shared shingles."""
+    sf_dir = "/root/testdata/sf0.01"
+    texts = sorted({r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()})
+    sets, holders = [shingles(t) for t in texts], {}
+    for i, own in enumerate(sets):
+        for s in own:
+            holders.setdefault(s, []).append(i)
+    shared = Counter()
+    for ids in holders.values():
+        shared.update(itertools.combinations(ids, 2))
+    exact = {(i, j) for (i, j), n in shared.items() if n >= 0.8 * (len(sets[i]) + len(sets[j]) - n)}
+    links = Counter(i for pair in exact for i in pair)
+    got = {r.class_id: r.n_links for r in queries()["op1_fingerprints"](spark, sf_dir).select("class_id", "n_links").collect()}
+    wanted = {hashlib.md5(t.encode()).hexdigest(): links[i] for i, t in enumerate(texts)}
+    assert got == wanted and exact
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_links_reach_rows_of_odd_ids(spark, parts, monkeypatch):
     monkeypatch.setattr(M, "BLOCK_MEMBERS", 3)
