@@ -84,7 +84,7 @@ def with_targets(sources: DataFrame, most_times: int = MOST_TIMES) -> DataFrame:
 
 
 def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The mix's slots: slot (its place in the mix), source, position, rank, block, words.
+    """The mix's slots: slot (its place in the mix), source, position, rank, use, block, words.
 
     A source has as many slots as blocks that hold its target: all its blocks for
     each whole use, then as many as the remainder needs, the last one cut to it.
@@ -127,7 +127,8 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     length = F.least(F.lit(block_words).cast("long"), F.col("source_size") - block * block_words)
     rest = F.col("_whole") % F.col("source_size")
     cut = F.when(F.col("rank") == F.col("_slots") - 1, F.when(rest > 0, rest - block * block_words).otherwise(length)).otherwise(length)
-    return ranked.select("slot", "source", "position", "rank", block.alias("block"), cut.alias("words"))
+    use = F.floor(F.col("rank") / F.col("_per_use")).cast("int")
+    return ranked.select("slot", "source", "position", "rank", use.alias("use"), block.alias("block"), cut.alias("words"))
 
 
 def _golden_step(n: int) -> int:
@@ -142,9 +143,9 @@ def mix_plan(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int = CELLS
     """(documents, pieces, slots) of the mix of all rows.
 
     documents: doc_id, source, size, source_size, target, position, start (the
-    place of the row's first word in its source). pieces: position, start, block,
-    from_word and to_word in the row, words_in_block (where the piece begins in
-    its block). slots: as schedule() gives them.
+    place of the row's first word in its source). pieces: doc_id, position, start,
+    size, block, from_word and to_word in the row, words_in_block (where the piece
+    begins in its block). slots: as schedule() gives them.
 
     A null source is a source, after all others; a null text has no word; rows
     without words and sources without words take part with target and share 0.
@@ -162,10 +163,12 @@ def mix_plan(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int = CELLS
     first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
     pieces = (
         documents.filter("size > 0")
-        .select("position", "start", "size", F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("block"))
+        .select("doc_id", "position", "start", "size", F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("block"))
         .select(
+            "doc_id",
             "position",
             "start",
+            "size",
             "block",
             F.greatest(F.lit(0).cast("long"), F.col("block") * block_words - F.col("start")).alias("from_word"),
             F.least(F.col("size"), (F.col("block") + 1) * block_words - F.col("start")).alias("to_word"),
@@ -175,54 +178,64 @@ def mix_plan(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int = CELLS
     return documents, pieces, slots
 
 
-def _slot_uses(pieces: DataFrame, slots: DataFrame) -> DataFrame:
-    """For each piece and each length to which its block is taken: how often (`times`), and how many of its words (`used`)."""
-    uses = slots.groupBy("position", "block", "words").agg(F.count("*").alias("times"))
+def _taken_pieces(pieces: DataFrame, slots: DataFrame) -> DataFrame:
+    """Each piece in each slot that takes words of it: the piece, slot, use, and `used` words."""
     used = F.least(F.col("to_word") - F.col("from_word"), F.col("words") - F.col("words_in_block"))
-    return pieces.join(not_broadcast(uses), ["position", "block"]).withColumn("used", used).filter("used > 0")
+    met = pieces.join(not_broadcast(slots.select("position", "block", "slot", "use", "words")), ["position", "block"])
+    return met.withColumn("used", used).filter("used > 0")
 
 
 def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int = CELLS) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken (words the mix takes, repeats counted).
+    """One row per document: doc_id, source, size, source_size, target, taken (words the mix takes, repeats counted), first_slot, slots.
 
-    No row is taken more than MOST_TIMES times. Equal rows (same doc_id, source and
-    size) may swap their `taken`. An empty table gives no row.
+    first_slot is the first of the mix's slots that takes words of the document (null:
+    none does), slots is their number. No row is taken more than MOST_TIMES times.
+    Equal rows (same doc_id, source and size) may swap what is taken of them. An
+    empty table gives no row.
     """
     documents, pieces, slots = mix_plan(docs, block_words, cells)
-    taken = _slot_uses(pieces, slots).groupBy("position", "start").agg(F.sum(F.col("used") * F.col("times")).alias("taken"))
+    taken = _taken_pieces(pieces, slots).groupBy(F.col("position").alias("_position"), F.col("start").alias("_start_taken"))
+    taken = taken.agg(F.sum("used").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("slots"))
     own = documents.withColumn("_start", F.when(F.col("size") > 0, F.col("start")))
-    taken = taken.withColumnsRenamed({"position": "_position", "start": "_start_taken"})
     joined = own.join(not_broadcast(taken), (own["position"] == taken["_position"]) & (own["_start"] == taken["_start_taken"]), "left")
-    return joined.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return joined.select(
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "first_slot", F.coalesce("slots", F.lit(0)).cast("long").alias("slots"),
+    )
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int = CELLS) -> DataFrame:
-    """The mix as documents: a row for each time a document is taken, columns as they are.
+    """The mix as documents, in the order of the schedule: a row for each time a document is taken, columns as they are.
 
-    The last use of a source can end inside a document; that row's text is the
-    words taken, joined by single spaces, and its n_chars (where there is one)
-    their length. Documents that the mix doesn't take, and those without words, go.
+    Documents stay whole: the last use of a source, which can end inside one, takes
+    it if it takes half of its words or more. A document stands at the first slot that
+    takes words of it in that use. Documents that the mix doesn't take, and those
+    without words, go. A text is exchanged twice: to meet its slots, and into their order.
     """
     return on_core(docs, lambda core: _mixed_documents(core, block_words, cells))
 
 
 def _mixed_documents(docs: DataFrame, block_words: int, cells: int) -> DataFrame:
-    names = docs.columns
-    key = ["doc_id", "source", "_size"]
-    same = Window.partitionBy(*key)
-    rows = docs.withColumn("_size", words(F.col("text")))
-    rows = rows.withColumn("_same", F.row_number().over(same.orderBy("text", F.to_json(F.struct(*names)))))
-    taken = mix_documents(docs, block_words, cells).withColumnRenamed("size", "_size").filter("taken > 0")
-    taken = taken.withColumn("_same", F.row_number().over(same.orderBy(F.desc("taken"))))
-    told = taken.select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate([*key, "_same"])], F.col("taken").alias("_taken"))
-    match = [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate([*key, "_same"])]
-    used = rows.join(not_broadcast(told), match, "inner")
-    uses = used.withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")).cast("long"))))
-    left = F.col("_taken") - (F.col("_use") - 1) * F.col("_size")
-    part = left < F.col("_size")
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({_WORD})"), F.lit(1)), F.lit(1), left.cast("int")), " ")
-    uses = uses.withColumn("_cut", F.when(part, cut))
-    new = {"text": F.coalesce("_cut", "text")}
-    if "n_chars" in names:
-        new["n_chars"] = F.coalesce(F.char_length("_cut").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
-    return uses.withColumns(new).select(*names)
+    documents, pieces, slots = mix_plan(docs, block_words, cells)
+    uses = _taken_pieces(pieces, slots).groupBy("doc_id", "position", "start", "size", "use").agg(F.sum("used").alias("used"), F.min("slot").alias("slot"))
+    uses = checkpointed(uses.filter("2 * used >= size").select("doc_id", "position", "start", "size", "slot"))
+    repeated = documents.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id")
+    place = F.struct("slot", "start")
+    once = uses.join(not_broadcast(repeated), "doc_id", "left_anti").filter("doc_id IS NOT NULL")
+    once = once.groupBy("doc_id").agg(F.collect_list(place).alias("_places"))  # an id that is not repeated has MOST_TIMES uses at most
+    told = checkpointed(once.unionByName(repeated.withColumn("_places", F.lit(None).cast(once.schema["_places"].dataType))))
+    rows = docs.join(not_broadcast(told), "doc_id")
+    plain = rows.filter("_places IS NOT NULL").select(*docs.columns, F.inline("_places").alias("_slot", "_start"))
+    # rows that share an id, or have none, meet their uses by source, size and number among their equals
+    unclear = rows.filter("_places IS NULL").select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    same = ["doc_id", "position", "size"]
+    shared = uses.join(not_broadcast(repeated), "doc_id", "left_semi").unionByName(uses.filter("doc_id IS NULL")).groupBy(*same, "start")
+    shared = shared.agg(F.collect_list(place).alias("_places")).withColumn("_same", F.row_number().over(Window.partitionBy(*same).orderBy("start")))
+    shared = shared.select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate([*same, "_same"])], "_places")
+    sources = documents.select(F.col("source").alias("_source"), F.col("position").alias("_position")).distinct()
+    unclear = unclear.withColumn("_size", words(F.col("text"))).join(sources, F.col("source").eqNullSafe(F.col("_source")))
+    order = Window.partitionBy("doc_id", "_position", "_size").orderBy("text", F.to_json(F.struct(*docs.columns)))
+    unclear = unclear.withColumn("_same", F.row_number().over(order))
+    match = [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate(["doc_id", "_position", "_size", "_same"])]
+    found = unclear.join(not_broadcast(shared), match).select(*docs.columns, F.inline("_places").alias("_slot", "_start"))
+    return plain.unionByName(found).orderBy("_slot", "_start").select(docs.columns)

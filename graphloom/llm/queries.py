@@ -16,6 +16,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's MinHash fingerprint against its edited text's and the next document's; its class of equal texts and that class's verified near links."""
     from .fingerprints import compare_with_edited, near_duplicate_links
 
     docs = _documents(spark, sf_dir)
@@ -23,6 +24,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's number of token ids, and the digests of its ids and of their decoded text."""
     import public_tokenizers
 
     from .sentencepiece_bpe import encode_decode
@@ -37,6 +39,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's probability of label toxic = 1 by weak supervision, and the prediction at PREDICT_AT."""
     from .samples import id_remainder
     from .toxicity import HELD, HELD_DIVISOR, PREDICT_AT, fit_documents, score_documents
 
@@ -51,6 +54,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's probability of label quality = 1 by attention over its passages, and the prediction at PREDICT_AT."""
     from .quality import HELD, HELD_DIVISOR, PREDICT_AT, fit_documents, score_documents
     from .samples import id_remainder
 
@@ -65,12 +69,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document stored as AVI and read back: sizes, digests, and its timed clips."""
     from .media import media_digests
 
     return media_digests(_documents(spark, sf_dir))
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's nearest language by centroids, its score, and whether it is too far from all."""
     from .langid import HELD_DIVISOR, fit_documents, identify
     from .samples import id_remainder
 
@@ -86,12 +92,14 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's spans of personal data, with the counts and digest of the base kinds."""
     from .pii import pii_digests
 
     return pii_digests(_documents(spark, sf_dir))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's SimHash fingerprint and its component of fingerprints at three or fewer differing bits."""
     from .simhash import near_duplicates
 
     found = near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -99,6 +107,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's shard of 40 of near equal bytes, and its place there."""
     from .sharding import ROW_BYTES, shard_documents
 
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -115,10 +124,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's words taken by the mix, and the slots of the schedule that take them."""
     from .mixing import mix_documents
 
     mixed = mix_documents(_documents(spark, sf_dir))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "slots")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -165,13 +175,25 @@ c AS (SELECT *, (SELECT sum(source_size) FROM w) - coalesce(sum(3 * source_size)
 l AS (SELECT rest::DOUBLE / weights::DOUBLE AS level FROM c WHERE weight * (rest::DOUBLE / weights::DOUBLE) < 3 * source_size ORDER BY ratio, source LIMIT 1),
 t AS (SELECT source, source_size, CASE WHEN weight * level >= 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE weight * level END AS target
       FROM w, l),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS whole,
-             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN source_size = 0 THEN 0 ELSE size * (whole // source_size) + greatest(0, least(size, whole % source_size - start)) END AS BIGINT) AS taken
-FROM p
-"""
+p AS MATERIALIZED (SELECT row_number() OVER () AS row, d.doc_id, d.source, d.size, t.source_size, t.target,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+s AS (SELECT source, source_size, floor(target)::BIGINT AS whole, ceil(source_size / {words}.0)::BIGINT AS per_use,
+             (floor(target)::BIGINT // source_size) * ceil(source_size / {words}.0)::BIGINT + ceil((floor(target)::BIGINT % source_size) / {words}.0)::BIGINT AS slots
+      FROM t WHERE source_size > 0),
+b AS (SELECT *, (sum(slots) OVER (ORDER BY encode(source) NULLS LAST))::BIGINT AS until, sum(slots) OVER ()::BIGINT AS n FROM s WHERE slots > 0),
+step AS (SELECT n, min(g) AS g FROM (SELECT DISTINCT n FROM b), range(greatest(1, round(n * (sqrt(5) - 1) / 2)::BIGINT), n + 2) AS r(g) WHERE gcd(g, n) = 1 GROUP BY n),
+points AS (SELECT slot, (slot * g) % step.n AS point FROM step, range(step.n) AS r(slot)),
+ranked AS (SELECT b.*, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank FROM points JOIN b ON point >= until - slots AND point < until),
+cuts AS (SELECT source, slot, rank % per_use AS block,
+                CASE WHEN rank = slots - 1 AND whole % source_size > 0 THEN whole % source_size - (rank % per_use) * {words}
+                     ELSE least({words}, source_size - (rank % per_use) * {words}) END AS words FROM ranked),
+pieces AS (SELECT row, source, start, size, unnest(range(start // {words}, (start + size - 1) // {words} + 1)) AS block FROM p WHERE size > 0),
+met AS (SELECT row, slot, least(start + size, e.block * {words} + words) - greatest(start, e.block * {words}) AS used
+        FROM pieces e JOIN cuts c ON e.source IS NOT DISTINCT FROM c.source AND e.block = c.block),
+told AS (SELECT row, sum(used)::BIGINT AS taken, min(slot)::BIGINT AS first_slot, count(*) AS slots FROM met WHERE used > 0 GROUP BY row)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_slot, coalesce(slots, 0)::BIGINT AS slots FROM p LEFT JOIN told USING (row)
+""".replace("{words}", "512")
 
 
 def oracle_sql() -> dict[str, str]:

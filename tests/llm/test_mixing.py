@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -77,10 +78,43 @@ def test_mixed_documents(spark, table):
     assert out.columns == clash.columns and {(r._size, r.taken, r.position, r.size) for r in out.collect()} == {(1, 2, 3, 4)}
     out = M.mixed_documents(docs, 16, 4)
     assert out.schema.names == docs.schema.names
-    words = {}
-    for r in out.collect():
-        assert r.n_chars == len(r.text)
+    rows, whole, uses = out.collect(), Counter(), Counter()
+    for r in table:
+        whole[r] += 1
+    for r in rows:
+        assert tuple(r) in whole  # documents stay whole
+        uses[tuple(r)] += 1
+    assert all(n <= 3 * whole[r] for r, n in uses.items())
+    words, longest = {}, {}
+    for r in rows:
         words[r.source] = words.get(r.source, 0) + len(r.text.split())
-    assert words == {s: n for s, n in taken.items() if n}
+        longest[r.source] = max(longest.get(r.source, 0), len(r.text.split()))
+    assert words.keys() == {s for s, n in taken.items() if n}
+    assert all(abs(n - taken[s]) <= longest[s] / 2 for s, n in words.items())
+    # the schedule's order: every prefix is near the shares
+    total, seen, done = sum(words.values()), Counter(), 0
+    for r in rows:
+        seen[r.source] += len(r.text.split())
+        done += len(r.text.split())
+        assert all(abs(seen[s] - done * n / total) <= 3 * max(longest.values()) for s, n in words.items())
+
+
+def test_first_slots_and_their_number(spark, table):
+    docs = documents(spark, table)
+    documents_, pieces, slots = (f.collect() for f in M.mix_plan(docs, 16, 4))
+    wanted = Counter()
+    for d in documents_:
+        met = []
+        for s in slots:
+            begin, end = s.block * 16, s.block * 16 + s.words
+            if s.position == d.position and max(d.start, begin) < min(d.start + d["size"], end):
+                met.append((s.slot, min(d.start + d["size"], end) - max(d.start, begin)))
+        wanted[str(d.doc_id), d["size"], sum(n for _, n in met), min((s for s, _ in met), default=None), len(met)] += 1
+    got = Counter((str(r.doc_id), r["size"], r.taken, r.first_slot, r.slots) for r in M.mix_documents(docs, 16, 4).collect())
+    assert got == wanted
+
+
+def test_odd_tables(spark, table):
+    docs = documents(spark, table)
     assert M.mixed_documents(docs.limit(0)).count() == 0
     assert M.mix_documents(docs.filter("text is null")).collect()[0].taken == 0

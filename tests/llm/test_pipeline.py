@@ -1,4 +1,6 @@
 import hashlib
+import re
+from collections import Counter
 
 import public_tokenizers
 import sentencepiece
@@ -6,6 +8,8 @@ import sentencepiece
 import corpus_pipeline
 from graphloom.llm import langid, pii, simhash
 
+from test_mixing import plain_targets
+
 
 def test_stages_against_plain_versions(spark):
     """Each stage on the rows its predecessor kept, compared with a version that looks at all rows or pairs."""
@@ -46,9 +50,10 @@ def test_stages_against_plain_versions(spark):
     same(docs, rows)
 
     mixed = corpus_pipeline.mix_sources(spark, docs, sf_dir).cache()
-    texts = {r["doc_id"]: r["text"] for r in rows}
-    for r in mixed.collect():
-        assert r.text == texts[r.doc_id] or texts[r.doc_id].split()[: len(r.text.split())] == r.text.split()
+    times = Counter(r.doc_id for r in mixed.collect())
+    by_id = {r["doc_id"]: r for r in rows}
+    assert all(tuple(r) == tuple(by_id[r.doc_id].values()) for r in mixed.collect())
+    assert times == plain_times(rows)
 
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     got = corpus_pipeline.encode(spark, mixed, sf_dir).collect()
@@ -60,6 +65,20 @@ def test_stages_against_plain_versions(spark):
     assert sorted(map(tuple, got)) == sorted(wanted)
 
 
+def plain_times(rows):
+    """How often each document is taken: whole uses of its source, and once more where the rest takes half of it or more."""
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
+    names, times = sorted({r["source"] for r in rows}), Counter()
+    targets = plain_targets([sum(size(r) for r in rows if r["source"] == s) for s in names])
+    for name, target in zip(names, targets):
+        own = sorted((r for r in rows if r["source"] == name), key=lambda r: int(hashlib.md5(f"mix:{r['doc_id']}".encode()).hexdigest()[:15], 16))
+        uses, rest = divmod(int(target), sum(map(size, own)))
+        for r in own:
+            times[r["doc_id"]] += (uses + (2 * min(max(rest, 0), size(r)) >= size(r))) if size(r) else 0
+            rest -= size(r)
+    return +times
+
+
 def same(docs, rows):
     assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted((r.asDict() for r in docs.collect()), key=lambda r: r["doc_id"]) == sorted(rows, key=lambda r: r["doc_id"])
