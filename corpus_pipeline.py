@@ -12,7 +12,7 @@ from graphloom.llm.langid import keep_identified
 from graphloom.llm.mixing import mixed_documents
 from graphloom.llm.pii import redact_documents
 from graphloom.llm.sentencepiece_bpe import encode_decode
-from graphloom.llm.session import bounded_batches, checkpointed
+from graphloom.llm.session import bounded_batches, forget, stored
 from graphloom.llm.simhash import keep_one
 
 
@@ -35,7 +35,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, in the order of its schedule."""
     bounded_batches(spark)
     return mixed_documents(docs)
 
@@ -70,10 +70,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir; what a stage keeps is checkpointed, so later ones read it once."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of sf_dir.
+
+    What a stage keeps is stored in the checkpoint folder, read by the next one, and
+    deleted once that one's result is stored. The last stored table stays, since the
+    result is read from it.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES, start=1):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES):
-            docs = checkpointed(docs)
+            docs, path = stored(docs)
+            if before:
+                forget(spark, before)
+            before = path
     return docs
