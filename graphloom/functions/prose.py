@@ -223,7 +223,7 @@ def clean_company(text: str) -> str | None:
 
 
 def company_of(field: str) -> str | None:
-    """The company in "Role at Company", "Role, Dept, Company" or "Company"."""
+    """The company of the field after a name: what follows " at ", else the part after the last comma, else all of it."""
     field = trim(trim(field).rstrip("*"))
     at = field.lower().find(" at ")
     if at >= 0 and trim(field[at + 4 :]):
@@ -249,7 +249,7 @@ def split_person(raw: str) -> Speaker:
 
 
 def _joins(raw: str, word: str) -> bool:
-    """Whether a conjunction joins people: not when a comma stands before it, as in "Name, Role with and X"."""
+    """Whether a conjunction joins people. After a comma it stands inside somebody's role."""
     comma, at = raw.find(","), raw.find(word)
     return comma < 0 or at < 0 or at < comma
 

@@ -214,7 +214,7 @@ def _title_and_credit(text: str, separator: str, least_words: int, last: bool =
 
 
 def bullet_sentences(lines: Lines) -> Iterator[Talk]:
-    """Bullets like "Title. Name, Company" or "Title – Name"; panelists in bold are no titles."""
+    """One bullet a talk: its title, a full stop or long dash, its people. A bold name before a comma is somebody on a panel, not a title."""
     for line in lines.all:
         found = _BULLET.match(line)
         if not found:
@@ -229,7 +229,7 @@ def bullet_sentences(lines: Lines) -> Iterator[Talk]:
 
 
 def bullet_agenda(lines: Lines) -> Iterator[Talk]:
-    """Bullets like "**Title** - Name", "Title - Name, Company", or a bold title with the name on the next filled line."""
+    """Bulleted titles whose people follow a dash, or stand on the next filled line if the title is bold."""
     at = 0
     while at < len(lines):
         line, at = lines.all[at], at + 1

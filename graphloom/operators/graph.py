@@ -111,12 +111,33 @@ def label_counts(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
 
 def summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One row: unique nodes and kinds, unique edges and kinds. Duplicates are cut before they are counted."""
-    a = nodes.select("id", "label").distinct().agg(F.count_distinct("id").alias("n_nodes"), F.count_distinct("label").alias("n_node_kinds"))
-    b = edges.select("src", "dst", "label").distinct().agg(F.count("*").alias("n_edges"), F.count_distinct("label").alias("n_edge_kinds"))
-    return _one_row(a, b)
+    things = nodes.select(F.lit("").alias("src"), F.col("id").alias("dst"), "label").unionByName(edges.select("src", "dst", "label"))
+    return _counted(things)
+
+
+def summary_of_records(records: DataFrame) -> DataFrame:
+    """summary() of records' nodes and edges, which are read once."""
+    node = lambda n: F.struct(F.lit("").alias("src"), n["id"].alias("dst"), n["label"].alias("label"))
+    edge = lambda e: F.struct(e["src"].alias("src"), e["dst"].alias("dst"), e["label"].alias("label"))
+    return _counted(records.select(F.inline(F.concat(F.transform("nodes", node), F.transform("edges", edge)))))
+
+
+def _counted(things: DataFrame) -> DataFrame:
+    """Counts of distinct things: nodes have no src."""
+    one = things.distinct()
+    label = lambda which: F.count_distinct(F.when(which, F.col("label")))
+    is_node = F.col("src") == ""
+    kinds = one.groupBy("label", is_node.alias("is_node")).agg(F.count("*").alias("n"))
+    named = one.filter(is_node).select("dst").distinct().agg(F.count("*").alias("n_nodes"))
+    told = kinds.agg(
+        label(F.col("is_node")).alias("n_node_kinds"),
+        F.coalesce(F.sum(F.when(~F.col("is_node"), F.col("n"))), F.lit(0)).alias("n_edges"),
+        label(~F.col("is_node")).alias("n_edge_kinds"),
+    )
+    return one_row(named, told)
 
 
-def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
+def one_row(a: DataFrame, b: DataFrame) -> DataFrame:
     """Two one-row tables side by side."""
     return a.unionByName(b, allowMissingColumns=True).agg(*[F.first(c, ignorenulls=True).alias(c) for c in (*a.columns, *b.columns)])
 
@@ -149,7 +170,7 @@ def coherence(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
     mentions = edges.agg((F.count_if(F.col("label") == "MENTIONS") > 0).alias("mentions"))
     implies = lambda k: (~F.col("Talk") | F.col(k))
-    return _one_row(seen, mentions).select(
+    return one_row(seen, mentions).select(
         implies("Event").alias("talks_have_events"),
         implies("Group").alias("talks_have_groups"),
         implies("Speaker").alias("talks_have_speakers"),

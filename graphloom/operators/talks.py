@@ -1,54 +1,52 @@
-"""Talks of event rows: one vectorised pass over the descriptions, no shuffle."""
+"""Talks of event rows: one vectorised reading of the texts alone, no shuffle."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import prose
 from ..functions.talktext import extract
 
-_TALKS = T.ArrayType(
-    T.StructType()
-    .add("title", T.StringType())
-    .add("abstract", T.StringType())
-    .add("speakers", T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("name", "company", "role", "bio")])))
-    .add("order", T.IntegerType())
-)
-_ARROW_TALKS = pa.list_(
-    pa.struct([
-        ("title", pa.string()),
-        ("abstract", pa.string()),
-        ("speakers", pa.list_(pa.struct([(n, pa.string()) for n in ("name", "company", "role", "bio")]))),
-        ("order", pa.int32()),
-    ])
-)
-
-
-def with_talks(events: DataFrame, description: str = "description_md", title: str | None = "title", text: str = "description_text") -> DataFrame:
-    """Event rows with `talks`: title, abstract, speakers and order of each talk that has a speaker.
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
-    Where the description has none, talks are sought in the event title, unless
-    title is None; their abstract is taken from `text`.
-    """
-    needed = [description] + ([title, text] if title else [])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in needed]
-            talks = [
-                [
-                    {"title": t.title, "abstract": t.abstract, "order": i, "speakers": [{"name": s.name, "company": s.company} for s in t.speakers]}
-                    for i, t in enumerate(extract(*row))
-                ]
-                for row in zip(*columns, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(talks, _ARROW_TALKS)], names=[*batch.schema.names, "talks"])
+_TEXT = T.StringType()
+_SPEAKERS = T.ArrayType(_struct(name=_TEXT, company=_TEXT, role=_TEXT, bio=_TEXT))
+_PERSON = pa.struct([(n, pa.string()) for n in ("name", "company", "role", "bio")])
+_ARROW_TALKS = pa.list_(pa.struct([("title", pa.string()), ("abstract", pa.string()), ("speakers", pa.list_(_PERSON)), ("order", pa.int32())]))
+
+#: Rows of a bucket inside which batches are numbered.
+BUCKET_ROWS = 65_536
+
+
+@F.arrow_udf(T.ArrayType(_struct(title=_TEXT, abstract=_TEXT, speakers=_SPEAKERS, order=T.IntegerType())))
+def _talks(description: pa.Array, title: pa.Array, text: pa.Array) -> pa.Array:
+    told = [
+        [
+            {"title": t.title, "abstract": t.abstract, "order": i, "speakers": [{"name": s.name, "company": s.company} for s in t.speakers]}
+            for i, t in enumerate(extract(*row))
+        ]
+        for row in zip(description.to_pylist(), title.to_pylist(), text.to_pylist(), strict=True)
+    ]
+    return pa.array(told, _ARROW_TALKS)
+
 
-    return events.drop("talks").mapInArrow(run, T.StructType([*events.drop("talks").schema, T.StructField("talks", _TALKS)]))
+def with_talks(
+    events: DataFrame, description: str = "description_md", title: str | None = "title", text: str = "description_text", titled: Column | None = None
+) -> DataFrame:
+    """Event rows with `talks`: title, abstract, speakers and order of each talk that has a speaker.
+
+    Where the description has none, talks are sought in the event title, unless title
+    is None or `titled` is not true; their abstract is taken from `text`. Only these
+    columns leave the JVM.
+    """
+    nothing = F.lit(None).cast("string")
+    own = nothing if title is None else F.col(title) if titled is None else F.when(titled, F.col(title))
+    return events.withColumn("talks", _talks(F.col(description), own, F.col(text) if title else nothing))
 
 
 def renumbered(talks):
@@ -64,26 +62,75 @@ def talk_rows(events: DataFrame) -> DataFrame:
 
 
 def recover_descriptions(events: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Event rows whose text is empty take text and description from the parsed page of the same id; other fields stay.
+    """Event rows whose text is empty take what the parsed page of the same id has: text, description and, where both sides have them, talks. Other fields stay.
 
     Only rows with an empty text are joined, so pages never meet the others.
     """
+    taken = ["description_md", "description_text", *(["talks"] if "talks" in events.columns and "talks" in parsed.columns else [])]
     empty = F.coalesce(F.col("description_text"), F.lit("")) == ""
-    from_page = parsed.select("id", F.col("description_md").alias("_md"), F.col("description_text").alias("_text"))
-    mended = events.filter(empty).join(from_page, "id", "left")
-    mended = mended.withColumns(
-        {"description_md": F.coalesce("_md", "description_md"), "description_text": F.coalesce("_text", "description_text")}
-    )
+    mended = events.filter(empty).join(parsed.select("id", *[F.col(c).alias(f"_{c}") for c in taken]), "id", "left")
+    mended = mended.withColumns({c: F.coalesce(f"_{c}", c) for c in taken})
     return events.filter(~empty).unionByName(mended.select(events.columns))
 
 
-def batch_positions(rows: DataFrame, key: str, size: int, buckets: int) -> DataFrame:
+# --- what single lines are ------------------------------------------------------
+
+_KINDS = {
+    "title": prose.is_title,
+    "generic": prose.is_generic,
+    "person": prose.is_person,
+    "possible_name": prose.could_be_name,
+    "job_title": prose.is_job_title,
+    "speaker_line": prose.is_speaker_line,
+    "speaker_field": prose.is_speaker_field,
+    "title_remainder": prose.is_title_remainder,
+}
+
+
+@F.arrow_udf(_struct(**{k: T.BooleanType() for k in _KINDS}))
+def _line_kinds(line: pa.Array) -> pa.Array:
+    lines = line.fill_null("").to_pylist()
+    return pa.StructArray.from_arrays([pa.array([bool(is_kind(x)) for x in lines], pa.bool_()) for is_kind in _KINDS.values()], names=list(_KINDS))
+
+
+def line_kinds(rows: DataFrame, line: str) -> DataFrame:
+    """Rows with a struct `kinds` of booleans: what a line of an announcement can be. A null line counts as empty."""
+    return rows.withColumn("kinds", _line_kinds(F.col(line)))
+
+
+_ARROW_PAIR = pa.struct([("name", pa.string()), ("company", pa.string())])
+
+
+@F.arrow_udf(_struct(speakers=_SPEAKERS, person=_struct(name=_TEXT, company=_TEXT), company_of=_TEXT, company=_TEXT))
+def _credits(line: pa.Array) -> pa.Array:
+    lines = line.fill_null("").to_pylist()
+    return pa.StructArray.from_arrays(
+        [
+            pa.array([[s._asdict() for s in prose.speakers_of(x)] for x in lines], pa.list_(_PERSON)),
+            pa.array([prose.split_person(x)._asdict() for x in lines], _ARROW_PAIR),
+            pa.array([prose.company_of(x) for x in lines], pa.string()),
+            pa.array([prose.clean_company(x) for x in lines], pa.string()),
+        ],
+        names=["speakers", "person", "company_of", "company"],
+    )
+
+
+def credits_of(rows: DataFrame, line: str) -> DataFrame:
+    """Rows with a struct `credit` of a credit line: all its speakers; read as one person; read as the field after a name; read as a company. A null line counts as empty."""
+    return rows.withColumn("credit", _credits(F.col(line)))
+
+
+# --- batches --------------------------------------------------------------------
+
+
+def batch_positions(rows: DataFrame, key: str, size: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Add bucket, batch, position (from 1) and batch_size: batches of at most `size` rows by key within hash buckets.
 
-    Which rows share a batch has no meaning, so numbering stays inside buckets and
-    no task sees all rows; only a bucket's last batch is short.
+    Which rows share a batch has no meaning, so numbering stays inside buckets of about
+    bucket_rows rows, and tasks grow in number, not in size; only a bucket's last batch
+    is short. Rows are counted when the plan is made.
     """
-    size = max(1, size)
+    size, buckets = max(1, size), max(1, -(-rows.count() // bucket_rows))
     hashed = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
     bucketed = rows.withColumn("bucket", (hashed % buckets).cast("int"))
     number = F.row_number().over(Window.partitionBy("bucket").orderBy(key)) - 1

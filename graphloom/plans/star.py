@@ -117,38 +117,140 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole
 
 
-def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event nodes (struct `node`, `group_slug`) made of orders, customers and suppliers.
+def _spelled(key: str | Column) -> Column:
+    """A number in letters."""
+    return F.translate((F.col(key) if isinstance(key, str) else key).cast("string"), "0123456789", "abcdefghij")
 
-    Each line of an order is a talk of its description, in one of five layouts by
-    order; titles, people and companies are spelled from the tables' keys and names.
-    """
-    spelled = lambda key: F.translate(F.col(key).cast("string"), "0123456789", "abcdefghij")
+
+def person(key: str, first: str = "Ann") -> Column:
+    """A name made of a key."""
+    return F.concat(F.lit(f"{first} "), F.initcap(_spelled(key)), F.lit("son"))
+
+
+def company(key: str) -> Column:
+    """A company made of a key."""
+    return F.concat(F.initcap(_spelled(key)), F.lit("corp"))
+
+
+def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders as talks: l_orderkey, l_linenumber, l_partkey, l_suppkey, person, company, title."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.initcap("p_name").alias("thing"))
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    person = F.concat(F.lit("Ann "), F.initcap(spelled("l_suppkey")), F.lit("son"))
-    company = F.concat(F.initcap(spelled("s_nationkey")), F.lit("corp"))
-    title = F.concat(F.lit("Shipping "), F.col("thing"), F.lit(" By Lot "), F.initcap(spelled("l_linenumber")))
-    told = lines.join(parts, "l_partkey").join(suppliers, "l_suppkey").withColumns({"person": person, "company": company, "title": title})
+    title = F.concat(F.lit("Shipping "), F.col("thing"), F.lit(" By Lot "), F.initcap(_spelled("l_linenumber")))
+    told = lines.join(parts, "l_partkey").join(suppliers, "l_suppkey")
+    return told.withColumns({"person": person("l_suppkey"), "company": company("s_nationkey"), "title": title})
+
+
+def five_layouts() -> Column:
+    """A lot's text in a layout by order: bold title, numbered section, labels, bullet with a long dash, time slot."""
     layout = F.col("l_orderkey") % 5
-    text = (
+    return (
         F.when(layout == 0, F.format_string("**%s**\n\n*%s, %s*\nA talk on lots.\n", "title", "person", "company"))
         .when(layout == 1, F.format_string("(%d) %s\n%s, %s\n", "l_linenumber", "title", "person", "company"))
         .when(layout == 2, F.format_string("Presentation: %s\nSpeaker: %s, %s\n", "title", "person", "company"))
         .when(layout == 3, F.format_string("* %s – %s, %s\n", "title", "person", "company"))
         .otherwise(F.format_string("6:30 - %s - %s, %s\n", "title", "person", "company"))
     )
-    blocks = told.select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", text.alias("text")).alias("b"))
+
+
+def other_layouts() -> Column:
+    """A lot's text in a layout by order: heading and label, quotes twice, bulleted agenda twice."""
+    layout, even = F.col("l_orderkey") % 5, F.col("l_linenumber") % 2 == 0
+    return (
+        F.when(layout == 0, F.format_string("## %s\nSpeaker: %s, %s\nWords on lots.\n", "title", "person", "company"))
+        .when(layout == 1, F.format_string('"%s" by %s, %s.\n\n* more\n', "title", "person", "company"))
+        .when(layout == 2, F.format_string('"%s"\n%s, %s\nWords on lots.\n\n* more\n', "title", "person", "company"))
+        .when((layout == 3) & even, F.format_string("* **%s** - %s, %s\n", "title", "person", "company"))
+        .when(layout == 3, F.format_string("* %s - %s, %s\n", "title", "person", "company"))
+        .otherwise(F.format_string("* **%s**\n%s, %s\n", "title", "person", "company"))
+    )
+
+
+def labels_layout() -> Column:
+    """A lot's text with labels, whatever the order."""
+    return F.format_string("Presentation: %s\nSpeaker: %s, %s\n", "title", "person", "company")
+
+
+def described_orders(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
+    """Orders with o_orderkey, o_custkey, o_orderdate, c_nationkey and `description`: their lots' texts in order; null without lots."""
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey", text.alias("text"))
+    blocks = lots(spark, sf_dir).select("l_orderkey", place.alias("b"))
     whole = blocks.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list("b"))["text"], "\n").alias("description"))
-    orders = table(spark, sf_dir, "orders").join(whole, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return orders.join(whole, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey").join(customers, "o_custkey")
+
+
+def announcements(spark: SparkSession, sf_dir: str, text: Column | None = None) -> DataFrame:
+    """Event nodes (struct `node`, `group_slug`) made of orders, customers and suppliers.
+
+    Each line of an order is a talk of its description; titles, people and companies
+    are spelled from the tables' keys and names.
+    """
+    told = described_orders(spark, sf_dir, five_layouts() if text is None else text)
+    key = F.col("o_orderkey").cast("string")
     node = F.struct(
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.concat(F.lit("Evening "), F.col("o_orderkey").cast("string")).alias("title"),
+        key.alias("id"),
+        F.concat(F.lit("Evening "), key).alias("title"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'20:00:00-08:00").alias("dateTime"),
         "description",
-        F.concat(F.lit("https://example.org/events/"), F.col("o_orderkey").cast("string"), F.lit("/")).alias("eventUrl"),
+        F.concat(F.lit("https://example.org/events/"), key, F.lit("/")).alias("eventUrl"),
         F.struct(*[F.lit(None).cast("string").alias(n) for n in ("name", "address", "city", "state")]).alias("venue"),
     )
-    return orders.join(customers, "o_custkey").select(node.alias("node"), F.concat(F.lit("group-"), F.col("c_nationkey").cast("string")).alias("group_slug"))
+    return told.select(node.alias("node"), F.concat(F.lit("group-"), F.col("c_nationkey").cast("string")).alias("group_slug"))
+
+
+def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event pages (key, html, url, group_slug, event_id) made of orders.
+
+    By order, in turn: a page state, a JSON-LD script, a plain page with a marked
+    description, one with a description class. A state names its venue by reference
+    (every eighth order) or holds it. Orders without lots tell their talk in the title.
+    """
+    told = described_orders(spark, sf_dir, labels_layout())
+    key, kind = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 4
+    nation = F.col("c_nationkey").cast("string")
+    own_title = F.concat(person("o_custkey"), F.lit(": Shipping Goods By Lot "), F.initcap(_spelled("o_orderkey")))
+    title = F.when(F.col("description").isNull(), own_title).otherwise(F.concat(F.lit("Evening "), key))
+    date = F.date_format("o_orderdate", "yyyy-MM-dd'T'20:00:00-08:00")
+    url = F.concat(F.lit("https://example.org/events/"), key, F.lit("/"))
+    none = F.lit(None).cast("string")
+    place = lambda hall: [hall.alias("name"), F.when(hall.isNotNull(), F.lit("1 Road")).alias("address"), F.when(hall.isNotNull(), F.lit("Town")).alias("city")]
+    hall = F.concat(F.lit("Hall "), key)
+    by_name = F.col("o_orderkey") % 8 == 0
+    venue = F.struct(F.when(by_name, F.lit("Venue:1")).alias("__ref"), *place(F.when(~by_name, hall)))
+    entry = lambda **c: F.struct(*[c.get(n, none).alias(n) for n in ("id", "title", "description", "dateTime", "eventUrl")],
+        c.get("venue", F.lit(None).cast("struct<__ref:string,name:string,address:string,city:string>")).alias("venue"),
+        c.get("group", F.lit(None).cast("struct<__ref:string>")).alias("group"), *c.get("place", place(none)))
+    group = F.struct(F.concat(F.lit("Group:"), nation).alias("__ref"))
+    state = F.create_map(
+        F.concat(F.lit("Event:"), key), entry(id=key, title=title, description=F.col("description"), dateTime=date, eventUrl=url, venue=venue, group=group),
+        F.lit("Venue:1"), entry(place=place(hall)),
+        F.concat(F.lit("Group:"), nation), entry(place=[F.concat(F.lit("Group "), nation).alias("name"), none.alias("address"), none.alias("city")]),
+    )
+    address = F.struct(F.lit("2 Road").alias("streetAddress"), F.lit("City").alias("addressLocality"))
+    script = F.struct(
+        F.lit("Event").alias("@type"), title.alias("name"), F.col("description"), date.alias("startDate"),
+        F.struct(F.concat(F.lit("Room "), key).alias("name"), address.alias("address")).alias("location"),
+        F.struct(F.concat(F.lit("Makers "), nation).alias("name")).alias("organizer"),
+    )
+    body = F.coalesce("description", F.lit(""))
+    html = (
+        F.when(kind == 0, F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"__APOLLO_STATE__":'), F.to_json(state), F.lit("}}}</script><h1>No</h1>")))
+        .when(kind == 1, F.concat(F.lit('<script type="application/ld+json">{"@type":"Place"}</script><script type="application/ld+json">'), F.to_json(script), F.lit("</script><h1>No</h1>")))
+        .when(kind == 2, F.concat(F.lit("<body><h1> "), title, F.lit('</h1><div class="event-description">no</div><div data-testid="event-description">'), body, F.lit("</div></body>")))
+        .otherwise(F.concat(F.lit("<body><h1>"), title, F.lit('</h1><h1>No</h1><div class="x event-description">'), body, F.lit("</div></body>")))
+    )
+    return told.select(F.col("o_orderkey").alias("key"), html.alias("html"), url.alias("url"), F.concat(F.lit("group-"), nation).alias("group_slug"), key.alias("event_id"))
+
+
+def filled_lines(spark: SparkSession, sf_dir: str, templates: tuple[str, ...]) -> DataFrame:
+    """(key, form, line) of customers: templates in turn, with {n} and {m} for names, {c} for a company, {t} for a title."""
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_nationkey")
+    form = F.pmod(F.col("key"), F.lit(len(templates))).cast("int")
+    line = F.element_at(F.array(*map(F.lit, templates)), form + 1)
+    values = {"{n}": person("key"), "{m}": person("key", "Bob"), "{c}": company("c_nationkey"), "{t}": F.concat(F.lit("Shipping Goods By Lot "), F.initcap(_spelled("key")))}
+    for mark, value in values.items():
+        line = F.replace(line, F.lit(mark), value)
+    return rows.select("key", form.alias("form"), line.alias("line"))

@@ -7,8 +7,6 @@ groups and companies, suppliers speakers, parts projects.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,87 +16,9 @@ from .operators import batches, enrich, graph, traverse
 from .operators.records import record_json, spread_edges, spread_nodes, talk_records
 from .operators.talks import batch_positions, recover_descriptions, talk_rows, with_talks
 from .plans import star, workloads
+from .registry import DEFAULT_DATE, EDGES, LINKS, LOTS, NODES, ORACLES, QUERIES, ROWS, RUN_TS, TALK_ID, TALKS, TO_TEXT, normal, plain, query, slug, trimmed
 from .sources import pages, records, tables
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-RUN_TS, DEFAULT_DATE = "2024-01-01T00:00:00Z", "2024-01-01"
-
-
-def query(sql: str | None = None):
-    """Register a query under its function's name, with its SQL."""
-
-    def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql:
-            ORACLES[function.__name__] = sql
-        return function
-
-    return register
-
-
-# --- SQL that several oracles share ----------------------------------------------
-
-_EDGES = """edges AS (SELECT DISTINCT * FROM (
-  SELECT 'talk:' || o_orderkey AS src, 'event:' || o_custkey AS dst, 'PRESENTED_AT' AS label FROM orders
-  UNION ALL SELECT 'event:' || c_custkey, 'group:' || c_nationkey, 'PART_OF' FROM customer
-  UNION ALL SELECT 'talk:' || l_orderkey, 'speaker:' || l_suppkey, 'PRESENTED_BY' FROM lineitem
-  UNION ALL SELECT 'speaker:' || s_suppkey, 'company:' || s_nationkey, 'WORKS_AT' FROM supplier
-  UNION ALL SELECT 'talk:' || l_orderkey, 'project:' || l_partkey, 'MENTIONS' FROM lineitem))"""
-_NODES = """nodes AS (
-  SELECT 'talk:' || o_orderkey AS id, 'Talk' AS label, NULL AS name FROM orders
-  UNION ALL SELECT 'event:' || c_custkey, 'Event', c_name FROM customer
-  UNION ALL SELECT 'group:' || n_nationkey, 'Group', n_name FROM nation
-  UNION ALL SELECT 'speaker:' || s_suppkey, 'Speaker', s_name FROM supplier
-  UNION ALL SELECT 'company:' || n_nationkey, 'Company', n_name FROM nation
-  UNION ALL SELECT 'project:' || p_partkey, 'Project', p_name FROM part)"""
-_ROWS = """rows AS (SELECT *, printf('%012d-%04d-%09d-%09d', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS place
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-  JOIN part ON l_partkey = p_partkey)"""
-
-
-def _slug(text: str, cap: int = 60) -> str:
-    whole = f"rtrim(substr(trim(regexp_replace(lower({text}), '[^a-z0-9]+', '-', 'g'), '-'), 1, 60), '-')"
-    return whole if cap >= 60 else f"rtrim(substr({whole}, 1, {cap}), '-')"
-
-
-def _normal(text: str) -> str:
-    return f"trim(regexp_replace(lower({text}), '[^a-z0-9]+', '-', 'g'), '-')"
-
-
-def _trimmed(text: str) -> str:
-    return rf"regexp_replace({text}, '^\s+|\s+$', '', 'g')"
-
-
-def _plain(text: str, *steps: tuple[str, str]) -> str:
-    for pattern, new in steps:
-        text = f"regexp_replace({text}, '{pattern}', '{new}', 'g')"
-    return _trimmed(text)
-
-
-_LINKS = ((r"\[([^\]]+)\]\([^)]+\)", r"\1"), (r"\*{1,3}([^*]+)\*{1,3}", r"\1"))
-_TO_TEXT = (*_LINKS, (r"(?m)^#{1,6}\s+", ""), (r"(?m)^[*\-•]\s+", ""), (r"\\(.)", r"\1"), (r"\n{3,}", "\n\n"))
-_INITCAP = "array_to_string(list_transform(string_split({0}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
-_SPELLED = "translate({0}::VARCHAR, '0123456789', 'abcdefghij')"
-
-
-def _cap(text: str) -> str:
-    return f"upper(({text})[1]) || ({text})[2:]"
-
-
-_TALKS = f"""lots AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    'Ann ' || {_cap(_SPELLED.format("l_suppkey"))} || 'son' AS person, {_cap(_SPELLED.format("s_nationkey"))} || 'corp' AS company,
-    'Shipping ' || {_INITCAP.format("p_name")} || ' By Lot ' || {_cap(_SPELLED.format("l_linenumber"))} AS title,
-    count(*) OVER (PARTITION BY l_orderkey) AS n_lines,
-    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS talk_order
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
-talks AS (SELECT *, o_orderdate::DATE + 1 AS day FROM lots JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  WHERE l_orderkey % 5 <> 1 OR n_lines > 1)"""
-_TALK_ID = f"'talk-' || strftime(day, '%Y%m%d') || '-' || {_slug('title', 45)} || '-' || {_slug('person', 30)}"
-
-
 def _docs(spark: SparkSession, d: str) -> DataFrame:
     return star.table(spark, d, "documents")
 
@@ -126,7 +46,7 @@ def _event_rows(spark: SparkSession, d: str) -> DataFrame:
 # --- sources ------------------------------------------------------------------------
 
 
-@query(f"WITH {_TALKS} SELECT l_orderkey::VARCHAR AS id, count(*) AS n_nodes, count(DISTINCT person) AS n_people FROM talks GROUP BY 1")
+@query(f"WITH {TALKS} SELECT l_orderkey::VARCHAR AS id, count(*) AS n_nodes, count(DISTINCT person) AS n_people FROM talks GROUP BY 1")
 def a2_response_events(spark: SparkSession, d: str) -> DataFrame:
     """Events as JSON response pages, read back, and their talks."""
     node = star.announcements(spark, d)
@@ -139,7 +59,7 @@ def a2_response_events(spark: SparkSession, d: str) -> DataFrame:
     return people.groupBy("id").agg(F.count("*").alias("n_nodes"), F.count_distinct("person").alias("n_people"))
 
 
-@query(f"""WITH {_TALKS}, r AS (SELECT {_TALK_ID} AS tid, * FROM talks), k AS (SELECT tid, max(l_orderkey::VARCHAR || '@' || c_nationkey) AS one FROM r GROUP BY 1)
+@query(f"""WITH {TALKS}, r AS (SELECT {TALK_ID} AS tid, * FROM talks), k AS (SELECT tid, max(l_orderkey::VARCHAR || '@' || c_nationkey) AS one FROM r GROUP BY 1)
 SELECT 'talk:' || tid AS id, tid AS own_id FROM k""")
 def a3_record_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Talk records written as JSON text and parsed again, broken texts beside them."""
@@ -164,7 +84,7 @@ def a4_older_records(spark: SparkSession, d: str) -> DataFrame:
     return nodes.join(edges, "source_file").select("id", "label", name, own, "src", "dst")
 
 
-@query(f"""WITH {_TALKS}, r AS (SELECT {_TALK_ID} AS id, 'source/group-' || c_nationkey || '/' || l_orderkey || '.html' AS source_file FROM talks)
+@query(f"""WITH {TALKS}, r AS (SELECT {TALK_ID} AS id, 'source/group-' || c_nationkey || '/' || l_orderkey || '.html' AS source_file FROM talks)
 SELECT id, max(source_file) AS source_file FROM r GROUP BY id""")
 def a5_last_record(spark: SparkSession, d: str) -> DataFrame:
     """One record per talk id: the last one written."""
@@ -184,7 +104,7 @@ def b1_event_rows(spark: SparkSession, d: str) -> DataFrame:
     return events.select("id", "title", "date", X.rfc3339(F.col("datetime")).alias("instant"), "group_name")
 
 
-@query(rf"""SELECT page_id, coalesce(nullif({_trimmed("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")}, ''), 'Untitled Event') AS title,
+@query(rf"""SELECT page_id, coalesce(nullif({trimmed("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")}, ''), 'Untitled Event') AS title,
   coalesce(nullif(regexp_extract(url, '/events/(\d+)', 1), ''), 'unknown') AS event_id FROM pages""")
 def b5_plain_pages(spark: SparkSession, d: str) -> DataFrame:
     """First h1 and event id of plain pages, by pattern."""
@@ -196,13 +116,6 @@ def b5_plain_pages(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("SELECT 'html' AS source, count(*) AS n, count(DISTINCT url) AS n_urls FROM pages")
-def b6_page_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """Which parser reads each page: these pages have neither a state nor a JSON-LD event."""
-    told = star.table(spark, d, "pages").select("html", "url", F.lit("g").alias("group_slug"))
-    return pages.page_events(told).groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("url").alias("n_urls"))
-
-
 @query("""WITH s AS (SELECT 'https://example.org/events/' || page_id % 97 AS url, min_by('Page ' || page_id, printf('%012d', page_id)) AS title FROM pages GROUP BY 1)
 SELECT * FROM s""")
 def b7_event_links(spark: SparkSession, d: str) -> DataFrame:
@@ -217,16 +130,22 @@ def b7_event_links(spark: SparkSession, d: str) -> DataFrame:
     return pages.event_links(told.select(F.format_string("%012d", "page_id").alias("path"), state.alias("state")))
 
 
-@query(f"WITH {_EDGES} SELECT DISTINCT src AS talk FROM edges WHERE label = 'PRESENTED_BY'")
+def _lot_talks(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with `talks` made of their lines; lines of small quantity have no speaker."""
+    lines = star.table(spark, d, "lineitem")
+    people = F.when(F.col("l_quantity") > 5, F.array(F.struct(F.col("l_suppkey").cast("string").alias("name")))).otherwise(F.array().cast("array<struct<name:string>>"))
+    row = F.struct("l_linenumber", "l_partkey", "l_suppkey", people.alias("speakers"))
+    told = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(row)).alias("talks"))  # an order has few lines
+    return told.select("l_orderkey", F.transform("talks", lambda t: F.struct(t["l_partkey"].alias("part"), t["speakers"].alias("speakers"))).alias("talks"))
+
+
+@query("SELECT l_orderkey, count(*) AS n_talks FROM lineitem WHERE l_quantity > 5 GROUP BY 1")
 def b8_talks_with_speakers(spark: SparkSession, d: str) -> DataFrame:
-    """Talks without a speaker are dropped; here a talk's speakers are its lines' suppliers."""
-    orders, lines = star.table(spark, d, "orders"), star.table(spark, d, "lineitem")
-    people = lines.groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("speakers"))  # a talk has few lines
-    talks = orders.join(people, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return talks.filter(F.coalesce(F.size("speakers"), F.lit(0)) > 0).select(star.nid("talk", "o_orderkey").alias("talk"))
+    """Talks without a speaker are dropped, and events without any other talk."""
+    return talk_rows(_lot_talks(spark, d)).groupBy("l_orderkey").agg(F.count("*").alias("n_talks"))
 
 
-@query(f"SELECT doc_id FROM documents WHERE octet_length(encode({_trimmed('text')})) >= 50")
+@query(f"SELECT doc_id FROM documents WHERE octet_length(encode({trimmed('text')})) >= 50")
 def b9_long_descriptions(spark: SparkSession, d: str) -> DataFrame:
     return batches.long_enough(_docs(spark, d), "text").select("doc_id")
 
@@ -237,13 +156,13 @@ def b10_group_selection(spark: SparkSession, d: str) -> DataFrame:
     return chosen.groupBy("group_slug").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_ROWS}, f AS (SELECT 'talk:' || l_orderkey AS nid, min_by(p_name, place) AS title, '' AS abstract_text, CAST(min_by(l_linenumber, place) AS BIGINT) AS talk_order
+@query(f"""WITH {ROWS}, f AS (SELECT 'talk:' || l_orderkey AS nid, min_by(p_name, place) AS title, '' AS abstract_text, CAST(min_by(l_linenumber, place) AS BIGINT) AS talk_order
   FROM rows GROUP BY 1) SELECT * FROM f""")
 def b11_typed_talks(spark: SparkSession, d: str) -> DataFrame:
     return graph.typed_nodes(graph.first_nodes(star.raw_nodes(spark, d)), "Talk")
 
 
-@query(f"""WITH {_ROWS} SELECT 'event:' || c_custkey AS nid, any_value(c_custkey)::VARCHAR AS event_id, any_value(c_name) AS title,
+@query(f"""WITH {ROWS} SELECT 'event:' || c_custkey AS nid, any_value(c_custkey)::VARCHAR AS event_id, any_value(c_name) AS title,
   strftime(min_by(o_orderdate, place), '%Y-%m-%d') AS date, '' AS datetime, '' AS url, '' AS venue_name, '' AS venue_address, '' AS city FROM rows GROUP BY 1""")
 def b11_typed_events(spark: SparkSession, d: str) -> DataFrame:
     return graph.typed_nodes(graph.first_nodes(star.raw_nodes(spark, d)), "Event")
@@ -256,12 +175,12 @@ def b12_safe_labels(spark: SparkSession, d: str) -> DataFrame:
     return labels.groupBy("label", graph.is_safe_label(F.col("label")).alias("safe")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_EDGES} SELECT label, count(*) AS n FROM edges WHERE label IN ('PRESENTED_AT', 'MENTIONS') GROUP BY 1")
+@query(f"WITH {EDGES} SELECT label, count(*) AS n FROM edges WHERE label IN ('PRESENTED_AT', 'MENTIONS') GROUP BY 1")
 def b13_closed_kinds(spark: SparkSession, d: str) -> DataFrame:
     return graph.known_kinds(star.edges(spark, d), ("PRESENTED_AT", "MENTIONS")).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_NODES} SELECT id, label, name FROM nodes WHERE id = 'speaker:7'")
+@query(f"WITH {NODES} SELECT id, label, name FROM nodes WHERE id = 'speaker:7'")
 def b14_node_lookup(spark: SparkSession, d: str) -> DataFrame:
     return graph.node_by_id(star.nodes(spark, d), "speaker:7").select("id", "label", X.str_prop(F.col("props"), "name").alias("name"))
 
@@ -286,7 +205,7 @@ def c2_not_extracted(spark: SparkSession, d: str) -> DataFrame:
     return todo.select(F.col("id").cast("bigint").alias("doc_id"))
 
 
-@query(f"""WITH {_EDGES}, {_NODES}, kept AS (SELECT * FROM nodes WHERE id NOT LIKE '%7')
+@query(f"""WITH {EDGES}, {NODES}, kept AS (SELECT * FROM nodes WHERE id NOT LIKE '%7')
 SELECT label, count(*) AS n FROM edges WHERE src IN (SELECT id FROM kept) AND dst IN (SELECT id FROM kept) GROUP BY 1""")
 def c3_joined_edges(spark: SparkSession, d: str) -> DataFrame:
     """Edges whose ends exist when all nodes whose id ends in 7 are missing; labels are checked."""
@@ -294,12 +213,12 @@ def c3_joined_edges(spark: SparkSession, d: str) -> DataFrame:
     return graph.joined_edges(star.edges(spark, d), nodes).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_EDGES} SELECT src AS talk FROM edges WHERE label = 'PRESENTED_BY' AND dst = 'speaker:7'")
+@query(f"WITH {EDGES} SELECT src AS talk FROM edges WHERE label = 'PRESENTED_BY' AND dst = 'speaker:7'")
 def c5_talks_of_speaker(spark: SparkSession, d: str) -> DataFrame:
     return traverse.talks_of(star.edges(spark, d), "speaker:7")
 
 
-@query(f"WITH {_EDGES} SELECT DISTINCT b.dst AS speaker FROM edges a JOIN edges b ON a.src = b.src AND b.label = 'PRESENTED_BY' WHERE a.label = 'PRESENTED_AT' AND a.dst = 'event:11'")
+@query(f"WITH {EDGES} SELECT DISTINCT b.dst AS speaker FROM edges a JOIN edges b ON a.src = b.src AND b.label = 'PRESENTED_BY' WHERE a.label = 'PRESENTED_AT' AND a.dst = 'event:11'")
 def c6_speakers_at_event(spark: SparkSession, d: str) -> DataFrame:
     return traverse.speakers_at(star.edges(spark, d), "event:11")
 
@@ -308,30 +227,30 @@ _GROUPS = """hops AS (SELECT DISTINCT a.dst AS speaker, c.dst AS "group" FROM ed
   JOIN edges c ON b.dst = c.src AND c.label = 'PART_OF' WHERE a.label = 'PRESENTED_BY')"""
 
 
-@query(f"""WITH {_EDGES}, {_GROUPS} SELECT speaker, "group" FROM hops WHERE speaker = 'speaker:7'""")
+@query(f"""WITH {EDGES}, {_GROUPS} SELECT speaker, "group" FROM hops WHERE speaker = 'speaker:7'""")
 def c7_groups_of_speaker(spark: SparkSession, d: str) -> DataFrame:
     return traverse.groups_of(star.edges(spark, d), _seeds(spark, 7))
 
 
-@query(f"""WITH {_EDGES}, w AS (SELECT DISTINCT o.dst AS company, o.src AS speaker, c.src AS colleague FROM edges o JOIN edges c ON o.dst = c.dst AND c.label = 'WORKS_AT'
+@query(f"""WITH {EDGES}, w AS (SELECT DISTINCT o.dst AS company, o.src AS speaker, c.src AS colleague FROM edges o JOIN edges c ON o.dst = c.dst AND c.label = 'WORKS_AT'
   WHERE o.label = 'WORKS_AT' AND o.src = 'speaker:7' AND c.src <> o.src)
 SELECT DISTINCT w.speaker, m.dst AS project FROM w JOIN edges p ON p.dst = w.colleague AND p.label = 'PRESENTED_BY' JOIN edges m ON m.src = p.src AND m.label = 'MENTIONS'""")
 def c9_employer_projects(spark: SparkSession, d: str) -> DataFrame:
     return traverse.employer_projects(star.edges(spark, d), _seeds(spark, 7))
 
 
-@query(f"""WITH {_EDGES} SELECT x.dst AS a, y.dst AS b, count(*) AS n_talks FROM edges x JOIN edges y ON x.src = y.src AND x.dst < y.dst AND y.label = 'PRESENTED_BY'
+@query(f"""WITH {EDGES} SELECT x.dst AS a, y.dst AS b, count(*) AS n_talks FROM edges x JOIN edges y ON x.src = y.src AND x.dst < y.dst AND y.label = 'PRESENTED_BY'
 WHERE x.label = 'PRESENTED_BY' GROUP BY 1, 2""")
 def c10_co_presenters(spark: SparkSession, d: str) -> DataFrame:
     return traverse.co_presenters(star.edges(spark, d))
 
 
-@query(f"""WITH {_EDGES}, {_GROUPS} SELECT DISTINCT "group" FROM hops WHERE speaker IN ('speaker:3', 'speaker:5', 'speaker:7')""")
+@query(f"""WITH {EDGES}, {_GROUPS} SELECT DISTINCT "group" FROM hops WHERE speaker IN ('speaker:3', 'speaker:5', 'speaker:7')""")
 def c11_groups_of_speakers(spark: SparkSession, d: str) -> DataFrame:
     return traverse.groups_of_all(star.edges(spark, d), _seeds(spark, 3, 5, 7))
 
 
-@query(f"""WITH {_EDGES}, {_NODES} SELECT e.label, a.label AS src_label, b.label AS dst_label, count(*) AS n FROM edges e JOIN nodes a ON e.src = a.id JOIN nodes b ON e.dst = b.id GROUP BY 1, 2, 3""")
+@query(f"""WITH {EDGES}, {NODES} SELECT e.label, a.label AS src_label, b.label AS dst_label, count(*) AS n FROM edges e JOIN nodes a ON e.src = a.id JOIN nodes b ON e.dst = b.id GROUP BY 1, 2, 3""")
 def c12_endpoint_kinds(spark: SparkSession, d: str) -> DataFrame:
     return traverse.endpoint_kinds(star.edges(spark, d), star.nodes(spark, d))
 
@@ -359,8 +278,8 @@ _MATCHES = f"""ranked AS (SELECT p.p_partkey AS own, p.p_name AS pname, 'https:/
     'owner' || r.p_partkey || '/' || r.p_name AS rfull, r.p_type AS rdesc,
     row_number() OVER (PARTITION BY p.p_partkey ORDER BY r.p_size DESC, 'owner' || r.p_partkey || '/' || r.p_name) AS rank
   FROM part p JOIN part r ON r.p_partkey BETWEEN p.p_partkey + 1 AND p.p_partkey + 6),
-scored AS (SELECT *, {_normal("pname")} AS n, {_normal("rname")} AS r FROM ranked WHERE rank <= 5),
-tiers AS (SELECT *, CASE WHEN contains(r, n) OR contains(n, r) OR contains({_normal("rfull")}, n) OR contains({_normal("rdesc")}, n) THEN 1
+scored AS (SELECT *, {normal("pname")} AS n, {normal("rname")} AS r FROM ranked WHERE rank <= 5),
+tiers AS (SELECT *, CASE WHEN contains(r, n) OR contains(n, r) OR contains({normal("rfull")}, n) OR contains({normal("rdesc")}, n) THEN 1
     WHEN rank = 1 AND 2 * len(list_intersect(list_distinct(string_split(n, '-')), list_distinct(string_split(r, '-'))))
       >= len(list_distinct(list_concat(string_split(n, '-'), string_split(r, '-')))) THEN 2 END AS tier FROM scored),
 matches AS (SELECT 'project:' || p_partkey AS id, p_name AS name, (SELECT arg_min(html_url, tier * 10 + rank) FROM tiers WHERE own = p_partkey AND tier IS NOT NULL) AS url FROM part)"""
@@ -377,28 +296,35 @@ def c8_enriched_nodes(spark: SparkSession, d: str) -> DataFrame:
     return graph.typed_nodes(enrich.with_urls(star.nodes(spark, d), matches), "Project")
 
 
-@query(f"WITH {_MATCHES} SELECT count(*) AS n_searched, count(url) AS n_matched FROM matches")
+@query(f"""WITH {_MATCHES} SELECT count(*) AS n_searched, count(url) AS n_matched, (SELECT count(*) FROM lineitem WHERE 'project:' || l_partkey IN (SELECT id FROM matches WHERE url IS NOT NULL)) AS n_nodes_updated,
+  (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE 'project:' || l_partkey IN (SELECT id FROM matches WHERE url IS NOT NULL)) AS n_records_updated FROM matches""")
 def d15_coverage(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.coverage(enrich.matched_projects(_projects(spark, d), enrich.ranked_candidates(_catalog(spark, d))))
+    """Searched and matched projects; each line of an order names its project once in the order's record."""
+    matches = enrich.matched_projects(_projects(spark, d), enrich.ranked_candidates(_catalog(spark, d)))
+    lines = star.table(spark, d, "lineitem")
+    return enrich.coverage(matches, lines.select(F.col("l_orderkey").alias("source_file"), star.nid("project", "l_partkey").alias("id"), F.lit("Project").alias("label")))
 
 
-@query("""WITH t AS (SELECT 'project:' || p_partkey AS project_nid, unnest(list_distinct(string_split(p_name, ' '))) AS token FROM part),
-r AS (SELECT s_name AS repo, unnest(list_distinct(string_split(lower(s_name), '#'))) AS token FROM supplier),
-v AS (SELECT DISTINCT p_name, unnest(list_distinct(string_split(p_name, ' '))) AS token FROM part),
-rare AS (SELECT token FROM v GROUP BY 1 HAVING count(*) <= 1000)
-SELECT project_nid, count(DISTINCT v.p_name) AS n FROM t JOIN rare USING (token) JOIN v USING (token) GROUP BY 1""")
+@query(f"""WITH p AS (SELECT DISTINCT p_name || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ' ' || p_partkey % 7 END AS pname, {normal("p_name || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ' ' || p_partkey % 7 END")} AS n FROM part),
+r AS (SELECT DISTINCT {normal("p_brand || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END")} AS r, {normal("'own/' || p_type")} AS f, {normal("p_name || ' and ' || p_type")} AS d FROM part),
+m AS (SELECT pname, r.r, r.f, r.d FROM p, r WHERE n <> '' AND r.r <> '' AND (contains(r.r, n) OR contains(n, r.r) OR contains(r.f, n) OR contains(r.d, n) OR len(list_intersect(string_split(n, '-'), string_split(r.r, '-'))) * 2
+  >= len(list_distinct(list_concat(string_split(n, '-'), string_split(r.r, '-'))))))
+SELECT pname AS project_nid, count(*) AS n FROM m GROUP BY 1""")
 def c13_catalog_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates by shared name tokens from a catalog of distinct names."""
-    names = star.table(spark, d, "part").select(F.col("p_name").alias("name")).distinct()
-    projects = star.table(spark, d, "part").select(star.nid("project", "p_partkey").alias("id"), F.col("p_name").alias("name"))
-    found = enrich.catalog_candidates(projects, names)
-    return found.groupBy("project_nid").agg(F.count_distinct("name").alias("n"))
+    """All repositories of a catalog that can match a project, by containment or by half of the tokens; names are made of parts."""
+    part = star.table(spark, d, "part")
+    seventh = F.when(F.col("p_partkey") % 5 == 0, "").otherwise(F.concat(F.lit(" "), (F.col("p_partkey") % 7).cast("string")))
+    name = F.concat("p_name", seventh)
+    repo = F.concat("p_brand", F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.col("p_name")))
+    catalog = part.select(repo.alias("name"), F.concat(F.lit("own/"), "p_type").alias("full_name"), F.concat("p_name", F.lit(" and "), "p_type").alias("description"))
+    found = enrich.catalog_candidates(part.select(name.alias("id"), name.alias("name")).distinct(), catalog.distinct())
+    return found.groupBy("project_nid").agg(F.count("*").alias("n"))
 
 
 # --- aggregation, deduplication, merge ------------------------------------------------------
 
 
-@query(f"""WITH {_ROWS}, f AS (
+@query(f"""WITH {ROWS}, f AS (
   SELECT 'talk:' || l_orderkey AS id, 'Talk' AS label, min_by(p_name, place) AS v FROM rows GROUP BY 1
   UNION ALL SELECT 'event:' || c_custkey, 'Event', any_value(c_name) FROM rows GROUP BY c_custkey
   UNION ALL SELECT 'group:' || c_nationkey, 'Group', any_value(n_name) FROM rows JOIN nation ON n_nationkey = c_nationkey GROUP BY c_nationkey
@@ -411,13 +337,13 @@ def d1_first_nodes(spark: SparkSession, d: str) -> DataFrame:
     return nodes.select("id", "label", F.when(F.col("label").isin("Talk", "Event"), title).otherwise(name).alias("v"))
 
 
-@query(f"WITH {_ROWS} SELECT 'event:' || c_custkey AS id, strftime(max_by(o_orderdate, place), '%Y-%m-%d') AS date FROM rows GROUP BY 1")
+@query(f"WITH {ROWS} SELECT 'event:' || c_custkey AS id, strftime(max_by(o_orderdate, place), '%Y-%m-%d') AS date FROM rows GROUP BY 1")
 def d2_last_nodes(spark: SparkSession, d: str) -> DataFrame:
     nodes = graph.last_nodes(star.raw_nodes(spark, d)).filter("label = 'Event'")
     return nodes.select("id", X.str_prop(F.col("props"), "date").alias("date"))
 
 
-@query(f"""WITH {_ROWS} SELECT DISTINCT * FROM (SELECT 'talk:' || l_orderkey AS src, 'event:' || o_custkey AS dst, 'PRESENTED_AT' AS label FROM rows
+@query(f"""WITH {ROWS} SELECT DISTINCT * FROM (SELECT 'talk:' || l_orderkey AS src, 'event:' || o_custkey AS dst, 'PRESENTED_AT' AS label FROM rows
   UNION ALL SELECT 'event:' || o_custkey, 'group:' || c_nationkey, 'PART_OF' FROM rows UNION ALL SELECT 'talk:' || l_orderkey, 'speaker:' || l_suppkey, 'PRESENTED_BY' FROM rows
   UNION ALL SELECT 'speaker:' || l_suppkey, 'company:' || s_nationkey, 'WORKS_AT' FROM rows UNION ALL SELECT 'talk:' || l_orderkey, 'project:' || l_partkey, 'MENTIONS' FROM rows)""")
 def d3_distinct_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -453,47 +379,47 @@ def d4_replaced_nodes(spark: SparkSession, d: str) -> DataFrame:
     return _merged(spark, d, True)
 
 
-@query(f"WITH {_EDGES} SELECT src, dst, label, CASE WHEN label = 'WORKS_AT' THEN 'new' ELSE 'old' END AS props FROM edges WHERE label IN ('PART_OF', 'WORKS_AT')")
+@query(f"WITH {EDGES} SELECT src, dst, label, CASE WHEN label = 'WORKS_AT' THEN 'new' ELSE 'old' END AS props FROM edges WHERE label IN ('PART_OF', 'WORKS_AT')")
 def d4_merged_edges(spark: SparkSession, d: str) -> DataFrame:
     edges = star.edges(spark, d).filter("label IN ('PART_OF', 'WORKS_AT')")
     return graph.merge_edges(edges.withColumn("props", F.lit("old")), edges.filter("label = 'WORKS_AT'").withColumn("props", F.lit("new")))
 
 
-@query(f"WITH {_NODES} SELECT label, count(*) AS n FROM nodes GROUP BY 1 UNION ALL SELECT 'Venue', 0")
+@query(f"WITH {NODES} SELECT label, count(*) AS n FROM nodes GROUP BY 1 UNION ALL SELECT 'Venue', 0")
 def d5_node_counts(spark: SparkSession, d: str) -> DataFrame:
     return graph.label_counts(star.nodes(spark, d), (*schemas.NODE_LABELS, "Venue"))
 
 
-@query(f"WITH {_EDGES} SELECT label, count(*) AS n FROM edges GROUP BY 1")
+@query(f"WITH {EDGES} SELECT label, count(*) AS n FROM edges GROUP BY 1")
 def d6_edge_counts(spark: SparkSession, d: str) -> DataFrame:
     return graph.label_counts(star.edges(spark, d), schemas.EDGE_TYPES)
 
 
-@query(f"""WITH {_ROWS} SELECT count(DISTINCT l_orderkey) + count(DISTINCT c_custkey) + count(DISTINCT c_nationkey) + count(DISTINCT l_suppkey) + count(DISTINCT s_nationkey)
+@query(f"""WITH {ROWS} SELECT count(DISTINCT l_orderkey) + count(DISTINCT c_custkey) + count(DISTINCT c_nationkey) + count(DISTINCT l_suppkey) + count(DISTINCT s_nationkey)
   + count(DISTINCT l_partkey) AS n_nodes, CAST(6 AS BIGINT) AS n_node_kinds, count(DISTINCT l_orderkey) + count(DISTINCT c_custkey) + count(DISTINCT (l_orderkey, l_suppkey))
   + count(DISTINCT l_suppkey) + count(DISTINCT (l_orderkey, l_partkey)) AS n_edges, CAST(5 AS BIGINT) AS n_edge_kinds FROM rows""")
 def d7_summary(spark: SparkSession, d: str) -> DataFrame:
-    return graph.summary(star.raw_nodes(spark, d), star.raw_edges(spark, d))
+    return graph.summary_of_records(star.records(spark, d))
 
 
-@query(f"""WITH {_TALKS}, t AS (SELECT l_orderkey, count(*) AS n FROM talks GROUP BY 1)
+@query(f"""WITH {TALKS}, t AS (SELECT l_orderkey, count(*) AS n FROM talks GROUP BY 1)
 SELECT 'group-' || c_nationkey AS group_slug, count(*) AS n_events, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_talks, count(*) FILTER (n IS NULL) AS n_skipped
 FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN t ON l_orderkey = o_orderkey GROUP BY 1""")
 def d8_run_totals(spark: SparkSession, d: str) -> DataFrame:
     return batches.run_totals(with_talks(records.response_events(star.announcements(spark, d))))
 
 
-@query(f"WITH {_EDGES} SELECT dst AS speaker, count(DISTINCT src) AS n_talks FROM edges WHERE label = 'PRESENTED_BY' GROUP BY 1")
+@query(f"WITH {EDGES} SELECT dst AS speaker, count(DISTINCT src) AS n_talks FROM edges WHERE label = 'PRESENTED_BY' GROUP BY 1")
 def d9_talks_per_speaker(spark: SparkSession, d: str) -> DataFrame:
     return traverse.talks_per_speaker(star.edges(spark, d))
 
 
-@query(f"WITH {_EDGES} SELECT dst AS project, count(*) AS n_talks FROM edges WHERE label = 'MENTIONS' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+@query(f"WITH {EDGES} SELECT dst AS project, count(*) AS n_talks FROM edges WHERE label = 'MENTIONS' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 def d10_top_projects(spark: SparkSession, d: str) -> DataFrame:
     return traverse.top_projects(star.edges(spark, d))
 
 
-@query(f"WITH {_EDGES} SELECT dst AS company, count(DISTINCT src) AS n_speakers FROM edges WHERE label = 'WORKS_AT' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+@query(f"WITH {EDGES} SELECT dst AS company, count(DISTINCT src) AS n_speakers FROM edges WHERE label = 'WORKS_AT' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 def d11_top_companies(spark: SparkSession, d: str) -> DataFrame:
     return traverse.top_companies(star.edges(spark, d))
 
@@ -510,9 +436,20 @@ def d13_one_venue(spark: SparkSession, d: str) -> DataFrame:
     return graph.one_venue_violations(edges)
 
 
-@query("SELECT true AS talks_have_events, true AS talks_have_groups, true AS talks_have_speakers, true AS projects_are_mentioned, true AS projects_named, true AS companies_named")
+@query("""WITH o AS (SELECT count(*) > 0 AS talks FROM orders)
+SELECT 'whole' AS graph, (NOT talks OR (SELECT count(*) > 0 FROM customer)) AS talks_have_events, (NOT talks OR (SELECT count(*) > 0 FROM nation)) AS talks_have_groups,
+  (NOT talks OR (SELECT count(*) > 0 FROM supplier)) AS talks_have_speakers, ((SELECT count(*) = 0 FROM part) OR (SELECT count(*) > 0 FROM lineitem)) AS projects_are_mentioned,
+  (SELECT count(*) = 0 FROM part WHERE p_name = '') AS projects_named, (SELECT count(*) = 0 FROM nation WHERE n_name = '') AS companies_named FROM o
+UNION ALL SELECT 'thinned', (NOT talks OR (SELECT count(*) > 0 FROM customer WHERE c_custkey < 0)), (NOT talks OR (SELECT count(*) > 0 FROM nation)), (NOT talks OR (SELECT count(*) > 0 FROM supplier WHERE s_suppkey < 0)),
+  ((SELECT count(*) = 0 FROM part) OR (SELECT count(*) > 0 FROM lineitem WHERE l_partkey < 0)), (SELECT count(*) = 0 FROM part WHERE p_partkey % 50 = 0), (SELECT count(*) = 0 FROM nation WHERE n_nationkey % 50 = 49) FROM o""")
 def d14_coherence(spark: SparkSession, d: str) -> DataFrame:
-    return graph.coherence(star.nodes(spark, d), star.edges(spark, d))
+    """The whole graph, and one without events, speakers and mentions, where every fiftieth project has no name."""
+    nodes, edges = star.nodes(spark, d), star.edges(spark, d)
+    nameless = (F.col("label") == "Project") & (F.split("id", ":")[1].cast("long") % 50 == 0)
+    thin = nodes.filter("label NOT IN ('Event', 'Speaker')").withColumn("props", F.when(nameless, "{}").otherwise(F.col("props")))
+    found = [(graph.coherence(nodes, edges), "whole"), (graph.coherence(thin, edges.filter("label <> 'MENTIONS'")), "thinned")]
+    both = [f.withColumn("graph", F.lit(n)) for f, n in found]
+    return both[0].unionByName(both[1])
 
 
 # --- order, batches, top k ------------------------------------------------------------------
@@ -520,16 +457,13 @@ def d14_coherence(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT l_orderkey, l_partkey, l_suppkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER) AS talk_order FROM lineitem WHERE l_quantity > 5")
 def e1_talk_order(spark: SparkSession, d: str) -> DataFrame:
-    """Order within an event, numbered after the talks that don't count are dropped."""
-    lines = star.table(spark, d, "lineitem")
-    row = F.struct("l_linenumber", "l_partkey", "l_suppkey", (F.col("l_quantity") > 5).alias("counts"))
-    talks = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(row)).alias("talks"))  # an order has few lines
-    kept = talks.select("l_orderkey", F.posexplode(F.filter("talks", lambda t: t["counts"])).alias("talk_order", "t"))
-    return kept.select("l_orderkey", "t.l_partkey", "t.l_suppkey", "talk_order")
+    """Order within an event, numbered after the talks without speakers are dropped."""
+    kept = talk_rows(_lot_talks(spark, d))
+    return kept.select("l_orderkey", F.col("talk.part").alias("l_partkey"), F.get("talk.speakers", F.lit(0))["name"].cast("long").alias("l_suppkey"), "talk_order")
 
 
 _BUCKET = "CAST(('0x' || substr(md5({0}), 1, 8))::BIGINT % {1} AS INTEGER)"
-_PLACED = f"""b AS (SELECT *, {_BUCKET.format("doc_id::VARCHAR", 16)} AS bucket FROM documents),
+_PLACED = f"""b AS (SELECT *, {_BUCKET.format("doc_id::VARCHAR", "greatest(1, (SELECT ceil(count(*) / 64.0)::BIGINT FROM documents))")} AS bucket FROM documents),
 n AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY doc_id::VARCHAR) - 1 AS k FROM b),
 placed AS (SELECT *, CAST(k // 10 AS INTEGER) AS batch, CAST(k % 10 + 1 AS INTEGER) AS position FROM n)"""
 
@@ -537,14 +471,17 @@ placed AS (SELECT *, CAST(k // 10 AS INTEGER) AS batch, CAST(k % 10 + 1 AS INTEG
 @query(f"WITH {_PLACED} SELECT doc_id::VARCHAR AS id, bucket, batch, position, CAST(count(*) OVER (PARTITION BY bucket, batch) AS INTEGER) AS batch_size FROM placed")
 def e2_batches(spark: SparkSession, d: str) -> DataFrame:
     """Batches of ten with each row's place in its batch."""
-    return batch_positions(_docs(spark, d).select(F.col("doc_id").cast("string").alias("id")), "id", 10, 16)
+    return batch_positions(_docs(spark, d).select(F.col("doc_id").cast("string").alias("id")), "id", 10, 64)
+
+
+_INSTRUCTIONS = "Name the talks of each of these {n} events, and who gave them.\n\n"
 
 
 def _prompt_sql() -> str:
-    head = batches.INSTRUCTIONS.replace("'", "''").replace("{n}", "' || count(*) || '")
+    head = _INSTRUCTIONS.replace("'", "''").replace("\n", "' || chr(10) || '").replace("{n}", "' || count(*) || '")
     block = (
         "'══ EVENT ' || position || '/' || size || '  event_id:' || doc_id || '  group:' || source || '  date:unknown' || chr(10) || 'Title: Document ' || doc_id || chr(10) || "
-        f"'URL: https://example.org/events/' || doc_id || chr(10) || chr(10) || {_trimmed('text')} || chr(10) || chr(10)"
+        f"'URL: https://example.org/events/' || doc_id || chr(10) || chr(10) || {trimmed('text')} || chr(10) || chr(10)"
     )
     return f"""WITH {_PLACED}, s AS (SELECT *, count(*) OVER (PARTITION BY bucket, batch) AS size FROM placed)
 SELECT bucket, batch, CAST(count(*) AS INTEGER) AS n_events, md5('{head}' || string_agg({block}, '' ORDER BY position)) AS prompt_md5 FROM s GROUP BY 1, 2"""
@@ -552,17 +489,17 @@ SELECT bucket, batch, CAST(count(*) AS INTEGER) AS n_events, md5('{head}' || str
 
 @query(_prompt_sql())
 def h23_prompts(spark: SparkSession, d: str) -> DataFrame:
-    told = batches.prompts(_event_rows(spark, d), 10, 16)
+    told = batches.prompts(_event_rows(spark, d), _INSTRUCTIONS, 10, 64)
     return told.select("bucket", "batch", "n_events", F.md5("prompt").alias("prompt_md5"))
 
 
-@query("SELECT conv_id, turn, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS next_turn FROM conversations")
+@query(f"""WITH {LOTS}, n AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lots)
+SELECT l_orderkey::VARCHAR AS id, CAST(talk_order AS INTEGER) AS talk_order, person || ', ' || company || chr(10) || 'Words on lot ' || l_partkey || '.' AS body FROM n WHERE n > 1""")
 def e4_section_ends(spark: SparkSession, d: str) -> DataFrame:
-    """Where a section ends: at the start of the next one of its text."""
-    from pyspark.sql import Window
-
-    told = star.table(spark, d, "conversations")
-    return told.select("conv_id", "turn", F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")).alias("next_turn"))
+    """The body of a numbered section: its lines up to the next section."""
+    text = F.format_string("(%d) %s\n%s, %s\n\nWords on lot %d.\n", "l_linenumber", "title", "person", "company", "l_partkey")
+    told = talk_rows(with_talks(records.response_events(star.announcements(spark, d, text)), title=None))
+    return told.select("id", "talk_order", F.col("talk.abstract").alias("body"))
 
 
 @query("SELECT o_orderkey FROM orders ORDER BY 1 LIMIT 25")
@@ -583,7 +520,7 @@ def f4_best_candidates(spark: SparkSession, d: str) -> DataFrame:
 # --- sets ---------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {_EDGES}, a AS (SELECT dst FROM edges WHERE label = 'PRESENTED_BY' GROUP BY 1), b AS (SELECT 'speaker:' || s_suppkey AS s FROM supplier WHERE s_suppkey % 10 <> 0)
+@query(f"""WITH {EDGES}, a AS (SELECT dst FROM edges WHERE label = 'PRESENTED_BY' GROUP BY 1), b AS (SELECT 'speaker:' || s_suppkey AS s FROM supplier WHERE s_suppkey % 10 <> 0)
 SELECT (SELECT count(*) FROM a WHERE dst NOT IN (SELECT s FROM b)) AS only_left, (SELECT count(*) FROM b WHERE s NOT IN (SELECT dst FROM a)) AS only_right,
   (SELECT count(*) FROM a WHERE dst NOT IN (SELECT s FROM b)) + (SELECT count(*) FROM b WHERE s NOT IN (SELECT dst FROM a)) = 0 AS same""")
 def g3_same_set(spark: SparkSession, d: str) -> DataFrame:
@@ -593,27 +530,26 @@ def g3_same_set(spark: SparkSession, d: str) -> DataFrame:
     return traverse.same_set(found, wanted)
 
 
-@query(f"""WITH n AS (SELECT p_partkey, list_distinct(string_split({_normal("p_name")}, '-')) AS a, list_distinct(string_split({_normal("p_type || ' ' || p_name")}, '-')) AS b FROM part)
-SELECT p_partkey, CAST(len(list_intersect(a, b)) AS INTEGER) AS both, CAST(len(list_distinct(list_concat(a, b))) AS INTEGER) AS either,
-  len(list_intersect(a, b)) * 2 >= len(list_distinct(list_concat(a, b))) AS alike FROM n""")
+@query(f"""WITH n AS (SELECT p_partkey, {normal("p_name")} AS n, {normal("p_type || ' ' || p_name")} AS r FROM part), t AS (SELECT *, list_distinct(string_split(n, '-')) AS a, list_distinct(string_split(r, '-')) AS b FROM n)
+SELECT p_partkey, contains(r, n) OR contains(n, r) AS holds, len(list_intersect(a, b)) * 2 >= len(list_distinct(list_concat(a, b))) AS alike FROM t""")
 def g4_token_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Whether one name holds the other, and whether half of their tokens agree."""
     part = star.table(spark, d, "part")
-    a, b = F.split(X.normalize_name(F.col("p_name")), "-"), F.split(X.normalize_name(F.concat_ws(" ", "p_type", "p_name")), "-")
-    both, either = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
-    return part.select("p_partkey", both.alias("both"), either.alias("either"), (both * 2 >= either).alias("alike"))
+    holds, alike = X.match_score(F.col("p_name"), F.concat_ws(" ", "p_type", "p_name"), F.lit("-"), F.lit(None).cast("string"))
+    return part.select("p_partkey", holds.alias("holds"), alike.alias("alike"))
 
 
 # --- scalar functions ----------------------------------------------------------------------------
 
 
-@query(f"SELECT doc_id, {_slug('text')} AS slug, md5({_normal('text')}) AS name_md5 FROM documents")
+@query(f"SELECT doc_id, {slug('text')} AS slug, md5({normal('text')}) AS name_md5 FROM documents")
 def h1_slugs(spark: SparkSession, d: str) -> DataFrame:
     text = F.col("text")
     return _docs(spark, d).select("doc_id", X.slugify(text).alias("slug"), F.md5(X.normalize_name(text)).alias("name_md5"))
 
 
-@query(f"""SELECT o_orderkey, 'talk-' || strftime(o_orderdate, '%Y%m%d') || '-' || {_slug("c_name || ' ' || c_mktsegment", 45)} || '-' || {_slug("c_name", 30)} AS with_speaker,
-  'talk-' || strftime(o_orderdate, '%Y%m%d') || '-' || {_slug("c_name || ' ' || c_mktsegment", 45)} AS without FROM orders JOIN customer ON o_custkey = c_custkey""")
+@query(f"""SELECT o_orderkey, 'talk-' || strftime(o_orderdate, '%Y%m%d') || '-' || {slug("c_name || ' ' || c_mktsegment", 45)} || '-' || {slug("c_name", 30)} AS with_speaker,
+  'talk-' || strftime(o_orderdate, '%Y%m%d') || '-' || {slug("c_name || ' ' || c_mktsegment", 45)} AS without FROM orders JOIN customer ON o_custkey = c_custkey""")
 def h2_talk_ids(spark: SparkSession, d: str) -> DataFrame:
     told = star.table(spark, d, "orders").join(star.table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     date, title = F.to_date("o_orderdate"), F.concat_ws(" ", "c_name", "c_mktsegment")
@@ -624,7 +560,7 @@ def h2_talk_ids(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"SELECT doc_id, md5({_plain('text', *_TO_TEXT)}) AS plain_md5, md5({_plain('text', *_LINKS, (chr(92) * 2, ''))}) AS clean_md5 FROM documents")
+@query(f"SELECT doc_id, md5({plain('text', *TO_TEXT)}) AS plain_md5, md5({plain('text', *LINKS, (chr(92) * 2, ''))}) AS clean_md5 FROM documents")
 def h5_markdown(spark: SparkSession, d: str) -> DataFrame:
     text = F.col("text")
     return _docs(spark, d).select("doc_id", F.md5(X.markdown_to_text(text)).alias("plain_md5"), F.md5(X.clean_md(text)).alias("clean_md5"))
@@ -641,7 +577,7 @@ def h8_titles(spark: SparkSession, d: str) -> DataFrame:
     return star.table(spark, d, "part").select("p_partkey", X.normalize_title(title).alias("title"))
 
 
-@query(f"""SELECT doc_id, CASE WHEN octet_length(encode({_trimmed('text')})) >= 30 THEN octet_length(encode({_trimmed('text')})) <= 1000 END AS whole FROM documents""")
+@query(f"""SELECT doc_id, CASE WHEN octet_length(encode({trimmed('text')})) >= 30 THEN octet_length(encode({trimmed('text')})) <= 1000 END AS whole FROM documents""")
 def h16_abstracts(spark: SparkSession, d: str) -> DataFrame:
     """Whether the abstract of a text is all of it (null: too short); the cut itself is tested by hand."""
     found = X.single_talk_abstract(F.col("text"))
@@ -666,7 +602,7 @@ def h21_properties(spark: SparkSession, d: str) -> DataFrame:
 # --- talks, records, answers -----------------------------------------------------------------------
 
 
-@query(f"WITH {_TALKS} SELECT l_orderkey::VARCHAR AS id, CAST(talk_order AS INTEGER) AS talk_order, title, person, company FROM talks")
+@query(f"WITH {TALKS} SELECT l_orderkey::VARCHAR AS id, CAST(talk_order AS INTEGER) AS talk_order, title, person, company FROM talks")
 def x_talks(spark: SparkSession, d: str) -> DataFrame:
     """Talks of announcements in five layouts; their titles, people and companies are known from the tables."""
     told = talk_rows(with_talks(records.response_events(star.announcements(spark, d))))
@@ -674,11 +610,11 @@ def x_talks(spark: SparkSession, d: str) -> DataFrame:
     return told.select("id", "talk_order", F.col("talk.title").alias("title"), first["name"].alias("person"), first["company"].alias("company"))
 
 
-_KEPT = f"""kept AS (SELECT tid, max(source_file) AS source_file FROM (SELECT {_TALK_ID} AS tid, 'source/group-' || c_nationkey || '/' || l_orderkey || '.html' AS source_file FROM talks) GROUP BY 1),
+_KEPT = f"""kept AS (SELECT tid, max(source_file) AS source_file FROM (SELECT {TALK_ID} AS tid, 'source/group-' || c_nationkey || '/' || l_orderkey || '.html' AS source_file FROM talks) GROUP BY 1),
 told AS (SELECT k.tid, regexp_extract(k.source_file, '([^/]+)\\.html', 1) AS event_id, regexp_extract(k.source_file, 'group-([0-9]+)', 1) AS g FROM kept k)"""
 
 
-@query(f"""WITH {_TALKS}, {_KEPT}, p AS (SELECT DISTINCT {_TALK_ID} AS tid, {_slug("person")} AS who FROM talks)
+@query(f"""WITH {TALKS}, {_KEPT}, p AS (SELECT DISTINCT {TALK_ID} AS tid, {slug("person")} AS who FROM talks)
 SELECT 'talk:' || tid AS src, 'event:group-' || g || '-' || event_id AS dst, 'PRESENTED_AT' AS label FROM told
 UNION SELECT 'event:group-' || g || '-' || event_id, 'group:group-' || g, 'PART_OF' FROM told
 UNION SELECT 'talk:' || tid, 'speaker:' || who, 'PRESENTED_BY' FROM p""")
@@ -689,7 +625,7 @@ def w1_events_to_graph(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Model answers made of orders and lines, ten orders a batch, and the event rows they answer; every 50th batch is malformed."""
+    """Model answers made of orders and lines, ten orders a batch, and the event rows they answer, each after an outdated one; every 50th batch is malformed."""
     lines = star.table(spark, d, "lineitem")
     names = lines.join(star.table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
     names = names.join(star.table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey"), "l_suppkey")
@@ -705,7 +641,9 @@ def _answers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     answers = per_event.groupBy("batch_id").agg(F.collect_list(event).alias("events"))
     body = F.struct(F.array(F.struct(F.lit("tool_use").alias("type"), F.struct("events").alias("input"))).alias("content"))
     told = records.response_events(star.announcements(spark, d)).withColumn("batch_id", F.floor(F.col("id").cast("bigint") / 10))
-    return answers.select("batch_id", F.to_json(body).alias("value")), told.filter("id NOT LIKE '%77'")
+    told = told.filter("id NOT LIKE '%77'").withColumn("position", F.lit(2))
+    earlier = told.withColumns({"position": F.lit(1), "title": F.concat(F.lit("Z "), "title"), "url": F.lit("z")})
+    return answers.select("batch_id", F.to_json(body).alias("value")), told.unionByName(earlier)
 
 
 _GOOD = """good AS (SELECT *, l_orderkey // 10 AS batch_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
@@ -728,10 +666,18 @@ def c1_unknown_answers(spark: SparkSession, d: str) -> DataFrame:
     return batches.matched_answers(batches.decoded_answers(answers), events)[1]
 
 
-@query(f"""WITH {_GOOD}, r AS (SELECT {_TALK_ID} AS tid, * FROM talks)
-SELECT DISTINCT * FROM (SELECT 'talk:' || tid AS src, 'speaker:' || {_slug("s_name")} AS dst, 'PRESENTED_BY' AS label FROM r
-  UNION ALL SELECT 'speaker:' || {_slug("s_name")}, 'company:nation-' || s_nationkey, 'WORKS_AT' FROM r WHERE s_nationkey % 4 <> 0
-  UNION ALL SELECT 'talk:' || tid, 'project:' || {_slug("p_name")}, 'MENTIONS' FROM r)""")
+@query(f"""WITH {_GOOD} SELECT DISTINCT l_orderkey // 10 AS batch_id, l_orderkey::VARCHAR AS id, 'Evening ' || l_orderkey AS title, count(*) AS n_talks FROM talks GROUP BY 1, 2, 3""")
+def c1_answered_events(spark: SparkSession, d: str) -> DataFrame:
+    """Answers with the last of their events' rows."""
+    answers, events = _answers(spark, d)
+    found = batches.matched_answers(batches.decoded_answers(answers), events)[0]
+    return found.select("batch_id", "id", "title", F.size("talks").cast("bigint").alias("n_talks"))
+
+
+@query(f"""WITH {_GOOD}, r AS (SELECT {TALK_ID} AS tid, * FROM talks)
+SELECT DISTINCT * FROM (SELECT 'talk:' || tid AS src, 'speaker:' || {slug("s_name")} AS dst, 'PRESENTED_BY' AS label FROM r
+  UNION ALL SELECT 'speaker:' || {slug("s_name")}, 'company:nation-' || s_nationkey, 'WORKS_AT' FROM r WHERE s_nationkey % 4 <> 0
+  UNION ALL SELECT 'talk:' || tid, 'project:' || {slug("p_name")}, 'MENTIONS' FROM r)""")
 def r2_answer_records(spark: SparkSession, d: str) -> DataFrame:
     """Records of answers: speakers, companies that are not blank, and projects."""
     answers, events = _answers(spark, d)
@@ -743,3 +689,6 @@ def r2_answer_records(spark: SparkSession, d: str) -> DataFrame:
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the groups of a speaker, three hops."""
     return c7_groups_of_speaker(spark, sf_dir)
+
+
+from . import text_queries as _more  # noqa: E402, F401  registers the queries of texts, pages and sinks

@@ -27,6 +27,10 @@ EVENT_COLUMNS = (
 )
 
 
+#: The id that a page is saved under, which its parser does not see.
+_FILE_ID = "_file_id"
+
+
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """html, group_slug, event_id and path of the .html files in folder/<group>/."""
     pages = spark.read.option("pathGlobFilter", "*.html").text(f"{folder}/*/", wholetext=True)
@@ -65,9 +69,9 @@ def json_string(json: Column, path: str) -> Column:
 
 def _event_row(rows: DataFrame, **columns: Column) -> DataFrame:
     """Event rows from named columns; text and date follow from the description and the instant."""
-    told = rows.select(*[c.alias(n) for n, c in columns.items()])
+    told = rows.select(*[c.alias(n) for n, c in columns.items()], *[c for c in rows.columns if c == _FILE_ID])
     told = told.withColumn("description_text", markdown_to_text(F.col("description_md")))
-    return told.withColumn("date", F.to_date("datetime")).select(*EVENT_COLUMNS)
+    return told.withColumn("date", F.to_date("datetime")).select(*EVENT_COLUMNS, *[c for c in rows.columns if c == _FILE_ID])
 
 
 def _referred(state: Column, event: Column, field: str) -> Column:
@@ -164,9 +168,12 @@ def html_events(parts: DataFrame) -> DataFrame:
 def page_events(pages: DataFrame) -> DataFrame:
     """One event row per page (html, url, group_slug): from its state, else JSON-LD, else the plain page.
 
-    `source` names which; title talks are sought for the first kind only.
+    `source` names which; title talks are sought for the first kind only. Where the
+    pages have an event_id, that of the file, it stays.
     """
     parts = with_parts(pages)
+    if "event_id" in parts.columns:
+        parts = parts.withColumnRenamed("event_id", _FILE_ID)
     keys = F.filter(F.map_keys(state_map(F.col("state"))), lambda k: k.startswith("Event:"))
     has_state = F.coalesce(F.size(keys) > 0, F.lit(False))
     has_script = F.coalesce(F.exists("json_ld", lambda s: F.coalesce(json_string(s, "$['@type']") == "Event", F.lit(False))), F.lit(False))
@@ -176,7 +183,7 @@ def page_events(pages: DataFrame) -> DataFrame:
         (html_events, ~has_state & ~has_script, "html"),
     )
     found = [read(parts.filter(which)).withColumn("source", F.lit(name)) for read, which, name in kinds]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    return found[0].unionByName(found[1]).unionByName(found[2]).withColumnRenamed(_FILE_ID, "event_id")
 
 
 def event_links(parts: DataFrame) -> DataFrame:

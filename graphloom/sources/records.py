@@ -109,17 +109,19 @@ def flatten_crawl(sources: DataFrame) -> DataFrame:
     """Extracted rows of crawl records: events with their text on one line, titled speakers and talks as they are.
 
     Speakers without a talk title give no row. A title loses one leading "[...]",
-    a description its zero-width characters and runs of white space.
+    a description its zero-width characters and runs of white space. All rows keep
+    where they come from: source and extracted file, conference and meetup.
     """
-    text = trim_ws(F.regexp_replace(F.translate("event.description", "​﻿", ""), r"(?U)\s+", " "))
+    text = trim_ws(F.regexp_replace(F.translate("event.description", "\u200b\ufeff", ""), r"(?U)\s+", " "))
     none, no_tags = F.lit(None).cast("string"), F.array().cast("array<string>")
     key = F.concat(F.lit("talk:"), F.coalesce("conference_id", "meetup_id"), F.lit(":"), F.col("source_id"))
+    origin = ("source_file", "extracted_file", "conference_id", "meetup_id")
 
     def rows(which, shape: str, title, speaker, url, tags, **event) -> DataFrame:
         told = {n: event.get(n, none) for n in ("event_id", "event_title", "description", "date_time", "end_time")}
         return sources.filter(which).select(
             "source_id", F.lit(shape).alias("shape"), key.alias("id"), title.alias("title"), speaker.alias("speaker_text"),
-            url.alias("url"), tags.alias("tags"), *[c.alias(n) for n, c in told.items()],
+            url.alias("url"), tags.alias("tags"), *[c.alias(n) for n, c in told.items()], *origin,
         )
 
     is_event, is_person = F.col("event").isNotNull(), F.col("event").isNull() & F.col("name").isNotNull()

@@ -28,14 +28,27 @@ def read_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return nodes.select("id", "label", "props"), edges.select("src", "dst", "label", "props")
 
 
-def kept(frame: DataFrame) -> DataFrame:
-    """The frame, computed once: a checkpoint in the folder of spark.checkpoint.dir, which outlives lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, set for this context if it isn't yet.
 
-    Only where that setting is absent, as in local tests, a new temporary folder is used.
+    Only a local master gets a new temporary folder where the setting is absent; on a
+    cluster, whose executors don't see each other's disks, that is an error.
     """
-    context = frame.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = context.getConf().get("spark.checkpoint.dir", None)
+        if folder is None and context.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def kept(frame: DataFrame) -> DataFrame:
+    """The frame, computed now and once: a checkpoint in the shared folder, which outlives lost executors.
+
+    spark.cleaner.referenceTracking.cleanCheckpoints deletes it when the driver no longer refers to it.
+    """
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 

@@ -100,12 +100,13 @@ def test_answers(spark):
 def test_batches_and_prompts(spark):
     events = spark.createDataFrame([event(str(i), text=f" body {i} " * 10) for i in range(23)] + [event("short", text="é" * 24)], EVENT)
     assert batches.long_enough(events).count() == 23
-    placed = batch_positions(events, "id", 5, 2).collect()
+    placed = batch_positions(events, "id", 5, 12).collect()
+    assert {r.bucket for r in placed} == {0, 1}
     assert {r.position for r in placed} <= set(range(1, 6)) and len({(r.bucket, r.batch, r.position) for r in placed}) == 24
     assert all(r.batch_size == sum((x.bucket, x.batch) == (r.bucket, r.batch) for x in placed) for r in placed)
-    assert batch_positions(events, "id", 0, 1).select("batch").distinct().count() == 24
+    assert batch_positions(events, "id", 0).select("batch").distinct().count() == 24
     done = spark.createDataFrame([("source/g/3.html",), ("odd",), (None,)], "source_file string")
-    prompts = workloads.batch_prompts(events, done, 5, 1).orderBy("batch").collect()
+    prompts = workloads.batch_prompts(events, done, "Of the following {n} events:\n\n", 5).orderBy("batch").collect()
     assert sum(r.n_events for r in prompts) == 22 and len(prompts) == 5
     assert prompts[0].prompt.count("══ EVENT") == 5 and "══ EVENT 2/5  event_id:" in prompts[0].prompt and "following 5 event" in prompts[0].prompt
     assert "date:unknown\nTitle: An Evening\nURL: https://x/events/" in prompts[0].prompt
@@ -147,7 +148,7 @@ def test_addresses_are_written_everywhere(spark):
     got = {(r.source_file, r.pos): json.loads(r.props) for r in new.collect()}
     assert got["a", 0] == {"name": "T", "github_url": 'https://x/"t"\\'} and got["b", 1]["github_url"] == 'https://x/"t"\\'
     assert got["b", 2]["github_url"] == "old" and got["c", 0] == {}
-    assert tuple(enrich.coverage(matches).collect()[0]) == (1, 1)
+    assert tuple(enrich.coverage(matches, nodes).collect()[0]) == (1, 1, 2, 2)
 
 
 @pytest.mark.parametrize(
@@ -174,10 +175,47 @@ def test_scalars(spark):
     assert one("x", lambda c: X.group_display_name(c, {"x": "X"})) == "X" and one("y", lambda c: X.group_display_name(c, {})) == "y"
 
 
+def test_last_event_of_an_id_is_answered(spark):
+    decoded = batches.decoded_answers(spark.createDataFrame([(1, answer({"event_id": "1", "talks": []}))], "batch_id int, value string"))
+    events = spark.createDataFrame([(1, 2, *event("1", title="A")), (1, 1, *event("1", title="Z"))], f"batch_id int, position int, {EVENT}")
+    assert [r.title for r in batches.matched_answers(decoded, events)[0].collect()] == ["A"]
+
+
+def test_recovered_talks_replace_the_title_s(spark):
+    events = spark.createDataFrame([event("1", title="John Doe: Graphs in Anger"), event("2", title="John Doe: Graphs in Anger"), event("3", text="words")], EVENT)
+    html = '<h1>x</h1><div class="event-description">**Streaming Joins at Scale**\nJane Roe, Acme</div>'
+    pages = spark.createDataFrame([(html, "https://x/events/77", "g", "1"), (html, "https://x/events/3", "g", "3")], "html string, url string, group_slug string, event_id string")
+    kept = workloads.crawl_to_records(events, pages, "now", "2024-01-02").collect()
+    assert {(r.id, r.source_file) for r in kept} == {("talk-20240102-streaming-joins-at-scale-jane-roe", "source/g/1.html"), ("talk-20240102-graphs-in-anger-john-doe", "source/g/2.html")}
+
+
+def test_titles_tell_talks_on_pages_with_a_state_only(spark):
+    state = '<script id="__NEXT_DATA__">{"props":{"pageProps":{"__APOLLO_STATE__":{"Event:1":{"id":"1","title":"John Doe: Graphs in Anger"}}}}}</script>'
+    script = '<script type="application/ld+json">{"@type":"Event","name":"John Doe: Graphs in Anger"}</script>'
+    rows = [(h, f"https://x/events/{i}", "g") for i, h in enumerate((state, script, "<h1>John Doe: Graphs in Anger</h1>"), start=1)]
+    got = {r.source: len(r.talks) for r in workloads.page_talks(spark.createDataFrame(rows, "html string, url string, group_slug string")).collect()}
+    assert got == {"state": 1, "json_ld": 0, "html": 0}
+
+
+def test_candidates_equal_a_comparison_of_all_pairs(spark):
+    import itertools
+
+    words = ["spark", "kit", "a", "re", "graph", "tool", "日"]
+    names = [" ".join(p) for n in (1, 2, 3) for p in itertools.permutations(words[:5], n)][::3] + words + ["", "!"]
+    repos = [("-".join(p), f"own/{p[0]}x", "the " + p[-1]) for p in itertools.permutations(words, 3)][::4] + [("sparkkit", "o/s", None), ("ki", "o/k", "")]
+    projects = spark.createDataFrame([(f"p{i}", n) for i, n in enumerate(names)], "id string, name string")
+    catalog = spark.createDataFrame(repos, "name string, full_name string, description string")
+    scores = X.match_score(F.col("pname"), F.col("name"), F.col("full_name"), F.col("description"))
+    every = projects.select(F.col("id").alias("project_nid"), F.col("name").alias("pname")).crossJoin(catalog).filter(scores[0] | scores[1])
+    wanted = {(r.project_nid, r.name, r.full_name) for r in every.collect()}
+    found = [(r.project_nid, r.name, r.full_name) for r in enrich.catalog_candidates(projects, catalog).collect()]
+    assert len(found) == len(set(found)) and set(found) == wanted and len(wanted) > 100
+
+
 def test_candidates_by_frequent_tokens_only(spark):
     n = 2500
     catalog = spark.range(n).selectExpr("concat('graph-', id) AS name", "concat('o/graph-', id) AS full_name", "id AS stars")
     projects = spark.createDataFrame([("p:1", "Graph"), ("p:2", "graph 7"), ("p:3", "other")], "id string, name string")
     found = enrich.catalog_candidates(projects, catalog)
     assert found.columns == ["project_nid", "project_name", "name", "full_name", "stars"]
-    assert {(r.project_nid, r.n) for r in found.groupBy("project_nid").agg(F.count("*").alias("n")).collect()} == {("p:1", n), ("p:2", n)}
+    assert {(r.project_nid, r.n) for r in found.groupBy("project_nid").agg(F.count("*").alias("n")).collect()} == {("p:1", n), ("p:2", 111)}

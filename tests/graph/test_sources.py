@@ -164,6 +164,7 @@ def test_crawl_records(spark, tmp_path):
     assert (got["e"].id, got["e"].title, got["e"].description, got["e"].event_title, got["e"].end_time) == ("talk:c:e", "Big  Day", "a b", "[Cross] Big  Day", "y")
     assert (got["s"].id, got["s"].title, got["s"].speaker_text, got["s"].url, got["s"].tags) == ("talk:m:s", "T", "Jane Roe", "v", [])
     assert (got["t"].title, got["t"].tags, got["t"].event_id) == ("U", ["a"], None)
+    assert (got["e"].conference_id, got["e"].meetup_id, got["s"].meetup_id, got["t"].conference_id, got["t"].source_file) == ("c", "m", "m", "c", None)
 
 
 def test_typed_tables_and_labels(spark):
