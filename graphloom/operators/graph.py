@@ -111,30 +111,19 @@ def label_counts(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
 
 def summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One row: unique nodes and kinds, unique edges and kinds. Duplicates are cut before they are counted."""
-    things = nodes.select(F.lit("").alias("src"), F.col("id").alias("dst"), "label").unionByName(edges.select("src", "dst", "label"))
-    return _counted(things)
-
-
-def summary_of_records(records: DataFrame) -> DataFrame:
-    """summary() of records' nodes and edges, which are read once."""
-    node = lambda n: F.struct(F.lit("").alias("src"), n["id"].alias("dst"), n["label"].alias("label"))
-    edge = lambda e: F.struct(e["src"].alias("src"), e["dst"].alias("dst"), e["label"].alias("label"))
-    return _counted(records.select(F.inline(F.concat(F.transform("nodes", node), F.transform("edges", edge)))))
-
-
-def _counted(things: DataFrame) -> DataFrame:
-    """Counts of distinct things: nodes have no src."""
-    one = things.distinct()
-    label = lambda which: F.count_distinct(F.when(which, F.col("label")))
-    is_node = F.col("src") == ""
-    kinds = one.groupBy("label", is_node.alias("is_node")).agg(F.count("*").alias("n"))
-    named = one.filter(is_node).select("dst").distinct().agg(F.count("*").alias("n_nodes"))
-    told = kinds.agg(
-        label(F.col("is_node")).alias("n_node_kinds"),
+    return summary_of_things(nodes.select(F.lit(None).cast("string").alias("src"), F.col("id").alias("dst"), "label").unionByName(edges.select("src", "dst", "label")))
+
+
+def summary_of_things(things: DataFrame) -> DataFrame:
+    """summary() of nodes and edges in one table (src, dst, label), where a node has no src: both come from one reading of their records."""
+    one, is_node = things.distinct(), F.col("src").isNull()
+    by_label = one.groupBy("label", is_node.alias("is_node")).agg(F.count("*").alias("n"))
+    kinds = by_label.agg(
+        F.count_distinct(F.when(F.col("is_node"), F.col("label"))).alias("n_node_kinds"),
         F.coalesce(F.sum(F.when(~F.col("is_node"), F.col("n"))), F.lit(0)).alias("n_edges"),
-        label(~F.col("is_node")).alias("n_edge_kinds"),
+        F.count_distinct(F.when(~F.col("is_node"), F.col("label"))).alias("n_edge_kinds"),
     )
-    return one_row(named, told)
+    return one_row(one.filter(is_node).agg(F.count_distinct("dst").alias("n_nodes")), kinds)
 
 
 def one_row(a: DataFrame, b: DataFrame) -> DataFrame:

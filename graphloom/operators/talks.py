@@ -56,9 +56,13 @@ def renumbered(talks):
 
 
 def talk_rows(events: DataFrame) -> DataFrame:
-    """One row per talk that has a speaker: the event's columns, talk and talk_order, from 0 within the event."""
+    """One row per talk that has a speaker: the event's columns, talk and talk_order, from 0 within the event.
+
+    The outer generator keeps Catalyst from testing the list before it is spread, which would read the texts twice.
+    """
     spread = events.withColumn("_talks", F.filter("talks", lambda t: F.size(t["speakers"]) > 0)).drop("talks")
-    return spread.select(*[c for c in spread.columns if c != "_talks"], F.posexplode("_talks").alias("talk_order", "talk"))
+    rows = spread.select(*[c for c in spread.columns if c != "_talks"], F.posexplode_outer("_talks").alias("talk_order", "talk"))
+    return rows.filter("talk IS NOT NULL")
 
 
 def recover_descriptions(events: DataFrame, parsed: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators.graph import distinct_edges
 
 
@@ -30,15 +31,12 @@ def _edge(label: str, src: Column, dst: Column) -> Column:
     return F.struct(src.alias("src"), dst.alias("dst"), F.lit(label).alias("label"))
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per line of an order, as crawled: event and group are repeated in each.
-
-    Columns: source_file (order and line, sortable), nodes, edges.
-    """
+def _joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders with all that they refer to."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     customers, suppliers = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
     nations, parts = table(spark, sf_dir, "nation"), table(spark, sf_dir, "part")
-    rows = (
+    return (
         lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
         .join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers.select("c_custkey", "c_name", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
@@ -47,25 +45,43 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nations.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("company_name")), "s_nationkey")
         .join(parts.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     )
-    talk, event, group = nid("talk", "o_orderkey"), nid("event", "o_custkey"), nid("group", "c_nationkey")
-    speaker, company, project = nid("speaker", "l_suppkey"), nid("company", "s_nationkey"), nid("project", "l_partkey")
+
+
+def _ids() -> dict[str, Column]:
+    """Ids of a line's nodes by label."""
+    return {
+        "Talk": nid("talk", "l_orderkey"), "Event": nid("event", "o_custkey"), "Group": nid("group", "c_nationkey"),
+        "Speaker": nid("speaker", "l_suppkey"), "Company": nid("company", "s_nationkey"), "Project": nid("project", "l_partkey"),
+    }
+
+
+def _line_edges(ids: dict[str, Column]) -> list[Column]:
+    return [_edge(t, ids[a], ids[b]) for t, (a, b) in schemas.ENDPOINTS.items()]
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per line of an order, as crawled: event and group are repeated in each.
+
+    Columns: source_file (order and line, sortable), nodes, edges.
+    """
+    rows, ids = _joined_lines(spark, sf_dir), _ids()
     place = F.format_string("%012d-%04d-%09d-%09d", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")  # line numbers repeat
     nodes = F.array(
-        _node("Talk", talk, title=F.col("p_name"), order=F.col("l_linenumber")),
-        _node("Event", event, id=F.col("o_custkey").cast("string"), title=F.col("c_name"), date=F.date_format("o_orderdate", "yyyy-MM-dd")),
-        _node("Group", group, slug=F.col("c_nationkey").cast("string"), name=F.col("group_name")),
-        _node("Speaker", speaker, name=F.col("s_name"), company=F.col("company_name")),
-        _node("Company", company, name=F.col("company_name")),
-        _node("Project", project, name=F.col("p_name")),
-    )
-    edges = F.array(
-        _edge("PRESENTED_AT", talk, event),
-        _edge("PART_OF", event, group),
-        _edge("PRESENTED_BY", talk, speaker),
-        _edge("WORKS_AT", speaker, company),
-        _edge("MENTIONS", talk, project),
+        _node("Talk", ids["Talk"], title=F.col("p_name"), order=F.col("l_linenumber")),
+        _node("Event", ids["Event"], id=F.col("o_custkey").cast("string"), title=F.col("c_name"), date=F.date_format("o_orderdate", "yyyy-MM-dd")),
+        _node("Group", ids["Group"], slug=F.col("c_nationkey").cast("string"), name=F.col("group_name")),
+        _node("Speaker", ids["Speaker"], name=F.col("s_name"), company=F.col("company_name")),
+        _node("Company", ids["Company"], name=F.col("company_name")),
+        _node("Project", ids["Project"], name=F.col("p_name")),
     )
-    return rows.select(place.alias("source_file"), nodes.alias("nodes"), edges.alias("edges"))
+    return rows.select(place.alias("source_file"), nodes.alias("nodes"), F.array(*_line_edges(ids)).alias("edges"))
+
+
+def raw_things(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst, label) of the records' nodes, which have no src, and edges, repeated as in the records, from one reading."""
+    ids = _ids()
+    nodes = [_edge(label, F.lit(None).cast("string"), i) for label, i in ids.items()]
+    return _joined_lines(spark, sf_dir).select(F.inline(F.array(*nodes, *_line_edges(ids))))
 
 
 def raw_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:

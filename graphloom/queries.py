@@ -399,7 +399,7 @@ def d6_edge_counts(spark: SparkSession, d: str) -> DataFrame:
   + count(DISTINCT l_partkey) AS n_nodes, CAST(6 AS BIGINT) AS n_node_kinds, count(DISTINCT l_orderkey) + count(DISTINCT c_custkey) + count(DISTINCT (l_orderkey, l_suppkey))
   + count(DISTINCT l_suppkey) + count(DISTINCT (l_orderkey, l_partkey)) AS n_edges, CAST(5 AS BIGINT) AS n_edge_kinds FROM rows""")
 def d7_summary(spark: SparkSession, d: str) -> DataFrame:
-    return graph.summary_of_records(star.records(spark, d))
+    return graph.summary_of_things(star.raw_things(spark, d))
 
 
 @query(f"""WITH {TALKS}, t AS (SELECT l_orderkey, count(*) AS n FROM talks GROUP BY 1)
