@@ -24,11 +24,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .session import checkpointed, on_core
+from .session import checkpointed, not_broadcast, on_core
 
 #: Fixed by the contract.
 SHINGLE_WORDS = 3
@@ -350,6 +350,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Where several rows could stay (repeated ids, or ids that are all null), the
     first by text, then by the other columns as JSON, stays. Columns stay as they are.
+    Each text is exchanged once; a repeated id is met by its rows alone.
     """
     return on_core(docs, _keep_one)
 
@@ -357,14 +358,21 @@ def keep_one(docs: DataFrame) -> DataFrame:
 def _keep_one(docs: DataFrame) -> DataFrame:
     own = checkpointed(fingerprints(docs))
     classes = checkpointed(_classes(own))
-    kept = own.join(classes, "fp").filter("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
-    rows = rows.withColumn("_many", F.count("*").over(Window.partitionBy("doc_id")) > 1)
-    plain = rows.filter("NOT _many").drop("_many")
+    # a component is named by the id that stays; only where an id is repeated, its rows may be of several components
+    repeated = own.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1")
+    kept = classes.select(F.col("component_id").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
+    kept = checkpointed(kept.join(repeated, "doc_id", "left").select("doc_id", F.col("_n").isNotNull().alias("_many")))
+    rows = docs.join(not_broadcast(kept), "doc_id")
+    plain = rows.filter("NOT _many").select(docs.columns)
     # rows that their id alone doesn't tell apart are placed by their own fingerprint
-    unclear = rows.filter("_many").drop("_many").unionByName(docs.filter("doc_id IS NULL"))
+    unclear = rows.filter("_many").select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    placed = _first_rows(_with_fingerprint(unclear), ["_fp", "doc_id"], docs.columns)
     named = classes.select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_component"))
-    placed = _with_fingerprint(unclear).join(named, "_fp")
-    order = Window.partitionBy("_root").orderBy(F.asc_nulls_last("text"), F.to_json(F.struct(*[F.col(c) for c in docs.columns if c != "text"])))
-    first = placed.filter(F.col("doc_id").eqNullSafe(F.col("_component"))).withColumn("_row", F.row_number().over(order)).filter("_row = 1")
-    return plain.unionByName(first.select(docs.columns))
+    placed = placed.join(named, "_fp").filter(F.col("doc_id").eqNullSafe(F.col("_component")))
+    return plain.unionByName(_first_rows(placed.select("_root", "_row.*"), ["_root"], docs.columns).select("_row.*"))
+
+
+def _first_rows(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """keys and `_row`: the first row of each key, by text (null last), then the other columns as JSON. Groups shrink before they are exchanged."""
+    place = F.struct(F.col("text").isNull(), F.col("text"), F.to_json(F.struct(*[F.col(c) for c in names if c != "text"])))
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*names), place).alias("_row"))
