@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from . import schemas
 from .functions import text as X
 from .operators import batches, enrich, graph, traverse
-from .operators.records import record_json, spread_edges, spread_nodes, talk_records
+from .operators.records import record_json, spread_edges, talk_records
 from .operators.talks import batch_positions, recover_descriptions, talk_rows, with_talks
 from .plans import star, workloads
 from .registry import DEFAULT_DATE, EDGES, LINKS, LOTS, NODES, ORACLES, QUERIES, ROWS, RUN_TS, TALK_ID, TALKS, TO_TEXT, normal, plain, query, slug, trimmed

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from graphloom import schemas
 from graphloom.functions import text as X
 from graphloom.operators import batches, enrich, graph, traverse
-from graphloom.operators.records import spread_edges, spread_nodes, talk_records
+from graphloom.operators.records import spread_edges, spread_nodes
 from graphloom.operators.talks import batch_positions, renumbered, talk_rows, with_talks
 from graphloom.plans import workloads
 from graphloom.sources.pages import EVENT_COLUMNS
