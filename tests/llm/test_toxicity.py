@@ -4,7 +4,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pytest
 
 from graphloom.llm import toxicity as X
 from graphloom.llm.textkernels import text_slices
