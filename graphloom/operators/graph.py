@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import int_prop, str_prop
+from .joins import join_hot
 
 #: Properties of each label as table columns: (property, column); columns of integers in INTEGERS.
 PROJECTIONS = {
@@ -63,13 +64,14 @@ def joined_edges(edges: DataFrame, nodes: DataFrame, check_labels: bool = True)
     """Edges whose two ends exist; with check_labels, as nodes of the labels that the edge type joins."""
     if not check_labels:
         ids = nodes.select("id").distinct()
-        return edges.join(ids.select(F.col("id").alias("src")), "src", "left_semi").join(ids.select(F.col("id").alias("dst")), "dst", "left_semi").select(edges.columns)
+        begun = join_hot(edges, ids.select(F.col("id").alias("src")), ["src"], "left_semi")
+        return join_hot(begun, ids.select(F.col("id").alias("dst")), ["dst"], "left_semi").select(edges.columns)
     pairs = [F.struct(F.lit(t).alias("type"), F.lit(a).alias("a"), F.lit(b).alias("b")) for t, (a, b) in schemas.ENDPOINTS.items()]
     wanted = F.filter(F.array(*pairs), lambda p: p["type"] == F.col("label"))
     told = edges.withColumn("_a", F.get(wanted, F.lit(0))["a"]).withColumn("_b", F.get(wanted, F.lit(0))["b"])
     sources = nodes.select(F.col("id").alias("src"), F.col("label").alias("_a")).distinct()
     targets = nodes.select(F.col("id").alias("dst"), F.col("label").alias("_b")).distinct()
-    return told.join(sources, ["src", "_a"], "left_semi").join(targets, ["dst", "_b"], "left_semi").select(edges.columns)
+    return join_hot(join_hot(told, sources, ["src", "_a"], "left_semi"), targets, ["dst", "_b"], "left_semi").select(edges.columns)
 
 
 def merge_nodes(old: DataFrame, new: DataFrame, replace: bool = False) -> DataFrame:

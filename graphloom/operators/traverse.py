@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_hot
+
 
 def typed(edges: DataFrame, label: str, src: str, dst: str) -> DataFrame:
     """The edges of a type, with names for their ends."""
@@ -28,7 +30,7 @@ def speakers_at(edges: DataFrame, event: str) -> DataFrame:
 
 def groups_of(edges: DataFrame, speakers: DataFrame) -> DataFrame:
     """(speaker, group) of the speakers in a seed table (3 hops each)."""
-    talks = typed(edges, "PRESENTED_BY", "talk", "speaker").join(speakers.select("speaker").distinct(), "speaker", "left_semi")
+    talks = join_hot(typed(edges, "PRESENTED_BY", "talk", "speaker"), speakers.select("speaker").distinct(), ["speaker"], "left_semi")
     events = talks.join(typed(edges, "PRESENTED_AT", "talk", "event"), "talk").select("speaker", "event").distinct()
     return events.join(typed(edges, "PART_OF", "event", "group"), "event").select("speaker", "group").distinct()
 
@@ -41,7 +43,7 @@ def groups_of_all(edges: DataFrame, speakers: DataFrame) -> DataFrame:
 def colleagues(edges: DataFrame, speakers: DataFrame) -> DataFrame:
     """(speaker, colleague) who work at a company of a seed speaker; nobody is their own colleague."""
     works = typed(edges, "WORKS_AT", "speaker", "company").distinct()
-    own = works.join(speakers.select("speaker").distinct(), "speaker", "left_semi")
+    own = join_hot(works, speakers.select("speaker").distinct(), ["speaker"], "left_semi")
     others = works.withColumnRenamed("speaker", "colleague")
     return own.join(others, "company").filter("colleague <> speaker").select("speaker", "colleague").distinct()
 
