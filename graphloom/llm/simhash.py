@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import join_hot
 from .session import checkpointed, not_broadcast, on_core
 
 #: Fixed by the contract.
@@ -274,7 +275,7 @@ _ARROW_LINKS = pa.schema([("mask", pa.int64()), ("a", pa.int64()), ("b", pa.int6
 def _star(members: DataFrame) -> DataFrame:
     """Links in nodes of the last depth, all of whose members differ in at most MOST_DIFFERENCES bits."""
     least = members.groupBy("mask", "key").agg(F.min("fp").alias("a"))
-    return members.join(least, ["mask", "key"]).filter("fp <> a").select("a", F.col("fp").alias("b"))
+    return join_hot(members, least, ["mask", "key"]).filter("fp <> a").select("a", F.col("fp").alias("b"))
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -316,9 +317,9 @@ def stars(edges: DataFrame) -> DataFrame:
         seen = (told["n"], told["s"])
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+        large = join_hot(both, least, ["u"]).filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
         least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least, "b").filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
+        small = join_hot(large, least, ["b"]).filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
         edges = checkpointed(small.unionByName(least.select(F.col("m").alias("a"), "b")).distinct())
 
 
@@ -329,7 +330,7 @@ def _classes(own: DataFrame) -> DataFrame:
     members = joined.unionByName(joined.select("root", F.col("root").alias("node")).distinct())
     named = members.join(classes, members["node"] == classes["fp"]).select("root", "fp", "least_id")
     component = named.groupBy("root").agg(F.min("least_id").alias("component"))
-    linked = named.join(component, "root").select("fp", "root", "component")
+    linked = join_hot(named, component, ["root"]).select("fp", "root", "component")
     return classes.join(linked, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "least_id").alias("component_id")
     )
@@ -342,7 +343,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id never names a component with another id in it. An empty table gives no row.
     """
     own = checkpointed(fingerprints(docs))
-    return own.join(_classes(own), "fp").select("doc_id", "fp", "component_id")
+    return join_hot(own, _classes(own), ["fp"]).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
