@@ -14,10 +14,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import join_hot
 from .session import not_broadcast, settled
 from .textkernels import shingle_hashes, text_slices
 
@@ -147,15 +148,17 @@ def _leaders(docs: DataFrame) -> DataFrame:
     """(c, leaders): of each class that shares a band with another, the least classes of its bands' buckets; c is the class's 64-bit hash.
 
     Two classes of one bucket have its leader in common, so they meet there; the
-    classes of a near group mostly share few leaders, unlike buckets.
+    classes of a near group mostly share few leaders, unlike buckets. A bucket that
+    holds most classes shrinks to its least and greatest before it is exchanged.
     """
     width = 2 * PERMUTATIONS // BANDS
     classes = docs.select(_class().alias("class_id"), "text").mapInArrow(_band_keys, "class_id string, fingerprint binary")
     classes = classes.groupBy("class_id").agg(F.min("fingerprint").alias("fingerprint"))
+    classes = settled(classes.select(F.xxhash64("class_id").alias("c"), "fingerprint"))
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("fingerprint", 1 + b * width, width)) for b in range(BANDS)])
-    bucket = Window.partitionBy("key")
-    spread = classes.select(F.xxhash64("class_id").alias("c"), F.explode(keys).alias("key"))
-    met = spread.select("c", F.min("c").over(bucket).alias("leader"), F.max("c").over(bucket).alias("_last")).filter("leader <> _last")
+    spread = classes.select("c", F.explode(keys).alias("key"))
+    shared = spread.groupBy("key").agg(F.min("c").alias("leader"), F.max("c").alias("last")).filter("leader <> last")
+    met = join_hot(spread, not_broadcast(shared.select("key", "leader")), ["key"])
     return met.groupBy("c").agg(F.array_sort(F.collect_set("leader")).alias("leaders"))
 
 
@@ -186,7 +189,7 @@ def _verified(docs: DataFrame, similarity: float, tell: Callable, schema: str) -
     named = docs.select(_class().alias("class_id"), "text").withColumn("c", F.xxhash64("class_id"))
     texts = named.filter(_held_by(members)(F.col("c"))).groupBy("class_id", "c").agg(F.first("text").alias("text"))
     sizes = members.select(F.explode("leaders").alias("leader")).groupBy("leader").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).cast("int").alias("blocks"))
-    at = members.select("*", F.explode("leaders").alias("leader")).join(not_broadcast(sizes), "leader")
+    at = join_hot(members.select("*", F.explode("leaders").alias("leader")), not_broadcast(sizes), ["leader"])
     at = at.withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     at = at.select("c", "leaders", "leader", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
@@ -345,7 +348,8 @@ def compare_with_edited(docs: DataFrame, parts: int | None = None, links: DataFr
     schema = T.StructType([docs.schema["doc_id"], *(T.StructField(n, t) for n, t in told)])
     rows = docs.select("doc_id", "text")
     if linked:
-        notes = docs.select("doc_id", _class().alias("class_id")).distinct().join(not_broadcast(links), "class_id")
+        notes = docs.select("doc_id", _class().alias("class_id")).distinct()
+        notes = join_hot(notes, not_broadcast(links), ["class_id"])
         notes = settled(notes.select("doc_id", "class_id", "n_links"))
         rows = rows.unionByName(notes, allowMissingColumns=True)
     return ring(rows, parts).mapInArrow(run, schema)
