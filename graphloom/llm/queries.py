@@ -131,8 +131,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "slots")
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each damaged conversation's faults and the cheapest edits that mend it, with the digest of what they give."""
+    from .conversations import damaged, repair_digests, repair_plans
+
+    bounded_batches(spark)
+    rows = damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return repair_digests(rows, repair_plans(rows))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op3_toxicity": op3_toxicity, "op4_quality": op4_quality, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing}
+    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op3_toxicity": op3_toxicity, "op4_quality": op4_quality, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing, "op13_conversations": op13_conversations}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.
@@ -196,5 +205,57 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, f
 """.replace("{words}", "512")
 
 
+def _crc32_sql(value: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes, as a BIGINT."""
+    return f"""xor(4294967295::BIGINT, list_reduce(
+      list_transform(range(length(hex(encode({value})))), lambda i: (instr('0123456789ABCDEF', substr(hex(encode({value})), i + 2 - 2 * (i % 2), 1)) - 1)::BIGINT),
+      lambda c, d: xor(c >> 4, [{", ".join(f"{_crc_nibble(n)}::BIGINT" for n in range(16))}][1 + (xor(c, d) & 15)]), 4294967295::BIGINT))"""
+
+
+def _edit_sql(state: str, cost: str, initial: str, row: str | None) -> str:
+    """A way (cost in six digits, initials, chr(1), repaired rows) with one more edit; `z` is no way."""
+    cut = f"instr({state}, chr(1))"
+    more = f" || CASE WHEN {cut} = length({state}) THEN '' ELSE chr(10) END || {row}" if row else ""
+    return f"CASE WHEN {state} = 'z' THEN 'z' ELSE lpad((substr({state}, 1, 6)::INTEGER + {cost})::VARCHAR, 6, '0') || substr({state}, 7, {cut} - 7) || '{initial}' || substr({state}, {cut}){more} END"
+
+
+def _conversations_sql() -> str:
+    """The least way to each state (nothing yet, after s, u, a), row by row, then the least that may end."""
+    keep = lambda state, role: f"CASE WHEN e[2] <> 'd' AND e[1] = '{role}' THEN {_edit_sql(state, extra, 'K', said)} ELSE 'z' END"
+    fill = lambda state, role: f"CASE WHEN e[2] <> 'd' THEN {_edit_sql(state, f'3 + {extra}', 'R', f"'{role}:' || e[4]")} ELSE 'z' END"
+    extra, said, to = "CASE WHEN e[2] = 't' THEN 3 ELSE 0 END", "e[3] || ':' || e[4]", [_edit_sql(f"a[{i}]", "4", "D", None) for i in range(1, 5)]
+    least = lambda *ways: f"least({', '.join(ways)})"
+    step = [
+        to[0],
+        least(to[1], keep("a[1]", "s")),
+        least(to[2], *[keep(f"a[{i}]", "u") for i in (1, 2, 4)], *[fill(f"a[{i}]", "user") for i in (1, 2, 4)]),
+        least(to[3], keep("a[3]", "a"), fill("a[3]", "assistant")),
+    ]
+    user, assistant = (lambda x: _edit_sql(x, "3", "I", "'user:'")), (lambda x: _edit_sql(x, "3", "I", "'assistant:'"))
+    filled = lambda x: f"list_transform([{x}], lambda b: [b[1], b[2], least(b[3], {user('b[1]')}, {user('b[2]')}, {user('b[4]')}), b[4]])[1]"
+    closed = lambda x: f"list_transform([{filled(x)}], lambda g: [g[1], g[2], g[3], least(g[4], {assistant('g[3]')})])[1]"
+    start = closed("['000000' || chr(1), 'z', 'z', 'z']")
+    space, white = (lambda c: f"coalesce({c}::VARCHAR, ' ')"), r"\x20\x09-\x0D"
+    pair = "substr(lag(role) OVER o, 1, 1) || substr(role, 1, 1)"
+    return f"""
+WITH h AS (SELECT conv_id, turn, {space("role")} AS role, {space("text")} AS text, {_crc32_sql(f"{space('conv_id')} || ':' || {space('turn')}")} % 20 AS harm FROM conversations),
+d AS (SELECT conv_id, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role, CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE harm WHEN 3 THEN 2 ELSE 1 END)) AS time FROM h WHERE harm <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen, regexp_extract(text, '[^{white}](?:[{white}]*)$')[1] AS last FROM d),
+f AS (SELECT *, CASE WHEN last = '' OR NOT regexp_matches(text, '[^{white}]') THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(role) OVER o IS NOT NULL AND {pair} NOT IN ('su', 'ua', 'au') AS illegal
+      FROM n WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), seen)),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal,
+        list([substr(role, 1, 1), CASE fault WHEN '' THEN 'c' WHEN 'truncated' THEN 't' ELSE 'd' END, role, text] ORDER BY turn NULLS FIRST, role, sha256(text), seen) AS rows FROM f GROUP BY conv_id),
+w AS (SELECT *, list_reduce(rows, lambda a, e: {closed(f"[{', '.join(step)}]")}, {start}) AS ways FROM g),
+b AS (SELECT *, least(ways[1], ways[4]) AS way FROM w)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(substr(way, 1, 6)::BIGINT, 0) AS cost, coalesce(substr(way, 7, instr(way, chr(1)) - 7), '') AS audit,
+  sha256(coalesce(substr(way, instr(way, chr(1)) + 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN b ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_sharding": _SQL_SHARDING, "op10_mixing": _SQL_MIXING}
+    return {"op9_sharding": _SQL_SHARDING, "op10_mixing": _SQL_MIXING, "op13_conversations": _conversations_sql()}
