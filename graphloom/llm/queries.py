@@ -131,6 +131,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "slots")
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item by weighted terms."""
+    from .search import ranked
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return ranked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each damaged conversation's faults and the cheapest edits that mend it, with the digest of what they give."""
     from .conversations import damaged, repair_digests, repair_plans
@@ -141,7 +149,7 @@ def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op3_toxicity": op3_toxicity, "op4_quality": op4_quality, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing, "op13_conversations": op13_conversations}
+    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op3_toxicity": op3_toxicity, "op4_quality": op4_quality, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing, "op11_search": op11_search, "op13_conversations": op13_conversations}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.
@@ -205,6 +213,18 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, f
 """.replace("{words}", "512")
 
 
+_SQL_SEARCH = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}') AS terms FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{term}')) AS term FROM benchmark),
+s AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d),
+f AS MATERIALIZED (SELECT row, doc_id, len(terms)::BIGINT AS n, term, count(*) AS tf FROM (SELECT row, doc_id, terms, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, s GROUP BY term, n_docs),
+r AS (SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN f USING (term), s GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0 QUALIFY rank <= 50
+""".replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
 def _crc32_sql(value: str) -> str:
     """CRC-32 of a string's UTF-8 bytes, as a BIGINT."""
     return f"""xor(4294967295::BIGINT, list_reduce(
@@ -258,4 +278,4 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN b ON c.conv_id IS
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_sharding": _SQL_SHARDING, "op10_mixing": _SQL_MIXING, "op13_conversations": _conversations_sql()}
+    return {"op9_sharding": _SQL_SHARDING, "op10_mixing": _SQL_MIXING, "op11_search": _SQL_SEARCH, "op13_conversations": _conversations_sql()}

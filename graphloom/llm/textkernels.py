@@ -68,13 +68,28 @@ def text_slices(column: pa.Array, pass_bytes: int = PASS_BYTES, rows: int = 1 <<
         first = end
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of words ([^\\x20\\x09-\\x0D]+), and for each row the index of its first word (one more at the end)."""
+def byte_runs(buf: np.ndarray, apart: np.ndarray = _WHITE, pass_bytes: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
+    """Start and end of runs of about pass_bytes that end after a byte of `apart`, so that no word is cut; a longer word makes a longer run."""
+    at, n = 0, len(buf)
+    while at < n:
+        end = min(n, at + pass_bytes)
+        if end < n:
+            found = np.flatnonzero(apart[buf[at:end]])
+            while not len(found) and end < n:
+                begun, end = end, min(n, end + pass_bytes)
+                found = np.flatnonzero(apart[buf[begun:end]]) + (begun - at)
+            end = at + int(found[-1]) + 1 if len(found) else n
+        yield at, end
+        at = end
+
+
+def word_spans(buf: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of words (what `apart` doesn't hold; by default [^\\x20\\x09-\\x0D]+), and for each row the index of its first word (one more at the end)."""
     n = len(buf)
     if n == 0:
         zero = np.zeros(0, dtype=np.int64)
         return zero, zero, np.zeros(len(offsets), dtype=np.int64)
-    white = _WHITE[buf]
+    white = apart[buf]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     before = np.empty(n, dtype=bool)
