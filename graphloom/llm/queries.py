@@ -139,6 +139,13 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
 
 
+def op12_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's log10 probability by prediction by partial matching, beside that of word frequencies."""
+    from .ppm import score_documents
+
+    return score_documents(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each damaged conversation's faults and the cheapest edits that mend it, with the digest of what they give."""
     from .conversations import damaged, repair_digests, repair_plans
@@ -149,7 +156,7 @@ def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op3_toxicity": op3_toxicity, "op4_quality": op4_quality, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing, "op11_search": op11_search, "op13_conversations": op13_conversations}
+    return {"op1_fingerprints": op1_fingerprints, "op2_sentencepiece": op2_sentencepiece, "op3_toxicity": op3_toxicity, "op4_quality": op4_quality, "op5_media": op5_media, "op6_langid": op6_langid, "op7_pii": op7_pii, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding, "op10_mixing": op10_mixing, "op11_search": op11_search, "op12_ppm": op12_ppm, "op13_conversations": op13_conversations}
 
 
 #: CRC-32 by nibbles, low one first: the remainders of the 16 nibbles by the reversed polynomial EDB88320.
