@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .cells import hash60
 
-#: Labels that a sample tells apart, the most frequent ones.
+#: Labels whose bounds are broadcast.
 LABELS = 4000
 
 
@@ -22,18 +22,25 @@ def sample_hash(*key: str) -> Column:
 
 
 def bounded_sample(rows: DataFrame, label: str, per_label: int, most: int, key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """About per_label rows of each label, and about `most` in all: those whose hashed key is least.
+    """About per_label keys of each label, and about `most` in all: those whose hash is least.
 
-    Labels are counted over all rows, and a hash bound per label leaves about what
-    is wanted, so nothing is ranked or gathered by label. Rows of one label and key
-    count once, whatever their number; null keys are keys. Of more than LABELS
-    labels the most frequent are taken.
+    A label's different keys are counted (by sketches, which need no exchange of rows)
+    and a hash bound per label leaves about what is wanted, so nothing is ranked or
+    gathered by label. Rows of one label and key count once, whatever their number;
+    null keys are keys. Of more labels than `most` each keeps its share of keys, which
+    for some is none. Bounds of up to LABELS labels are broadcast, those of more joined.
     """
-    counts = rows.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label).limit(LABELS).collect()
-    if not counts:
+    hashed = rows.withColumn("_h", sample_hash(label, *key))
+    counts = hashed.groupBy(label).agg(F.approx_count_distinct("_h", 0.02).alias("_n"))
+    kind = rows.schema[label].dataType.simpleString()
+    found = counts.limit(LABELS + 1).collect()
+    if not found:
         return rows.limit(0)
-    wanted = max(1, min(per_label, most // len(counts)))
-    bounds = [(r[label], min(1 << 60, (wanted << 60) // r["n"])) for r in counts]
-    told = rows.sparkSession.createDataFrame(bounds, f"`{label}` {rows.schema[label].dataType.simpleString()}, _bound long")
-    near = rows.withColumn("_h", sample_hash(label, *key)).join(F.broadcast(told), label).filter(F.col("_h") <= F.col("_bound"))
+    n = len(found) if len(found) <= LABELS else counts.count()
+    share = lambda of: min(1.0, min(per_label, most / n) / max(1, of))
+    if len(found) <= LABELS:
+        bounds = F.broadcast(rows.sparkSession.createDataFrame([(r[label], int(share(r["_n"]) * (1 << 60))) for r in found], f"`{label}` {kind}, _bound long"))
+    else:
+        bounds = counts.select(label, (F.least(F.lit(1.0), F.lit(min(per_label, most / n)) / F.greatest(F.lit(1), "_n")) * (1 << 60)).cast("long").alias("_bound"))
+    near = hashed.join(bounds, label).filter(F.col("_h") <= F.col("_bound"))
     return near.dropDuplicates([label, "_h"]).select(rows.columns)
