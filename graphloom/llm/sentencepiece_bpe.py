@@ -5,7 +5,8 @@ the least pair rank of every segment is found by one segmented minimum, the plac
 of that rank are merged at once, from the left, and the array is compacted, until
 no pair is left. A segment's round ends at the first merge that makes a pair of the
 same or a lesser rank, so merges come in the library's own order, and results are
-equal to its results, whatever a segment's length. No piece joins a space to the
+equal to its results, whatever a segment's length. A run of spaces, in which each
+merge would end a round, is cut where it cannot merge across. No piece joins a space to the
 left of another character, so words, with their leading spaces, merge on their own.
 """
 
@@ -93,6 +94,24 @@ class Vocabulary:
         # neighbours inside some piece; between any other two characters no merge can ever reach across
         inside = {ord(p[j]) << 21 | ord(p[j + 1]) for p in ids for j in range(len(p) - 1)}
         self.neighbours = np.array(sorted(inside), dtype=np.int64)
+        self.space_run = self._space_run({p: rank_of[s] for p, s in scores.items()})
+
+    @staticmethod
+    def _space_run(ranks: dict[str, int]) -> int:
+        """Spaces after each of which a longer run of spaces can be cut, or 0 for never.
+
+        If all pieces of several spaces have one rank, and none has another character
+        after several, a run merges from its left: so many spaces become the longest
+        such piece, which merges with nothing, whatever stands behind them.
+        """
+        kinds = {len(p): r for p, r in ranks.items() if not p.strip(" ")}
+        several = {r for n, r in kinds.items() if n > 1}
+        if len(several) != 1 or any(p.startswith("  ") and p.strip(" ") for p in ranks):
+            return 0
+        run = [1] * max(kinds)
+        while (at := next((i for i in range(len(run) - 1) if run[i] + run[i + 1] in kinds), None)) is not None:
+            run[at : at + 2] = [run[at] + run[at + 1]]
+        return run[0] if len(run) == 1 else 0
 
     def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Index of each pair in ranks and merged; the last entry stands for no pair."""
@@ -159,6 +178,10 @@ class Vocabulary:
             both = points[:-1] << 21 | points[1:]
             at = np.minimum(np.searchsorted(self.neighbours, both), len(self.neighbours) - 1)
             cut[1:-1] |= self.neighbours[at] != both
+            if self.space_run:
+                space = points == ord(" ")
+                before = np.arange(len(points)) - np.maximum.accumulate(np.where(space & ~cut[:-1], -1, np.arange(len(points))))  # spaces of the run before each
+                cut[1:-1] |= (space[1:] & space[:-1] & (before[1:] % self.space_run == 0))
         starts = np.flatnonzero(cut[:-1])
         symbols = self.char_id[points]
         symbols = np.where(symbols == _UNKNOWN, -2 - points, symbols)  # an unknown character keeps its code point

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -39,6 +40,25 @@ def test_long_words_merge_in_the_library_s_order(library):
         assert ids[starts[i] : starts[i + 1]].tolist() == library.encode(text), text[:40]
 
 
+def test_long_runs_of_spaces(library):
+    """Equal to the library, in time that follows the length."""
+    rng = random.Random(3)
+    texts = [" " * 200_000, " " * 100_000 + "word", "a" + " " * 99_999 + "b   "]
+    texts += [" " * n + w for n in range(70) for w in ("", "x", "\n", " the")]
+    texts += ["".join(" " * rng.randint(0, 60) + rng.choice(["a", "the", "é", "\n", "▁▁▁"]) for _ in range(40)) for _ in range(100)]
+    began = time.process_time()
+    ids, starts = S.encode_texts(texts, PATH)
+    assert time.process_time() - began < 4
+    for i, text in enumerate(texts):
+        assert ids[starts[i] : starts[i + 1]].tolist() == library.encode(text), (len(text), text[-20:])
+
+
+def test_runs_are_cut_only_where_that_is_safe():
+    even = {" " * n: 9 for n in (2, 4, 8)} | {" ": 0, " a": 1}
+    assert S.Vocabulary._space_run(even) == 8
+    assert S.Vocabulary._space_run(even | {"    ": 8}) == S.Vocabulary._space_run(even | {"  a": 3}) == S.Vocabulary._space_run({" ": 0, " " * 3: 9}) == 0
+
+
 def test_models_that_words_alone_cannot_encode_are_refused(monkeypatch):
     class Model(sentencepiece.SentencePieceProcessor):
         def id_to_piece(self, i):
