@@ -32,13 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .samples import id_remainder
-from .session import checkpointed, not_broadcast, stored
+from .session import not_broadcast, settled, stored
 from .textkernels import PASS_BYTES, byte_runs, mix64, span_hashes, text_slices, word_spans
 
 #: Bytes of the longest context; a gram of one more fits a long.
 ORDER = 5
 #: Bytes of texts of a part, about; a longer text is a part of its own.
-PART_BYTES = 16 << 20
+PART_BYTES = 32 << 20
 #: Different bytes that a text as read here can have: all but four kinds of white space.
 BYTES = 252
 #: Ids whose crc32 has this remainder are not learned from.
@@ -134,6 +134,11 @@ class _Counts:
         return keys, np.bincount(back, np.concatenate(self.counts), len(keys)).astype(np.int64)
 
 
+def _word_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of words: negative ones, as those of grams are not."""
+    return (hashes | np.uint64(1 << 63)).view(np.int64)
+
+
 def _counted(keys: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, with how many of them stand in training texts."""
     known, back = np.unique(keys[trains], return_counts=True)
@@ -142,16 +147,16 @@ def _counted(keys: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """part, doc_id, held_out, text to part, word, key, n: a part's different grams and words, with their number in training texts."""
-    names = ["part", "word", "key", "n"]
+    """part, doc_id, held_out, text to part, key, n: a part's different grams and words, with their number in training texts."""
+    names = ["part", "key", "n"]
     part, grams, words = None, _Counts(), _Counts()
 
     def told() -> Iterator[pa.RecordBatch]:
-        for word, counts in ((False, grams), (True, words)):
+        for counts in (grams, words):
             keys, n = counts.summed()
             for at in range(0, len(keys), 1 << 17):
                 k, c = keys[at : at + (1 << 17)], n[at : at + (1 << 17)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), part)), pa.array(np.full(len(k), word)), pa.array(k), pa.array(c)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), part)), pa.array(k), pa.array(c)], names=names)
 
     for batch in batches:
         parts = batch.column(0).to_numpy()
@@ -167,7 +172,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for first, end, gram, begins, word, heads in _pieces(batch.column(3).slice(a, b - a)):
                 own = trains[first:end]
                 grams.add(*_counted(gram, np.repeat(own, np.diff(begins))))
-                words.add(*_counted(word.view(np.int64), np.repeat(own, np.diff(heads))))
+                words.add(*_counted(_word_keys(word), np.repeat(own, np.diff(heads))))
     if part is not None:
         yield from told()
 
@@ -193,14 +198,14 @@ def trie(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     A gram's last byte stands lowest. `total` sums the counts of a context's followers,
     `covered` their counts in the next shorter context.
     """
-    levels = checkpointed(_suffixes(grams).groupBy("level", "gram").agg(F.sum("n").alias("n")))
+    levels = settled(_suffixes(grams).groupBy("level", "gram").agg(F.sum("n").alias("n")))
     shorter = levels.select((F.col("level") + 1).alias("level"), F.col("gram").alias("rest"), F.col("n").alias("n_shorter"))
     told = levels.withColumn("rest", F.col("gram").bitwiseAND(_bits(F.col("level"))))
     met = told.join(not_broadcast(shorter), ["level", "rest"], "left")
     nodes = met.groupBy("level", F.shiftright("gram", 8).alias("context")).agg(
         F.sum("n").alias("total"), F.count("*").alias("followers"), F.coalesce(F.sum("n_shorter"), F.lit(0)).alias("covered")
     )
-    return levels, checkpointed(nodes)
+    return levels, settled(nodes)
 
 
 def gram_values(grams: DataFrame) -> DataFrame:
@@ -266,15 +271,15 @@ _SCORES = "doc_id {0}, held_out boolean, n_tokens long, n_known long, base_score
 
 def _scored(docs: pa.Table, values: pa.Table, end_value: float, end_known: bool) -> pa.Table:
     """The scores of a part's texts by the values of all of its grams and words."""
-    word = values.column("word").to_numpy()
     keys, value = values.column("key").to_numpy(), values.column("value").to_numpy()
+    word = keys < 0
     known = values.column("known").to_numpy()[word]
     gram_at, word_at, gram_value, word_value = _lookup(keys[~word]), _lookup(keys[word]), value[~word], value[word]
     n = docs.num_rows
     tokens, seen, base, score = np.ones(n, dtype=np.int64), np.full(n, int(end_known), dtype=np.int64), np.full(n, end_value), np.zeros(n)
     for first, end, gram, begins, words, heads in _pieces(docs.column("text")):
         rows = np.repeat(np.arange(first, end), np.diff(heads))
-        at = word_at(words.view(np.int64))
+        at = word_at(_word_keys(words))
         tokens[first:end] += np.diff(heads)
         seen[first:end] += np.bincount(rows - first, known[at], end - first).astype(np.int64)
         base[first:end] += np.bincount(rows - first, word_value[at], end - first)
@@ -301,16 +306,16 @@ def score_documents(docs: DataFrame, held: Column | None = None) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     dealt = docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(_dealt, f"part long, doc_id {kind}, held_out boolean, text string")
     parts, _ = stored(dealt)
-    gathered, _ = stored(parts.mapInArrow(_gathered, "part long, word boolean, key long, n long"))
-    counts = checkpointed(gathered.groupBy("word", "key").agg(F.sum("n").alias("n")))
+    gathered, _ = stored(parts.mapInArrow(_gathered, "part long, key long, n long"))
+    counts = settled(gathered.groupBy("key").agg(F.sum("n").alias("n")))
     trained = parts.agg(F.count_if(~F.col("held_out")).alias("n")).first().n
-    sums = counts.filter("word").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    sums = counts.filter("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n_all, kinds = sums.n + trained, sums.v + int(trained > 0)
     whole = n_all + 0.5 * (kinds + 1)
 
-    grams = gram_values(counts.filter("NOT word").select("key", "n")).select(F.lit(False).alias("word"), "key", "value", F.lit(False).alias("known"))
-    words = counts.filter("word").select("word", "key", F.log10((F.col("n") + 0.5) / F.lit(whole)).alias("value"), (F.col("n") > 0).alias("known"))
-    valued = gathered.select("part", "word", "key").join(not_broadcast(grams.unionByName(words)), ["word", "key"])
+    grams = gram_values(counts.filter("key >= 0")).select("key", "value", F.lit(False).alias("known"))
+    words = counts.filter("key < 0").select("key", F.log10((F.col("n") + 0.5) / F.lit(whole)).alias("value"), (F.col("n") > 0).alias("known"))
+    valued = gathered.select("part", "key").join(not_broadcast(grams.unionByName(words)), "key")
     end_value, end_known = math.log10((trained + 0.5) / whole), trained > 0
     scored = parts.groupBy("part").cogroup(valued.groupBy("part")).applyInArrow(lambda a, b: _scored(a, b, end_value, end_known), _SCORES.format(kind))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")
