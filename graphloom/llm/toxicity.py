@@ -3,18 +3,18 @@
 Candidate terms (words and word beginnings) are chosen on labelled rows. The most
 telling ones become one-term voters, the others are pooled into lexicon voters,
 and pattern voters watch the way a text is written. All of them vote on labelled
-and unlabelled rows; a voter that does not fire abstains, and one voter fires where
-all lexicon voters abstain. The label model starts from whether a lexicon voter
-fires, and estimates how often each voter is right and which voters fire together.
-The given labels are one more voter, silent on unlabelled rows, whose accuracy is
-estimated against what the others say. A linear classifier is trained on the
+and unlabelled rows. The label model is generative: labels are hidden, and by
+expectation and maximisation it finds their share, how often each voter fires under
+either label, and which voters fire together, starting from whether any lexicon voter
+fires. The given labels are one more voter, silent on unlabelled rows, whose accuracy
+is estimated against what the others say. A linear classifier is trained on the
 posterior labels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +44,17 @@ LEAST_GAIN = 0.005
 WRONG_COST, SAME_WORD = 3.0, 0.9
 #: A row without a given label.
 UNLABELLED = -1
-#: Rows seen in advance: of the given labels, right and wrong ones, and of each other voter, at the share of label 1.
+#: Rows seen in advance: of the given labels, right and wrong ones, and of each other voter, at its usual rate.
 GIVEN_RIGHT, GIVEN_WRONG = 8.0, 2.0
 VOTER_ROWS = 2.0
+#: Kinds of rows of label 1, at most.
+KINDS = 8
+#: A voter fires on less than this part of the rows of label 0.
+MOST_FALSE = 0.45
 #: Probability of label 1 before the first round, where no lexicon voter fires and where one does.
 START_SILENT, START_FIRED = 0.05, 0.9
 ROUNDS = 25
-CORRELATED = 0.2
+CORRELATED = 0.7
 PREDICT_AT = 0.7
 ROWS_AT_ONCE = 4096
 
@@ -167,18 +171,36 @@ def _patterns(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """Share of label 1, of the rows where each voter fires that of label 1, the weight left to each voter by its
-    correlations, and how often a given label is right where label 1 or label 0 holds."""
+    """Shares of label 0 and of the kinds of label 1, how often each voter fires in each of them, the weight left to each
+    voter by its correlations, and how often a given label is right where label 1 or label 0 holds."""
 
-    prior: float
-    share1: np.ndarray
+    shares: np.ndarray
+    rates: np.ndarray
     weight: np.ndarray
     right1: float
     right0: float
 
+    @property
+    def prior(self) -> float:
+        return float(self.shares[1:].sum())
+
+    @property
+    def false(self) -> np.ndarray:
+        return self.rates[0]
+
+    @property
+    def hit(self) -> np.ndarray:
+        return self.shares[1:] @ self.rates[1:] / self.prior
+
+    def joint(self, votes: np.ndarray) -> np.ndarray:
+        """Log-likelihood of the votes with each kind (rows x kinds); the voter of silence stands last, as for fit_label_model()."""
+        votes, silent = votes[:, :-1], np.log(1 - self.rates)
+        return np.log(self.shares) + (votes * self.weight) @ (np.log(self.rates) - silent).T + silent @ self.weight
+
     def odds(self, votes: np.ndarray) -> np.ndarray:
-        """Log-odds of label 1 by the votes alone; voters that do not fire abstain."""
-        return _odds(self.prior) + votes @ (self.weight * (_odds(self.share1) - _odds(self.prior)))
+        """Log-odds of label 1 by the votes alone."""
+        joint = self.joint(votes)
+        return np.logaddexp.reduce(joint[:, 1:], axis=1) - joint[:, 0]
 
     def posterior(self, votes: np.ndarray, given: np.ndarray | None = None) -> np.ndarray:
         """Probability of label 1; given labels (1, 0 or UNLABELLED) vote too."""
@@ -192,12 +214,12 @@ def _odds(p: np.ndarray | float) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def _correlation_weights(votes: np.ndarray, guess: np.ndarray) -> np.ndarray:
-    """Each voter's weight: less, the more it fires together with others within a label."""
+def _correlation_weights(votes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Each voter's weight: less, the more it fires together with others within a kind of rows (rows x kinds)."""
     cov = np.zeros((votes.shape[1], votes.shape[1]))
-    for belief in (guess, 1 - guess):
+    for belief in kinds.T:
         centred = (votes - belief @ votes / max(belief.sum(), 1e-9)) * np.sqrt(belief)[:, None]
-        cov += centred.T @ centred / len(guess)
+        cov += centred.T @ centred / len(votes)
     scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
     correlation = cov / scale[:, None] / scale
     np.fill_diagonal(correlation, 0)
@@ -205,27 +227,62 @@ def _correlation_weights(votes: np.ndarray, guess: np.ndarray) -> np.ndarray:
 
 
 def fit_label_model(votes: np.ndarray, given: np.ndarray) -> LabelModel:
-    """The model of votes (rows x voters; the last column is the voter of silence) and given labels, in rounds.
+    """The generative model of votes (rows x voters; the last column, the voter of silence, only starts it) and given labels.
+
+    Rows of label 1 are of one or more kinds, in each of which voters fire at rates of
+    their own: voters that go together, or shut each other out, as those of different
+    languages do, are told apart so. Of up to KINDS kinds as
+    many are taken as give the best likelihood for their rates (Bayes' criterion).
+    """
+    best, cost = None, np.inf
+    for kinds in range(1, KINDS + 1):
+        model, likelihood = _fit_kinds(votes, given, kinds)
+        if (now := kinds * votes.shape[1] * np.log(len(votes)) / 2 - likelihood) < cost:
+            best, cost = model, now
+    return best
+
+
+def _first_kinds(cast: np.ndarray, fired: np.ndarray, kinds: int) -> np.ndarray:
+    """Rows x kinds of label 1: each led by the voter that fires on most rows where no earlier leader does."""
+    out, free = np.full((len(cast), kinds), 1 / kinds), fired.copy()
+    for k in range(kinds):
+        led = free & (cast[:, int(np.argmax(free @ cast))] == 1)
+        out[led] = np.eye(kinds)[k] * 0.9 + 0.1 / kinds
+        free &= ~led
+    return out
+
+
+def _fit_kinds(votes: np.ndarray, given: np.ndarray, kinds: int) -> tuple[LabelModel, float]:
+    """A model of so many kinds of label 1, and its log-likelihood with all weights whole.
 
-    Given labels are judged by the posterior of the other voters, so they never
-    confirm themselves. A voter is judged by how often label 1 is given where it
-    fires, corrected for how often given labels are wrong, so it doesn't confirm
-    itself on rows where it fires alone. The first round starts from silence alone.
+    Labels and kinds are hidden: by expectation and maximisation over all rows,
+    labelled or not, their shares and the voters' rates are found, starting from
+    whether any lexicon voter fires. A rate under label 0 stays below MOST_FALSE, so
+    the labels keep their names. Given labels are one more voter; it is judged by the
+    posterior of the others, so it never confirms itself. Voters that fire together
+    within a kind share their weight.
     """
-    votes, n, known = votes.astype(np.float64), len(given), given != UNLABELLED
-    guess = alone = np.where(votes[:, -1] == 1, START_SILENT, START_FIRED)
-    weight = np.ones(votes.shape[1])
-    named1 = ((given == 1) @ votes + VOTER_ROWS * (given == 1).sum() / max(known.sum(), 1)) / (known @ votes + VOTER_ROWS)
+    cast, fired, n, known = votes[:, :-1].astype(np.float64), votes[:, -1] == 0, len(given), given != UNLABELLED
+    alone = np.where(fired, START_FIRED, START_SILENT)
+    belief = np.column_stack([1 - alone, alone[:, None] * _first_kinds(cast, fired, kinds)])
+    weight, usual = np.ones(cast.shape[1]), (cast.sum(axis=0) + 1) / (n + 2)
     for round_ in range(ROUNDS):
+        sums = belief.sum(axis=0)
+        rates = np.clip((belief.T @ cast + VOTER_ROWS * usual) / (sums + VOTER_ROWS)[:, None], 1e-5, 1 - 1e-5)
+        rates[0] = np.minimum(rates[0], MOST_FALSE)
         right1 = (alone[given == 1].sum() + GIVEN_RIGHT) / (alone[known].sum() + GIVEN_RIGHT + GIVEN_WRONG)
         right0 = ((1 - alone)[given == 0].sum() + GIVEN_RIGHT) / ((1 - alone)[known].sum() + GIVEN_RIGHT + GIVEN_WRONG)
-        share1 = np.clip((named1 - (1 - right0)) / max(right1 + right0 - 1, 0.1), 1e-3, 1 - 1e-3)
         if round_ % 5 == 4:
-            weight = _correlation_weights(votes, guess)
-        prior = float(np.clip((guess.sum() + 1) / (n + 2), 0.01, 0.99))
-        model = LabelModel(prior, share1, weight, float(right1), float(right0))
-        alone, guess = model.posterior(votes), model.posterior(votes, given)
-    return model
+            weight = _correlation_weights(cast, belief)
+        model = LabelModel((sums + 1) / (n + kinds + 1), rates, weight, float(right1), float(right0))
+        alone = 1 / (1 + np.exp(-np.clip(model.odds(votes), -40, 40)))
+        one, zero = (given == 1)[:, None], (given == 0)[:, None]
+        of0, of1 = np.array([1.0] + [0.0] * kinds), np.array([0.0] + [1.0] * kinds)
+        named = one * np.log(of1 * right1 + of0 * (1 - right0)) + zero * np.log(of1 * (1 - right1) + of0 * right0)
+        joint = model.joint(votes) + named
+        belief = np.exp(joint - np.logaddexp.reduce(joint, axis=1)[:, None])
+    whole = replace(model, weight=np.ones(len(weight))).joint(votes) + named
+    return model, float(np.logaddexp.reduce(whole, axis=1).sum())
 
 
 def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:

@@ -46,19 +46,35 @@ def cast_votes(rng, y, rates):
     return np.column_stack([votes, ~votes.any(axis=1)])
 
 
-def test_label_model_estimates_shares_correlations_and_labels():
+def test_label_model_estimates_rates_correlations_and_labels():
     rng = np.random.default_rng(0)
     y = rng.random(6000) < 0.3
     votes = cast_votes(rng, y, ((0.6, 0.005), (0.5, 0.005), (0.5, 0.03), (0.4, 0.003)))
     given = np.where(rng.random(6000) < 0.5, X.UNLABELLED, (y ^ (rng.random(6000) < 0.1)).astype(int))
     model = X.fit_label_model(votes, given)
-    true = [y[votes[:, j]].mean() for j in range(votes.shape[1])]
-    assert np.allclose(model.share1, true, atol=0.08)
+    assert np.allclose(model.hit, votes[y, :-1].mean(axis=0), atol=0.08) and np.allclose(model.false, votes[~y, :-1].mean(axis=0), atol=0.02)
     assert abs(model.prior - 0.3) < 0.05
     assert model.weight[0] < 0.6 and model.weight[4] < 0.6 and model.weight[2] > 0.8
     assert 0.8 < model.right1 < 0.97 and 0.85 < model.right0 < 0.97  # true: 0.9
 
 
+def test_votes_alone_teach_the_model():
+    """Twelve independent voters; given labels, all right or some wrong, don't make it worse."""
+    for seed in range(5):
+        rng = np.random.default_rng(seed)
+        y = rng.random(4000) < 0.15
+        votes = np.where(y[:, None], rng.random((4000, 12)) < 0.45, rng.random((4000, 12)) < 0.02)
+        votes = np.column_stack([votes, ~votes.any(axis=1)])
+        none = np.full(4000, X.UNLABELLED)
+        right = lambda given: ((X.fit_label_model(votes, given).posterior(votes, given) > 0.5) == y).mean()
+        alone = right(none)
+        model = X.fit_label_model(votes, none)
+        assert alone > 0.98 and abs(model.prior - 0.15) < 0.02
+        assert np.allclose(model.hit, 0.45, atol=0.1) and np.allclose(model.false, 0.02, atol=0.02)
+        assert right(y.astype(int)) >= alone and right(np.where(rng.random(4000) < 0.3, y.astype(int), X.UNLABELLED)) >= alone - 0.001
+        assert right((y ^ (rng.random(4000) < 0.15)).astype(int)) > 0.98
+
+
 def test_wrong_labels_are_outvoted():
     rng = np.random.default_rng(1)
     y = rng.random(4000) < 0.3
