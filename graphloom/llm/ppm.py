@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .samples import id_remainder
-from .session import not_broadcast, settled, stored
+from .session import not_broadcast, packed
 from .textkernels import PASS_BYTES, byte_runs, mix64, span_hashes, text_slices, word_spans
 
 #: Bytes of the longest context; a gram of one more fits a long.
@@ -198,14 +198,14 @@ def trie(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     A gram's last byte stands lowest. `total` sums the counts of a context's followers,
     `covered` their counts in the next shorter context.
     """
-    levels = settled(_suffixes(grams).groupBy("level", "gram").agg(F.sum("n").alias("n")))
+    levels = packed(_suffixes(grams).groupBy("level", "gram").agg(F.sum("n").alias("n")))
     shorter = levels.select((F.col("level") + 1).alias("level"), F.col("gram").alias("rest"), F.col("n").alias("n_shorter"))
     told = levels.withColumn("rest", F.col("gram").bitwiseAND(_bits(F.col("level"))))
     met = told.join(not_broadcast(shorter), ["level", "rest"], "left")
     nodes = met.groupBy("level", F.shiftright("gram", 8).alias("context")).agg(
         F.sum("n").alias("total"), F.count("*").alias("followers"), F.coalesce(F.sum("n_shorter"), F.lit(0)).alias("covered")
     )
-    return levels, settled(nodes)
+    return levels, packed(nodes)
 
 
 def gram_values(grams: DataFrame) -> DataFrame:
@@ -305,9 +305,9 @@ def score_documents(docs: DataFrame, held: Column | None = None) -> DataFrame:
     held = F.coalesce(held_out(F.col("doc_id")) if held is None else held, F.lit(False))
     kind = docs.schema["doc_id"].dataType.simpleString()
     dealt = docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(_dealt, f"part long, doc_id {kind}, held_out boolean, text string")
-    parts, _ = stored(dealt)
-    gathered, _ = stored(parts.mapInArrow(_gathered, "part long, key long, n long"))
-    counts = settled(gathered.groupBy("key").agg(F.sum("n").alias("n")))
+    parts = packed(dealt)
+    gathered = packed(parts.mapInArrow(_gathered, "part long, key long, n long"))
+    counts = packed(gathered.groupBy("key").agg(F.sum("n").alias("n")))
     trained = parts.agg(F.count_if(~F.col("held_out")).alias("n")).first().n
     sums = counts.filter("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n_all, kinds = sums.n + trained, sums.v + int(trained > 0)

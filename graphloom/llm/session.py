@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +38,11 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def stored(frame: DataFrame) -> tuple[DataFrame, str]:
+def stored(frame: DataFrame, codec: str | None = None) -> tuple[DataFrame, str]:
     """The frame as a Parquet table in the checkpoint folder, read back, and the table's path, for forget()."""
     spark = frame.sparkSession
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=codec)
     return spark.read.parquet(path), path
 
 
@@ -51,17 +52,29 @@ def forget(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def settled(frame: DataFrame) -> DataFrame:
-    """As checkpointed; what the frame's own run has exchanged is deleted at its end, not when the driver next collects its garbage."""
-    conf, key = frame.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+@contextmanager
+def _deleting_exchanges(spark: SparkSession) -> Iterator[None]:
+    conf, key = spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, "false")
     conf.set(key, "true")
     try:
-        return checkpointed(frame.select("*"))
+        yield
     finally:
         conf.set(key, before)
 
 
+def settled(frame: DataFrame) -> DataFrame:
+    """As checkpointed; what the frame's own run has exchanged is deleted at its end, not when the driver next collects its garbage."""
+    with _deleting_exchanges(frame.sparkSession):
+        return checkpointed(frame.select("*"))
+
+
+def packed(frame: DataFrame) -> DataFrame:
+    """As settled, but stored as a well compressed table, for what is large; the table stays."""
+    with _deleting_exchanges(frame.sparkSession):
+        return stored(frame.select("*"), "zstd")[0]
+
+
 #: Bytes of rows that go to a Python worker at once; long texts count, not rows.
 BATCH_BYTES = 16 << 20
 
