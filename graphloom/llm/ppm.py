@@ -11,9 +11,10 @@ says all that an exclusion needs. Last comes an even choice among the bytes neve
 
 So the probability of a byte depends on the ORDER bytes before it and the counts alone,
 and is found once for each different gram of ORDER + 1 bytes, in Spark, from the counts
-of all documents. The table grows with the input and is never broadcast: documents are
-dealt to parts of bounded bytes, each part names the grams and words it has, is joined
-with their values, and its texts are scored with these.
+of all documents. The table grows with the input and is not broadcast, but for the OFTEN
+most frequent grams and words, which nearly every text has: documents are dealt to parts
+of bounded bytes, each part names the grams and words it has, is joined with the values
+of those that are not frequent, and its texts are scored with these.
 
 Words are told apart by 64-bit hashes.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import pairwise
 
 import numpy as np
@@ -41,6 +43,8 @@ ORDER = 5
 PART_BYTES = 32 << 20
 #: Different bytes that a text as read here can have: all but four kinds of white space.
 BYTES = 252
+#: Frequent grams and words, at most, that all tasks are sent; those beyond are joined.
+OFTEN = 1 << 20
 #: Ids whose crc32 has this remainder are not learned from.
 HELD_DIVISOR, HELD = 5, 1
 #: Pairs of key and count that a task holds before it adds equal ones up.
@@ -208,14 +212,16 @@ def trie(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return levels, packed(nodes)
 
 
-def gram_values(grams: DataFrame) -> DataFrame:
-    """key, value: the log10 probability of a gram's last byte after the others, by the trie of all grams with n > 0. grams: key, n, once each."""
-    levels, nodes = trie(grams.filter("n > 0"))
-    top = nodes.filter(F.col("level") == ORDER).select(F.col("context"), "total")
-    known = grams.filter("n > 0").withColumn("context", F.shiftright("key", 8)).join(not_broadcast(top), "context")
-    known = known.select("key", F.log10((F.col("n") - 0.5) / F.col("total")).alias("value"))
+def known_values(grams: DataFrame, nodes: DataFrame) -> DataFrame:
+    """key, value: the log10 probability of the last byte after the others, of grams (key, n > 0) that the trie has."""
+    top = nodes.filter(F.col("level") == ORDER).select("context", "total")
+    known = grams.withColumn("context", F.shiftright("key", 8)).join(not_broadcast(top), "context")
+    return known.select("key", F.log10((F.col("n") - 0.5) / F.col("total")).alias("value"))
 
-    asked = _suffixes(grams.filter("n = 0").select("key")).withColumn("context", F.shiftright("gram", 8))
+
+def escaped_values(grams: DataFrame, levels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The same for grams (key) that the trie doesn't have, once each: by ways through shorter contexts."""
+    asked = _suffixes(grams.select("key")).withColumn("context", F.shiftright("gram", 8))
     met = asked.join(not_broadcast(nodes), ["level", "context"], "left").join(not_broadcast(levels), ["level", "gram"], "left")
     step = F.struct((-F.col("level")).alias("up"), "n", "total", "followers", "covered")
     paths = met.groupBy("key").agg(F.array_sort(F.collect_list(step)).alias("path"))  # ORDER + 1 steps
@@ -233,14 +239,14 @@ def gram_values(grams: DataFrame) -> DataFrame:
 
     begin = F.struct(F.lit(0.0).alias("value"), F.lit(0).cast("long").alias("covered"), F.lit(0).cast("long").alias("followers"), F.lit(False).alias("done"))
     finish = lambda s: F.when(s["done"], s["value"]).otherwise(s["value"] - F.log10(BYTES - s["followers"]))
-    return known.unionByName(paths.select("key", F.aggregate("path", begin, follow, finish).alias("value")))
+    return paths.select("key", F.aggregate("path", begin, follow, finish).alias("value"))
 
 
 # --- scores ----------------------------------------------------------------------------
 
 
 def _lookup(keys: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
-    """A function from keys to their places, by a hash table; a key that isn't there is an error."""
+    """A function from keys to their places, by a hash table; -1 for keys that aren't there."""
     bits = max(4, int(2 * len(keys)).bit_length())
     table, mask = np.full(1 << bits, -1, dtype=np.int32), (1 << bits) - 1
     slot_of = lambda k: (mix64(k.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
@@ -252,39 +258,60 @@ def _lookup(keys: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
         left, slot = left[lost], (slot[lost] + 1) & mask
 
     def places(asked: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.full(len(asked), -1, dtype=np.int32)
         slot = slot_of(asked)
         found = table[slot]
-        wrong = np.flatnonzero(keys[found] != asked) if len(keys) else np.arange(len(asked))
+        wrong = np.flatnonzero((found >= 0) & (keys[found] != asked))
         while len(wrong):
-            if not len(keys) or (found[wrong] < 0).any():
-                raise KeyError("a gram or word without a value")
             slot[wrong] = (slot[wrong] + 1) & mask
             found[wrong] = table[slot[wrong]]
-            wrong = wrong[keys[found[wrong]] != asked[wrong]]
+            wrong = wrong[(found[wrong] >= 0) & (keys[found[wrong]] != asked[wrong])]
         return found
 
     return places
 
 
+class Values:
+    """Keys with the logarithm of their odds, and whether they are known."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.keys, self.values, self.known = (table.column(c).to_numpy() for c in ("key", "value", "known"))
+
+    @cached_property
+    def _places(self) -> Callable[[np.ndarray], np.ndarray]:
+        return _lookup(self.keys)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_places"}
+
+    def of(self, asked: np.ndarray, others: Values | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Values of keys, and which are known; those of absent keys come from `others`."""
+        at = self._places(asked)
+        absent = np.flatnonzero(at < 0)
+        if len(absent) and others is None:
+            raise KeyError("a gram or word without a value")
+        value, known = (x[at] if len(x) else np.zeros(len(at), x.dtype) for x in (self.values, self.known))
+        if len(absent):
+            value[absent], known[absent] = others.of(asked[absent])
+        return value, known
+
+
 _SCORES = "doc_id {0}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _scored(docs: pa.Table, values: pa.Table, end_value: float, end_known: bool) -> pa.Table:
-    """The scores of a part's texts by the values of all of its grams and words."""
-    keys, value = values.column("key").to_numpy(), values.column("value").to_numpy()
-    word = keys < 0
-    known = values.column("known").to_numpy()[word]
-    gram_at, word_at, gram_value, word_value = _lookup(keys[~word]), _lookup(keys[word]), value[~word], value[word]
-    n = docs.num_rows
+def _scored(docs: pa.Table, seldom: pa.Table, often: Values, end_value: float, end_known: bool) -> pa.Table:
+    """The scores of a part's texts by the values of its seldom grams and words, and of frequent ones."""
+    own, n = Values(seldom), docs.num_rows
     tokens, seen, base, score = np.ones(n, dtype=np.int64), np.full(n, int(end_known), dtype=np.int64), np.full(n, end_value), np.zeros(n)
     for first, end, gram, begins, words, heads in _pieces(docs.column("text")):
-        rows = np.repeat(np.arange(first, end), np.diff(heads))
-        at = word_at(_word_keys(words))
+        rows = np.repeat(np.arange(end - first), np.diff(heads))
+        value, known = often.of(_word_keys(words), own)
         tokens[first:end] += np.diff(heads)
-        seen[first:end] += np.bincount(rows - first, known[at], end - first).astype(np.int64)
-        base[first:end] += np.bincount(rows - first, word_value[at], end - first)
+        seen[first:end] += np.bincount(rows, known, end - first).astype(np.int64)
+        base[first:end] += np.bincount(rows, value, end - first)
         rows = np.repeat(np.arange(end - first), np.diff(begins))
-        score[first:end] += np.bincount(rows, gram_value[gram_at(gram)], end - first)
+        score[first:end] += np.bincount(rows, often.of(gram, own)[0], end - first)
     return pa.table([docs.column("doc_id"), docs.column("held_out"), tokens, seen, base, score], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
@@ -313,9 +340,23 @@ def score_documents(docs: DataFrame, held: Column | None = None) -> DataFrame:
     n_all, kinds = sums.n + trained, sums.v + int(trained > 0)
     whole = n_all + 0.5 * (kinds + 1)
 
-    grams = gram_values(counts.filter("key >= 0")).select("key", "value", F.lit(False).alias("known"))
-    words = counts.filter("key < 0").select("key", F.log10((F.col("n") + 0.5) / F.lit(whole)).alias("value"), (F.col("n") > 0).alias("known"))
-    valued = gathered.select("part", "key").join(not_broadcast(grams.unionByName(words)), "key")
+    levels, nodes = trie(counts.filter("key >= 0 AND n > 0"))
+    # a class of frequency and all above it, OFTEN keys at most
+    frequency = F.floor(F.log2("n") * 8)
+    classes = counts.filter("n > 0").groupBy(frequency.alias("c")).count().orderBy(F.desc("c")).collect()
+    whole_classes = np.cumsum([r["count"] for r in classes]) <= OFTEN
+    least = min((r.c for r, kept in zip(classes, whole_classes, strict=True) if kept), default=None)
+    is_often = F.lit(False) if least is None else (F.col("n") > 0) & (frequency >= least)
+
+    def valued(rows: DataFrame, seldom: bool) -> DataFrame:
+        grams = known_values(rows.filter("key >= 0 AND n > 0"), nodes)
+        grams = grams.unionByName(escaped_values(rows.filter("key >= 0 AND n = 0"), levels, nodes)) if seldom else grams
+        words = rows.filter("key < 0").select("key", F.log10((F.col("n") + 0.5) / F.lit(whole)).alias("value"), (F.col("n") > 0).alias("known"))
+        return grams.withColumn("known", F.lit(False)).unionByName(words)
+
+    often = docs.sparkSession.sparkContext.broadcast(Values(valued(counts.filter(is_often), False).toArrow()))
+    others = gathered.select("part", "key").join(F.broadcast(counts.filter(is_often).select("key")), "key", "left_anti")
+    others = others.join(not_broadcast(valued(counts.filter(~is_often), True)), "key").select("part", "key", "value", "known")
     end_value, end_known = math.log10((trained + 0.5) / whole), trained > 0
-    scored = parts.groupBy("part").cogroup(valued.groupBy("part")).applyInArrow(lambda a, b: _scored(a, b, end_value, end_known), _SCORES.format(kind))
+    scored = parts.groupBy("part").cogroup(others.groupBy("part")).applyInArrow(lambda a, b: _scored(a, b, often.value, end_value, end_known), _SCORES.format(kind))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")

@@ -94,14 +94,18 @@ def test_gram_values_sum_to_one(spark):
             grams[int.from_bytes(s[i - P.ORDER : i + 1], "big")] += 1
     contexts = {g >> 8 for g in grams} | {int.from_bytes(c.encode(), "big") for c in ("qabra", "zzzzz", "qqqab")}
     rows = [(c << 8 | b, grams.get(c << 8 | b, 0)) for c in contexts for b in range(256) if b not in (9, 11, 12, 13)]
-    values = P.gram_values(spark.createDataFrame(rows, "key long, n long"))
+    every = spark.createDataFrame(rows, "key long, n long")
+    levels, nodes = P.trie(every.filter("n > 0"))
+    values = P.known_values(every.filter("n > 0"), nodes).unionByName(P.escaped_values(every.filter("n = 0"), levels, nodes))
     sums = values.groupBy(F.shiftright("key", 8).alias("c")).agg(F.sum(F.pow(F.lit(10.0), F.col("value"))).alias("p"), F.count("*").alias("n")).collect()
     assert len(sums) == len(contexts) and all(r.n == 252 and r.p == pytest.approx(1) for r in sums)
 
 
-def test_odd_rows(spark, monkeypatch):
+@pytest.mark.parametrize("often", [1 << 20, 300, 0])
+def test_odd_rows(spark, monkeypatch, often):
     """Nulls, white and long texts, repeated ids and rows, many parts, other columns; held out as asked."""
     monkeypatch.setattr(P, "PART_BYTES", 3000)
+    monkeypatch.setattr(P, "OFTEN", often)
     rng = np.random.default_rng(2)
     bag = [f"w{i}" for i in range(50)] + ["É", "straße", "\x00", "x" * 300]
     docs = [(None, None), (None, "a b"), (1, ""), (1, ""), (2, " \x0b\n\t "), (3, "  a  B\n\nc "), (3, "  a  B\n\nc ")]
@@ -132,9 +136,11 @@ def test_lookup():
     at = P._lookup(keys)
     asked = np.random.default_rng(2).choice(keys, 20000)
     assert np.array_equal(keys[at(asked)], asked)
+    assert at(np.array([-5])).tolist() == P._lookup(keys[:0])(np.array([3])).tolist() == [-1]
+    values = lambda k: P.Values(pa.table({"key": pa.array(k), "value": k.astype(float), "known": k > 9}))
+    assert [x.tolist() for x in values(np.array([5])).of(np.array([5, 20, 7]), values(np.array([7, 20])))] == [[5, 20, 7], [False, True, False]]
     with pytest.raises(KeyError):
-        at(np.array([-5]))
-    assert len(P._lookup(keys[:0])(keys[:0])) == 0
+        values(np.array([5])).of(np.array([6]), values(np.array([7])))
 
 
 def test_empty_table(spark):
