@@ -27,6 +27,12 @@ RECORD = (
     "edges array<struct<`from`: string, `to`: string, label: string, type: string, props: string, properties: string>>"
 )
 
+#: A talk record as operators.records builds it.
+STORED_RECORD = (
+    "schema_version string, id string, scraped_at string, source_file string, "
+    "nodes array<struct<id: string, label: string, props: string>>, edges array<struct<src: string, dst: string, label: string, props: string>>"
+)
+
 EVENT_NODE = "struct<id: string, title: string, dateTime: string, description: string, eventUrl: string, venue: struct<name: string, address: string, city: string, state: string>>"
 #: A page of a group's events. Nodes stay JSON text, so that one bad node does not void its page.
 EVENT_PAGE = ("data struct<groupByUrlname: struct<events: struct<edges: array<struct<node: string>>>>>, errors string")

@@ -3,22 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
+if TYPE_CHECKING:
+    from .keyed import KeyedTable
+
 
 def write_graph(nodes: DataFrame, edges: DataFrame, folder: str, clear: bool = True) -> None:
     """Deduplicated nodes, then edges, as Parquet by label. clear replaces what is there; else the folder must be new.
 
-    To add to an existing graph, read it, merge (operators.graph.merge_nodes) and
-    write the next version elsewhere: a table is never rewritten while it is read.
+    A label's files, read by name, hold nodes in the order of ids and edges in that of
+    src and dst: both are dealt by ranges and sorted in each, never in one task.
+
+    To add to a stored graph, use merge_into_graph(): a table is never rewritten while it is read.
     """
     mode = "overwrite" if clear else "errorifexists"
-    nodes.select("id", "label", "props").write.mode(mode).partitionBy("label").parquet(f"{folder}/nodes")
-    edges.select("src", "dst", "label", "props").write.mode(mode).partitionBy("label").parquet(f"{folder}/edges")
+    for rows, columns, order, name in ((nodes, ["id", "label", "props"], ["label", "id"], "nodes"), (edges, ["src", "dst", "label", "props"], ["label", "src", "dst"], "edges")):
+        ranged = rows.select(*columns).repartitionByRange(*order).sortWithinPartitions(*order)
+        ranged.write.mode(mode).partitionBy("label").parquet(f"{folder}/{name}")
 
 
 def read_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -28,6 +36,17 @@ def read_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return nodes.select("id", "label", "props"), edges.select("src", "dst", "label", "props")
 
 
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """Rows of a written Parquet table with `place`: their number, from 0, in the label's files as these follow by name."""
+    name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    placed = rows.select("*", name.alias("_file"), row.alias("_row"))
+    # a file's rows are counted, not numbered again: only one row a file is sorted
+    files = placed.groupBy("label", "_file").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("label").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("label", "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(starts, ["label", "_file"]).withColumn("place", F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, set for this context if it isn't yet.
 
@@ -59,9 +78,49 @@ def last_records(records: DataFrame) -> DataFrame:
     return last.select("id", "_r.*").select(records.columns)
 
 
+def record_table(spark: SparkSession, folder: str, buckets: int = 64, schema: str | T.StructType = schemas.STORED_RECORD) -> KeyedTable:
+    """The stored talk records of a folder, by id, as JSON lines."""
+    from .keyed import KeyedTable
+
+    return KeyedTable(spark, folder, ("id",), schema, buckets, "json")
+
+
 def write_records(records: DataFrame, folder: str, dry_run: bool = False) -> DataFrame:
-    """The records to keep, one per id, written as JSON lines unless dry_run."""
+    """The records to keep, one per id, added to the folder's records unless dry_run: each replaces that of its id, all others stay."""
     kept = last_records(records)
     if not dry_run:
-        kept.write.mode("overwrite").json(folder)
+        record_table(records.sparkSession, folder, schema=kept.schema).upsert(kept)
     return kept
+
+
+def rewrite_records(spark: SparkSession, folder: str, matches: DataFrame) -> DataFrame:
+    """Give the folder's records the found addresses (operators.enrich.enriched_records); the changed ones, which alone are merged in."""
+    from ..operators.enrich import enriched_records
+
+    table = record_table(spark, folder)
+    changed = kept(enriched_records(table.read(), matches))
+    table.upsert(changed)
+    return changed
+
+
+def graph_tables(spark: SparkSession, folder: str, buckets: int = 64) -> tuple[KeyedTable, KeyedTable]:
+    """The stored nodes and edges of a folder that are merged into: by id, and by src, label and dst."""
+    from .keyed import KeyedTable
+
+    return (
+        KeyedTable(spark, f"{folder}/nodes", ("id",), schemas.NODES, buckets),
+        KeyedTable(spark, f"{folder}/edges", ("src", "label", "dst"), schemas.EDGES, buckets),
+    )
+
+
+def merge_into_graph(nodes: DataFrame, edges: DataFrame, folder: str, replace: bool = False, buckets: int = 64) -> tuple[int, int]:
+    """Merge deduplicated nodes, then edges, into a stored graph (operators.graph.merge_nodes, merge_edges); the new versions.
+
+    Only the buckets that new rows fall into are rewritten, files in the order of ids
+    (nodes) and of ends (edges). Nodes come first, so edges never wait for their ends.
+    """
+    from ..operators.graph import merge_edges, merge_nodes
+
+    stored_nodes, stored_edges = graph_tables(nodes.sparkSession, folder, buckets)
+    at = stored_nodes.upsert(nodes, lambda old, new: merge_nodes(old, new, replace), ("id",))
+    return at, stored_edges.upsert(edges, merge_edges, ("label", "src", "dst"))

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from . import schemas
 from .functions import prose
+from .operators import enrich, graph
 from .operators.graph import label_counts
 from .operators.records import talk_records
 from .operators.talks import credits_of, line_kinds, talk_rows, with_talks
 from .plans import star, workloads
-from .registry import DEFAULT_DATE, LOTS, RUN_TS, SPELLED, TALK_ID, cap, query, slug
+from .registry import DEFAULT_DATE, EDGES, LOTS, NODES, RUN_TS, SPELLED, TALK_ID, TALKS, cap, query, slug
 from .sources import pages, records, tables
 
 # --- what a line is ---------------------------------------------------------------
@@ -392,3 +393,112 @@ def a9_dry_run(spark: SparkSession, d: str) -> DataFrame:
     events = records.response_events(star.announcements(spark, d, star.labels_layout()))
     told = talk_records(talk_rows(with_talks(events, title=None)), schemas.HEURISTIC_VERSION, RUN_TS, DEFAULT_DATE)
     return tables.write_records(told, _folder(spark), dry_run=True).select("id")
+
+
+# --- tables that are updated in part --------------------------------------------------
+
+
+def _run_records(spark: SparkSession, d: str, every: int, run_ts: str) -> DataFrame:
+    """Records of a run over the announcements whose number is divisible by `every`."""
+    events = records.response_events(star.announcements(spark, d).filter(F.col("node.id").cast("bigint") % every == 0))
+    return talk_records(talk_rows(with_talks(events, title=None)), schemas.HEURISTIC_VERSION, run_ts, DEFAULT_DATE)
+
+
+@query(f"""WITH {TALKS}, r AS (SELECT {TALK_ID} AS id, 'source/group-' || c_nationkey || '/' || l_orderkey || '.html' AS source_file, l_orderkey FROM talks),
+a AS (SELECT id, max(source_file) AS source_file, 'first' AS run FROM r WHERE l_orderkey % 2 = 0 GROUP BY id), b AS (SELECT id, max(source_file) AS source_file, 'again' AS run FROM r WHERE l_orderkey % 3 = 0 GROUP BY id)
+SELECT * FROM b UNION ALL SELECT * FROM a WHERE id NOT IN (SELECT id FROM b)""")
+def a5_two_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The stored records after two runs over overlapping events: the second replaces records of the same id and keeps the others. Writes when called."""
+    folder = _folder(spark)
+    tables.write_records(_run_records(spark, d, 2, "first"), folder)
+    tables.write_records(_run_records(spark, d, 3, "again"), folder)
+    return tables.record_table(spark, folder).read().select("id", "source_file", F.col("scraped_at").alias("run"))
+
+
+_MATCHED = """matched AS (SELECT 'project:' || p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN 'https://example.org/' || p_partkey END AS url FROM part)"""
+_PLACES = """places AS (SELECT printf('%012d-%04d-%09d-%09d', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, 'project:' || l_partkey AS project
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)"""
+
+
+def _stored_lines(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """A folder with the records of lines, and addresses of every third project."""
+    told = star.records(spark, d)
+    nodes = F.transform("nodes", lambda n: F.struct(n["id"].alias("id"), n["label"].alias("label"), n["props"].alias("props")))
+    edges = F.transform("edges", lambda e: F.struct(e["src"].alias("src"), e["dst"].alias("dst"), e["label"].alias("label"), F.lit("{}").alias("props")))
+    place = F.col("source_file")
+    rows = told.select(F.lit("1.1").alias("schema_version"), place.alias("id"), F.lit(RUN_TS).alias("scraped_at"), place, nodes.alias("nodes"), edges.alias("edges"))
+    folder, part = _folder(spark), star.table(spark, d, "part")
+    tables.write_records(rows, folder)
+    url = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("https://example.org/"), F.col("p_partkey").cast("string")))
+    return folder, part.select(star.nid("project", "p_partkey").alias("id"), F.col("p_name").alias("name"), url.alias("url"))
+
+
+@query(f"""WITH {_PLACES}, {_MATCHED} SELECT DISTINCT p.id, project, coalesce(url, '') AS github_url, CASE WHEN url IS NULL THEN 1 ELSE 2 END::BIGINT AS version
+FROM places p JOIN matched m ON p.project = m.id""")
+def a8_rewritten_records(spark: SparkSession, d: str) -> DataFrame:
+    """Stored records of lines after their projects' addresses were written into them; version 2 holds the changed ones. Writes when called."""
+    folder, matches = _stored_lines(spark, d)
+    changed = tables.rewrite_records(spark, folder, matches).select("id", F.lit(2).cast("long").alias("version"))
+    rows = tables.record_table(spark, folder).read().join(changed, "id", "left").select("id", F.explode("nodes").alias("n"), F.coalesce("version", F.lit(1)).alias("version"))
+    url = F.coalesce(F.get_json_object("n.props", "$.github_url"), F.lit(""))
+    return rows.filter("n.label = 'Project'").select("id", F.col("n.id").alias("project"), url.alias("github_url"), "version")
+
+
+@query(f"""WITH {_PLACES}, {_MATCHED}, u AS (SELECT DISTINCT p.id, project FROM places p JOIN matched m ON p.project = m.id WHERE url IS NOT NULL)
+SELECT count(*) AS n_nodes_updated, count(DISTINCT id) AS n_records_updated, (SELECT count(*) FROM u) AS nodes_told, (SELECT count(DISTINCT id) FROM u) AS records_told FROM u""")
+def a8_update_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What rewriting changed, beside what coverage() tells of the same records beforehand. Writes when called."""
+    folder, matches = _stored_lines(spark, d)
+    before = tables.record_table(spark, folder).read(1)
+    nodes = before.select(F.col("id").alias("source_file"), F.explode("nodes").alias("n")).select("source_file", "n.id", "n.label")
+    told = enrich.coverage(matches, nodes).select(F.col("n_nodes_updated").alias("nodes_told"), F.col("n_records_updated").alias("records_told"))
+    return graph.one_row(enrich.updated_counts(tables.rewrite_records(spark, folder, matches), matches), told)
+
+
+_STORED = """SELECT 'project:' || p_partkey AS id, 'Project' AS label, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS name,
+  CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand END AS brand, CASE WHEN {0} THEN p_type ELSE '' END AS kind FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0"""
+
+
+def _merged_store(spark: SparkSession, d: str, replace: bool = False) -> str:
+    """A folder with a graph of even parts, part of the edges, into which parts divisible by 3 and new edges were merged."""
+    part, keep, pid = star.table(spark, d, "part"), {"ignoreNullFields": "false"}, star.nid("project", "p_partkey").alias("id")
+    bag = lambda keep_nulls, **c: F.to_json(F.struct(*[v.alias(n) for n, v in c.items()]), keep if keep_nulls else {}).alias("props")
+    old = part.filter("p_partkey % 2 = 0").select(pid, F.lit("Project").alias("label"), bag(False, name=F.col("p_name"), brand=F.col("p_brand"), kind=F.col("p_type")))
+    new = part.filter("p_partkey % 3 = 0").select(pid, F.lit("Project").alias("label"), bag(True, name=F.upper("p_name"), brand=F.lit(None).cast("string")))
+    edges, folder = star.edges(spark, d).drop("props").filter("label IN ('PART_OF', 'WORKS_AT')"), _folder(spark)
+    tables.merge_into_graph(old, edges.withColumn("props", F.lit("old")), folder)
+    tables.merge_into_graph(new, edges.filter("label = 'WORKS_AT'").withColumn("props", F.lit("new")), folder, replace)
+    return folder
+
+
+def _stored_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    nodes = tables.graph_tables(spark, folder)[0].read()
+    return nodes.select("id", "label", *[F.coalesce(F.get_json_object("props", f"$.{p}"), F.lit("")).alias(p) for p in ("name", "brand", "kind")])
+
+
+@query(_STORED.format("p_partkey % 2 = 0"))
+def d4_stored_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """A stored graph's nodes after a merge into it: names override, a null removes the brand, kinds stay. Writes when called."""
+    return _stored_nodes(spark, _merged_store(spark, d))
+
+
+@query(_STORED.format("p_partkey % 3 <> 0"))
+def d4_stored_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """The same with bags replaced whole. Writes when called."""
+    return _stored_nodes(spark, _merged_store(spark, d, replace=True))
+
+
+@query(f"WITH {EDGES} SELECT src, dst, label, CASE WHEN label = 'WORKS_AT' THEN 'new' ELSE 'old' END AS props FROM edges WHERE label IN ('PART_OF', 'WORKS_AT')")
+def d4_stored_edges(spark: SparkSession, d: str) -> DataFrame:
+    """A stored graph's edges after a merge into it. Writes when called."""
+    return tables.graph_tables(spark, _merged_store(spark, d))[1].read()
+
+
+@query(f"""WITH {EDGES}, {NODES} SELECT label, id AS a, '' AS b, row_number() OVER (PARTITION BY label ORDER BY id) - 1 AS place FROM nodes
+UNION ALL SELECT label, src, dst, row_number() OVER (PARTITION BY label ORDER BY src, dst) - 1 FROM edges""")
+def f3_written_order(spark: SparkSession, d: str) -> DataFrame:
+    """Where each node and edge stands in the written graph's files. Writes when called."""
+    folder = _folder(spark)
+    tables.write_graph(star.nodes(spark, d), star.edges(spark, d).withColumn("props", F.lit("{}")), folder)
+    nodes, edges = (tables.in_file_order(spark.read.parquet(f"{folder}/{name}")) for name in ("nodes", "edges"))
+    return nodes.select("label", F.col("id").alias("a"), F.lit("").alias("b"), "place").unionByName(edges.select("label", F.col("src").alias("a"), F.col("dst").alias("b"), "place"))
