@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .samples import bounded_sample, id_remainder
+from .session import checkpointed
 from .textkernels import span_hashes, text_slices, word_spans
 
 #: Rows held out from learning: those of remainder HELD by HELD_DIVISOR.
 HELD_DIVISOR, HELD = 4, 2
 PASSAGE_WORDS = 100
-#: The fit's bound: labelled rows of a label. All passages of a sampled document are learned from.
+#: The fit's bounds: labelled documents of a label, and their passages. All passages of a document that is learned from are.
 SAMPLE_PER_LABEL = 1500
+SAMPLE_PASSAGES = 30_000
 ENCODED, GATES = 16, 8
 EPOCHS, STEP, DECAY = 250, 0.03, 1e-4
 PREDICT_AT = 0.7
@@ -149,10 +151,23 @@ def fit(figures: np.ndarray, bounds: np.ndarray, labels: np.ndarray, seed: int =
     return model
 
 
+def _within(sizes: list[tuple[int, int, int]]) -> list[int]:
+    """Keys of (label, key, passages) by rising key, as long as a label's passages stay within SAMPLE_PASSAGES; a document that alone has more is passed over."""
+    left: dict[int, int] = {}
+    chosen = []
+    for label, key, n in sorted(sizes, key=lambda s: s[1]):
+        if n <= left.setdefault(label, SAMPLE_PASSAGES):
+            left[label] -= n
+            chosen.append(key)
+    return chosen
+
+
 def fit_documents(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
     """The model of a bounded sample of the labelled rows that are not held out; None without both labels.
 
-    Only the figures of the sampled documents' passages reach the driver, FIGURES numbers a passage.
+    A sampled id's rows count once, with the text of the least hash. Figures are made
+    and kept in Spark; the driver gets the documents' numbers of passages, and the
+    figures (FIGURES numbers a passage) of those that SAMPLE_PASSAGES lets in.
     """
     told = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter("label IN (0, 1) AND doc_id IS NOT NULL")
     told = told.filter(id_remainder(F.col("doc_id"), HELD_DIVISOR) != HELD)
@@ -163,12 +178,17 @@ def fit_documents(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
             for first, end, buf, offsets in text_slices(batch.column("text"), rows=ROWS_AT_ONCE):
                 found, bounds = passage_figures(buf, offsets)
                 parts = [found[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("label").slice(first, end - first), pa.array(parts, pa.binary())], names=["label", "figures"]
-                )
-
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")  # at most 2 * SAMPLE_PER_LABEL ids
-    found = sorted((r["label"], bytes(r["figures"])) for r in rows.mapInArrow(figures, "label int, figures binary").collect())
+                own = [batch.column(c).slice(first, end - first) for c in ("label", "key")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(bounds)), pa.array(parts, pa.binary())], names=["label", "key", "passages", "figures"])
+
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most about 2 * SAMPLE_PER_LABEL ids
+    rows = rows.groupBy("label", "doc_id").agg(F.min_by("text", F.coalesce(F.xxhash64("text"), F.lit(0))).alias("text"))
+    made = checkpointed(rows.withColumn("key", F.xxhash64("label", "doc_id")).mapInArrow(figures, "label int, key long, passages long, figures binary"))
+    chosen = _within([tuple(r) for r in made.select("label", "key", "passages").collect()])
+    if not chosen:
+        return None
+    keys = docs.sparkSession.createDataFrame([(k,) for k in chosen], "key long")
+    found = sorted((r["label"], bytes(r["figures"])) for r in made.join(F.broadcast(keys), "key", "left_semi").select("label", "figures").collect())
     y = np.array([k for k, _ in found], dtype=np.float64)
     if len(set(y.tolist())) < 2:
         return None

@@ -114,3 +114,16 @@ def test_odd_rows(spark):
     model = Q.fit_documents(docs, told)
     assert Q.score_documents(docs, model).count() == 4
     assert Q.score_documents(docs.limit(0), model).count() == 0
+
+
+def test_passages_of_the_fit_are_bounded(spark, monkeypatch):
+    """Whole documents by their keys, up to the bound; one beyond it alone is passed over, and repeated ids count once."""
+    monkeypatch.setattr(Q, "SAMPLE_PASSAGES", 10)
+    assert Q._within([(0, 5, 4), (0, 1, 4), (0, 3, 11), (0, 9, 3), (0, 8, 2), (1, 2, 10), (1, 4, 1)]) == [1, 2, 5, 8]
+    seen = []
+    fit = Q.fit
+    monkeypatch.setattr(Q, "fit", lambda figures, bounds, labels: seen.append((len(figures), len(labels))) or fit(figures, bounds, labels))
+    docs = spark.createDataFrame([(i % 30, "word " * (150 if i % 2 else 90) + str(i)) for i in range(3000)] + [(77, "x " * 5000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(77, 1)], "doc_id long, quality int")
+    assert Q.fit_documents(docs, labels) is not None
+    assert seen[0][0] <= 20 and seen[0][1] <= 15
