@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from .joins import join_hot
 
+#: Speakers of a talk that are paired as one group.
+BLOCK_SPEAKERS = 1000
+
 
 def typed(edges: DataFrame, label: str, src: str, dst: str) -> DataFrame:
     """The edges of a type, with names for their ends."""
@@ -55,11 +58,28 @@ def employer_projects(edges: DataFrame, speakers: DataFrame) -> DataFrame:
     return talks.join(typed(edges, "MENTIONS", "talk", "project"), "talk").select("speaker", "project").distinct()
 
 
+def presenter_pairs(edges: DataFrame) -> DataFrame:
+    """(talk, a, b) of every two speakers a < b of a talk, each once.
+
+    The speakers of a talk are dealt to blocks of about BLOCK_SPEAKERS, and every two
+    blocks meet on their own, so the pairs of a talk of any size are made in many
+    tasks, each block of two at most BLOCK_SPEAKERS squared.
+    """
+    members = typed(edges, "PRESENTED_BY", "talk", "speaker").distinct()
+    # one talk in BLOCK_SPEAKERS edges at most
+    large = members.groupBy("talk").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK_SPEAKERS)
+    large = large.select("talk", F.ceil(F.col("n") / BLOCK_SPEAKERS).cast("int").alias("blocks"))
+    dealt = join_hot(members, large, ["talk"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("speaker"), "blocks").cast("int"))
+    first = dealt.select("talk", F.col("speaker").alias("a"), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
+    second = dealt.select("talk", F.col("speaker").alias("b"), F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
+    met = first.join(second, ["talk", "i", "j"]).filter((F.col("i") < F.col("j")) & (F.col("a") != F.col("b")) | (F.col("a") < F.col("b")))
+    return met.select("talk", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def co_presenters(edges: DataFrame) -> DataFrame:
-    """Pairs (a < b) of speakers who share a talk, with the number of talks. The join stays inside single talks, whose speakers are few."""
-    first = typed(edges, "PRESENTED_BY", "talk", "a").distinct()
-    second = typed(edges, "PRESENTED_BY", "talk", "b").distinct()
-    return first.join(second, "talk").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n_talks"))
+    """Pairs (a < b) of speakers who share a talk, with the number of talks."""
+    return presenter_pairs(edges).groupBy("a", "b").agg(F.count("*").alias("n_talks"))
 
 
 def endpoint_kinds(edges: DataFrame, nodes: DataFrame) -> DataFrame:
