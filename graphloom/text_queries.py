@@ -19,7 +19,7 @@ from .operators.records import talk_records
 from .operators.talks import credits_of, line_kinds, talk_rows, with_talks
 from .plans import star, workloads
 from .registry import DEFAULT_DATE, EDGES, LOTS, NODES, RUN_TS, SPELLED, TALK_ID, TALKS, cap, query, slug
-from .sources import pages, records, tables
+from .sources import adjacency, pages, records, tables
 
 # --- what a line is ---------------------------------------------------------------
 
@@ -502,3 +502,29 @@ def f3_written_order(spark: SparkSession, d: str) -> DataFrame:
     tables.write_graph(star.nodes(spark, d), star.edges(spark, d).withColumn("props", F.lit("{}")), folder)
     nodes, edges = (tables.in_file_order(spark.read.parquet(f"{folder}/{name}")) for name in ("nodes", "edges"))
     return nodes.select("label", F.col("id").alias("a"), F.lit("").alias("b"), "place").unionByName(edges.select("label", F.col("src").alias("a"), F.col("dst").alias("b"), "place"))
+
+
+def _adjacency(spark: SparkSession, d: str) -> adjacency.Adjacency:
+    name = uuid.uuid4().hex
+    return adjacency.write_adjacency(star.edges(spark, d), f"{tables.shared_folder(spark)}/edges-{name}", f"edges_{name}", 64)
+
+
+def _seed(spark: SparkSession, *ids: str) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, ids))).alias("id"))
+
+
+@query(f"""WITH {EDGES} SELECT DISTINCT a.dst AS speaker, c.dst AS "group" FROM edges a JOIN edges b ON a.src = b.src AND b.label = 'PRESENTED_AT' JOIN edges c ON b.dst = c.src AND c.label = 'PART_OF'
+WHERE a.label = 'PRESENTED_BY' AND a.dst IN ('speaker:3', 'speaker:7')""")
+def c7_stored_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The groups of two speakers, three hops over edges stored for hops. Writes when called."""
+    steps = (("PRESENTED_BY", adjacency.IN), ("PRESENTED_AT", adjacency.OUT), ("PART_OF", adjacency.OUT))
+    found = _adjacency(spark, d).path(_seed(spark, "speaker:3", "speaker:7"), *steps)
+    return found.select(F.col("seed").alias("speaker"), F.col("id").alias("group"))
+
+
+@query(f"""WITH RECURSIVE {EDGES}, both_ways AS (SELECT src AS a, dst AS b FROM edges WHERE label IN ('WORKS_AT', 'PRESENTED_BY') UNION SELECT dst, src FROM edges WHERE label IN ('WORKS_AT', 'PRESENTED_BY')),
+reached AS (SELECT 'company:3' AS id, 0 AS distance UNION SELECT b, distance + 1 FROM reached JOIN both_ways ON id = a WHERE distance < 3)
+SELECT id, min(distance) AS distance FROM reached GROUP BY id""")
+def c9_stored_reach(spark: SparkSession, d: str) -> DataFrame:
+    """All nodes within three hops of a company, over employers and talks in both directions, by a loop over frontiers. Writes when called."""
+    return _adjacency(spark, d).within(_seed(spark, "company:3"), ("WORKS_AT", "PRESENTED_BY"), 3)
