@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import prose
+from ..functions import lines, prose
 from ..functions.talktext import extract
 
 def _struct(**kinds: T.DataType) -> T.StructType:
@@ -79,27 +79,9 @@ def recover_descriptions(events: DataFrame, parsed: DataFrame) -> DataFrame:
 
 # --- what single lines are ------------------------------------------------------
 
-_KINDS = {
-    "title": prose.is_title,
-    "generic": prose.is_generic,
-    "person": prose.is_person,
-    "possible_name": prose.could_be_name,
-    "job_title": prose.is_job_title,
-    "speaker_line": prose.is_speaker_line,
-    "speaker_field": prose.is_speaker_field,
-    "title_remainder": prose.is_title_remainder,
-}
-
-
-@F.arrow_udf(_struct(**{k: T.BooleanType() for k in _KINDS}))
-def _line_kinds(line: pa.Array) -> pa.Array:
-    lines = line.fill_null("").to_pylist()
-    return pa.StructArray.from_arrays([pa.array([bool(is_kind(x)) for x in lines], pa.bool_()) for is_kind in _KINDS.values()], names=list(_KINDS))
-
-
 def line_kinds(rows: DataFrame, line: str) -> DataFrame:
     """Rows with a struct `kinds` of booleans: what a line of an announcement can be. A null line counts as empty."""
-    return rows.withColumn("kinds", _line_kinds(F.col(line)))
+    return rows.withColumn("kinds", lines.line_kinds(F.col(line)))
 
 
 _ARROW_PAIR = pa.struct([("name", pa.string()), ("company", pa.string())])
@@ -107,13 +89,13 @@ _ARROW_PAIR = pa.struct([("name", pa.string()), ("company", pa.string())])
 
 @F.arrow_udf(_struct(speakers=_SPEAKERS, person=_struct(name=_TEXT, company=_TEXT), company_of=_TEXT, company=_TEXT))
 def _credits(line: pa.Array) -> pa.Array:
-    lines = line.fill_null("").to_pylist()
+    told = line.fill_null("").to_pylist()
     return pa.StructArray.from_arrays(
         [
-            pa.array([[s._asdict() for s in prose.speakers_of(x)] for x in lines], pa.list_(_PERSON)),
-            pa.array([prose.split_person(x)._asdict() for x in lines], _ARROW_PAIR),
-            pa.array([prose.company_of(x) for x in lines], pa.string()),
-            pa.array([prose.clean_company(x) for x in lines], pa.string()),
+            pa.array([[s._asdict() for s in prose.speakers_of(x)] for x in told], pa.list_(_PERSON)),
+            pa.array([prose.split_person(x)._asdict() for x in told], _ARROW_PAIR),
+            pa.array([prose.company_of(x) for x in told], pa.string()),
+            pa.array([prose.clean_company(x) for x in told], pa.string()),
         ],
         names=["speakers", "person", "company_of", "company"],
     )
