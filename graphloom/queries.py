@@ -7,7 +7,7 @@ groups and companies, suppliers speakers, parts projects.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
@@ -59,6 +59,18 @@ def a2_response_events(spark: SparkSession, d: str) -> DataFrame:
     return people.groupBy("id").agg(F.count("*").alias("n_nodes"), F.count_distinct("person").alias("n_people"))
 
 
+@query("SELECT count(*) AS n_nodes, count(*) FILTER (o_orderkey % 7 = 0) AS n_dropped, count(*) FILTER (o_orderkey % 7 <> 0) AS n_events FROM orders")
+def a2_dropped_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """How many event nodes responses have and how many are dropped (every seventh has no title), counted while their events are. Runs when called."""
+    key = F.col("o_orderkey").cast("string")
+    node = F.struct(key.alias("id"), F.when(F.col("o_orderkey") % 7 != 0, key).alias("title"), key.alias("eventUrl"))
+    page = F.struct(F.struct(F.struct(F.struct(F.array(F.struct(node.alias("node"))).alias("edges")).alias("events")).alias("groupByUrlname")).alias("data"))
+    texts = star.table(spark, d, "orders").select(F.lit("g").alias("group_slug"), F.to_json(page).alias("value"))
+    seen = Observation()
+    n = records.event_page_rows(texts, seen).count()
+    return spark.createDataFrame([(seen.get["n_nodes"], seen.get["n_dropped"], n)], "n_nodes long, n_dropped long, n_events long")
+
+
 @query(f"""WITH {TALKS}, r AS (SELECT {TALK_ID} AS tid, * FROM talks), k AS (SELECT tid, max(l_orderkey::VARCHAR || '@' || c_nationkey) AS one FROM r GROUP BY 1)
 SELECT 'talk:' || tid AS id, tid AS own_id FROM k""")
 def a3_record_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -666,6 +678,12 @@ def c1_unknown_answers(spark: SparkSession, d: str) -> DataFrame:
     return batches.matched_answers(batches.decoded_answers(answers), events)[1]
 
 
+@query(f"""WITH {_GOOD} SELECT (SELECT count(DISTINCT batch_id) FROM good) AS n_batches, (SELECT count(*) FROM bad) AS n_failed_batches, count(DISTINCT l_orderkey) AS n_events, count(*) AS n_talks FROM talks""")
+def d8_extraction_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of a run over model answers, failed batches among them, counted while the answers are read."""
+    return batches.extraction_totals(*_answers(spark, d))
+
+
 @query(f"""WITH {_GOOD} SELECT DISTINCT l_orderkey // 10 AS batch_id, l_orderkey::VARCHAR AS id, 'Evening ' || l_orderkey AS title, count(*) AS n_talks FROM talks GROUP BY 1, 2, 3""")
 def c1_answered_events(spark: SparkSession, d: str) -> DataFrame:
     """Answers with the last of their events' rows."""

@@ -31,18 +31,30 @@ EVENT_COLUMNS = (
 _FILE_ID = "_file_id"
 
 
+def _page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The .html files in folder/<group>/ as bytes; files that cannot be read, or went meanwhile, have no row. Many small files make one task."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html")
+    return files.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(f"{folder}/*/")
+
+
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """html, group_slug, event_id and path of the .html files in folder/<group>/."""
-    pages = spark.read.option("pathGlobFilter", "*.html").text(f"{folder}/*/", wholetext=True)
-    path = F.col("_metadata.file_path")
-    return pages.select(
-        F.col("value").alias("html"),
+    """html, group_slug, event_id and path of the .html files in folder/<group>/ that can be read and are UTF-8; rejected_pages() tells the others. Empty files have no row in either."""
+    path, html = F.col("path"), F.col("content").cast("string")
+    return _page_files(spark, folder).filter(F.is_valid_utf8(html)).select(
+        html.alias("html"),
         F.regexp_extract(path, r"([^/]+)/[^/]+\z", 1).alias("group_slug"),
         F.regexp_extract(path, r"([^/]+)\.html\z", 1).alias("event_id"),
         path.alias("path"),
     )
 
 
+def rejected_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """path and reason of the .html files that read_pages() leaves out: `unreadable` or `not UTF-8`. Files are listed without their content, and read once."""
+    read = _page_files(spark, folder).select("path", F.is_valid_utf8(F.col("content").cast("string")).alias("_valid"))
+    told = _page_files(spark, folder).select("path").join(read, "path", "left")
+    return told.filter("_valid IS NOT TRUE").select("path", F.when(F.col("_valid").isNull(), "unreadable").otherwise("not UTF-8").alias("reason"))
+
+
 def with_parts(pages: DataFrame) -> DataFrame:
     """Pages with state, json_ld, h1 and page_description in place of html."""
     kept = [c for c in pages.columns if c != "html" and c not in _PARTS.names]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -12,13 +12,19 @@ from .pages import EVENT_COLUMNS
 _BROKEN = "_corrupt_record"
 
 
-def event_page_rows(pages: DataFrame) -> DataFrame:
-    """Event nodes of JSON response pages (`value`, `group_slug`): pages with errors are left out, and nodes without id, title or url."""
+def event_page_rows(pages: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Event nodes of JSON response pages (`value`, `group_slug`): pages with errors are left out, and nodes without id, title or url.
+
+    seen gets n_nodes and n_dropped, counted by the run that reads the rows.
+    """
     told = pages.withColumn("_page", F.from_json("value", schemas.EVENT_PAGE))
     good = told.filter("_page.data IS NOT NULL AND _page.errors IS NULL")
     nodes = good.select("group_slug", F.explode("_page.data.groupByUrlname.events.edges").alias("_edge"))
     node = nodes.select("group_slug", F.from_json("_edge.node", schemas.EVENT_NODE).alias("node"))
-    return node.filter("node.id IS NOT NULL AND node.title IS NOT NULL AND node.eventUrl IS NOT NULL")
+    whole = F.expr("node.id IS NOT NULL AND node.title IS NOT NULL AND node.eventUrl IS NOT NULL")
+    if seen is not None:
+        node = node.observe(seen, F.count("*").alias("n_nodes"), F.count_if(~whole).alias("n_dropped"))
+    return node.filter(whole)
 
 
 def response_events(nodes: DataFrame) -> DataFrame:
@@ -51,15 +57,17 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     return parse_records(files.select("value", F.col("_metadata.file_path").alias("path")))
 
 
-def parse_records(texts: DataFrame) -> DataFrame:
+def parse_records(texts: DataFrame, seen: Observation | None = None) -> DataFrame:
     """Talk records (columns of schemas.RECORD, `path`, `broken`) of JSON texts (`value`, `path`), current or older format.
 
-    Texts that are no JSON object, or have no id, are broken.
+    Texts that are no JSON object, or have no id, are broken. seen gets n_files and
+    n_broken, counted by the run that reads the records.
     """
     told = texts.withColumn("_record", F.from_json("value", f"{schemas.RECORD}, {_BROKEN} string", {"columnNameOfCorruptRecord": _BROKEN}))
     broken = F.col("_record").isNull() | F.col(f"_record.{_BROKEN}").isNotNull() | F.col("_record.id").isNull()
     names = ("schema_version", "id", "scraped_at", "source_file", "nodes", "edges")
-    return told.select("path", broken.alias("broken"), *[F.when(~broken, F.col(f"_record.{n}")).alias(n) for n in names])
+    parsed = told.select("path", broken.alias("broken"), *[F.when(~broken, F.col(f"_record.{n}")).alias(n) for n in names])
+    return parsed if seen is None else parsed.observe(seen, F.count("*").alias("n_files"), F.count_if("broken").alias("n_broken"))
 
 
 def _bag(properties, drop_id: bool):

@@ -177,3 +177,33 @@ def test_typed_tables_and_labels(spark):
     for bad in ("1x", "a-b", "", "é", "a\n", None):
         with pytest.raises(Exception, match="unsafe label"):
             graph.checked_labels(spark.createDataFrame([("i", bad, "{}")], "id string, label string, props string")).collect()
+
+
+def test_pages_that_cannot_be_read_are_rejected(spark, tmp_path):
+    (tmp_path / "g").mkdir()
+    for name, content in (("1", b"<h1>One</h1>"), ("2", "<h1>Zwölf</h1>".encode()), ("3", b"<h1>\xff\xfe</h1>"), ("4", b""), ("5", b"<h1>lost</h1>")):
+        (tmp_path / "g" / f"{name}.html").write_bytes(content)
+    # a checksum that the file doesn't have: reading it fails
+    (tmp_path / "g" / ".5.html.crc").write_bytes(b"crc\0" + (512).to_bytes(4, "big") + b"\0\0\0\0")
+    got = {r.event_id: (r.group_slug, r.html) for r in pages.read_pages(spark, str(tmp_path)).collect()}
+    assert got == {"1": ("g", "<h1>One</h1>"), "2": ("g", "<h1>Zwölf</h1>")}  # Spark skips the empty file
+    rejects = {r.path.rsplit("/", 1)[1]: r.reason for r in pages.rejected_pages(spark, str(tmp_path)).collect()}
+    assert rejects == {"3.html": "not UTF-8", "5.html": "unreadable"}
+
+
+def test_response_pages_of_a_folder(spark, tmp_path):
+    """read_event_pages(): groups by folder; dropped nodes and broken records are counted on the way."""
+    (tmp_path / "g1").mkdir()
+    edge = lambda **n: {"node": n}
+    whole = edge(id="1", title="One", eventUrl="u", dateTime="2020-01-01T18:30:00-08:00", description="d")
+    told = {"data": {"groupByUrlname": {"events": {"edges": [whole, edge(id="2", eventUrl="u"), edge(title="T", eventUrl="u")]}}}}
+    (tmp_path / "g1" / "0.json").write_text(json.dumps(told))
+    (tmp_path / "g1" / "1.json").write_text(json.dumps({"errors": [{"message": "no"}]}))
+    found = records.response_events(records.read_event_pages(spark, str(tmp_path))).collect()
+    assert [(r.id, r.group_slug, str(r.date)) for r in found] == [("1", "g1", "2020-01-02")]
+    from pyspark.sql import Observation
+
+    seen, files = Observation(), Observation()
+    texts = spark.read.text(str(tmp_path / "g1"), wholetext=True).selectExpr("value", "'g1' AS group_slug", "'p' AS path")
+    assert records.event_page_rows(texts, seen).count() == 1 and seen.get == {"n_nodes": 3, "n_dropped": 2}
+    assert records.parse_records(texts, files).filter("NOT broken").count() == 0 and files.get == {"n_files": 2, "n_broken": 2}
