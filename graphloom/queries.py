@@ -441,6 +441,21 @@ def d12_projects_to_enrich(spark: SparkSession, d: str) -> DataFrame:
     return _projects(spark, d)
 
 
+@query("""WITH p AS (SELECT 'project:' || p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS name, p_partkey % 4 = 0 AS addressed FROM part
+  WHERE p_partkey % 7 <> 0 AND (p_partkey % 3 = 0 OR p_partkey % 5 <> 0))
+SELECT id, name, false AS again FROM p WHERE NOT addressed UNION ALL SELECT id, name, true FROM p""")
+def d12_named_projects(spark: SparkSession, d: str) -> DataFrame:
+    """Projects to seek, with and without those that have an address. Parts stand in file b; every third also, first, in file a under another name; some have no name, no id, or are no projects."""
+    part, k = star.table(spark, d, "part"), F.col("p_partkey")
+    id_ = F.when(k % 7 == 0, "").otherwise(star.nid("project", "p_partkey"))
+    bag = lambda name: F.to_json(F.struct(name.alias("name"), F.when(k % 4 == 0, "https://example.org/x").alias("github_url")))
+    row = lambda rows, file, label, name: rows.select(F.lit(file).alias("source_file"), F.lit(0).alias("pos"), id_.alias("id"), F.lit(label).alias("label"), bag(name).alias("props"))
+    rows = row(part, "b", "Project", F.when(k % 5 == 0, "").otherwise(F.col("p_name"))).unionByName(row(part.filter("p_partkey % 3 = 0"), "a", "Project", F.upper("p_name")))
+    nodes = rows.unionByName(row(part, "0", "Company", F.lit("no project")))
+    found = [enrich.projects_to_enrich(nodes, again).withColumn("again", F.lit(again)) for again in (False, True)]
+    return found[0].unionByName(found[1])
+
+
 @query("SELECT 'talk:' || l_orderkey AS talk, CAST(0 AS BIGINT) AS n FROM lineitem WHERE l_orderkey % 10 = 3 GROUP BY 1")
 def d13_one_venue(spark: SparkSession, d: str) -> DataFrame:
     """Talks without exactly one event, when every tenth order's edge to its event is missing."""
@@ -596,6 +611,13 @@ def h16_abstracts(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).select("doc_id", (found == X.trim_ws(F.col("text"))).alias("whole"))
 
 
+@query(f"""WITH b AS (SELECT doc_id, {trimmed('text')} AS body FROM documents), c AS (SELECT *, octet_length(encode(body)) AS size FROM b)
+SELECT doc_id, CASE WHEN size >= 30 THEN md5({trimmed("CASE WHEN size <= 1000 THEN body ELSE substr(body, 1, list_max(list_filter(range(1, 1001), lambda k: octet_length(encode(substr(body, 1, k::BIGINT))) <= 1000))) END")}) END AS abstract_md5 FROM c""")
+def h16_cut_abstracts(spark: SparkSession, d: str) -> DataFrame:
+    """The abstracts themselves: as many whole characters as 1000 bytes hold."""
+    return _docs(spark, d).select("doc_id", F.md5(X.single_talk_abstract(F.col("text"))).alias("abstract_md5"))
+
+
 @query("SELECT doc_id, 'source/' || source || '/' || doc_id || '.html' AS path, doc_id::VARCHAR AS stem, 'https://example.org/g/' || source AS url, CASE source WHEN 'src1' THEN 'One' ELSE source END AS name FROM documents")
 def h18_paths(spark: SparkSession, d: str) -> DataFrame:
     """Paths, their stems, group addresses and group names."""
