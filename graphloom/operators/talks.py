@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import lines, prose
+from ..functions import credits, lines
 from ..functions.talktext import extract
 
 def _struct(**kinds: T.DataType) -> T.StructType:
@@ -84,26 +84,9 @@ def line_kinds(rows: DataFrame, line: str) -> DataFrame:
     return rows.withColumn("kinds", lines.line_kinds(F.col(line)))
 
 
-_ARROW_PAIR = pa.struct([("name", pa.string()), ("company", pa.string())])
-
-
-@F.arrow_udf(_struct(speakers=_SPEAKERS, person=_struct(name=_TEXT, company=_TEXT), company_of=_TEXT, company=_TEXT))
-def _credits(line: pa.Array) -> pa.Array:
-    told = line.fill_null("").to_pylist()
-    return pa.StructArray.from_arrays(
-        [
-            pa.array([[s._asdict() for s in prose.speakers_of(x)] for x in told], pa.list_(_PERSON)),
-            pa.array([prose.split_person(x)._asdict() for x in told], _ARROW_PAIR),
-            pa.array([prose.company_of(x) for x in told], pa.string()),
-            pa.array([prose.clean_company(x) for x in told], pa.string()),
-        ],
-        names=["speakers", "person", "company_of", "company"],
-    )
-
-
 def credits_of(rows: DataFrame, line: str) -> DataFrame:
     """Rows with a struct `credit` of a credit line: all its speakers; read as one person; read as the field after a name; read as a company. A null line counts as empty."""
-    return rows.withColumn("credit", _credits(F.col(line)))
+    return rows.withColumn("credit", credits.credit(F.col(line)))
 
 
 # --- batches --------------------------------------------------------------------

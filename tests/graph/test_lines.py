@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphloom import queries as Q
-from graphloom.functions import lines, prose
+from graphloom.functions import credits, lines, prose
 
 PLAIN = {
     "title": prose.is_title, "generic": prose.is_generic, "person": prose.is_person, "possible_name": prose.could_be_name, "job_title": prose.is_job_title,
@@ -32,7 +32,24 @@ def test_columns_equal_the_functions(spark):
     assert none.asDict() == {kind: bool(plain("")) for kind, plain in PLAIN.items()}
 
 
-@pytest.mark.parametrize("name", [n for n in Q.QUERIES if n.startswith(("b16", "b17", "b18", "b19", "b20", "b21", "b22"))])
+CREDITS = [
+    "Ann", "Bob", "Émile", "Bobson", "Łukasz", "Engineer", "Director", "CTO", "CEO", "Founder", " at ", " and ", " & ", "; ", ",", ",", "@", " @ ", " (", ")", "(", "*", "**", ".", "Data", "Acme", "acmecorp", "Labs",
+    "Software", "Senior", "VP,", "Ph.D.", "of", "with", " for ", "Speaker:", "By:", "Speaker: ", "http://x", ":", " ", "  ", "\t", "Machine", "Learning", "x", "", "Lead", "partner", "One Two Three Four Five Six",
+]
+
+
+def test_credit_columns_equal_the_functions(spark):
+    rng = random.Random(3)
+    texts = {"", ",", "*", "(", "@", " at ", "Ann Bobson at ", "Speaker:Speaker:Ann Bobson"}
+    while len(texts) < 4000:
+        texts.add(rng.choice(["", " "]).join(rng.choice(CREDITS) for _ in range(rng.randint(1, 8))))
+    rows = spark.createDataFrame([(t,) for t in sorted(texts)], "line string").select("line", credits.credit(F.col("line")).alias("c"))
+    for r in rows.collect():
+        told = ([(s.name, s.company) for s in r.c.speakers], tuple(r.c.person), r.c.company_of, r.c.company)
+        assert told == ([tuple(s) for s in prose.speakers_of(r.line)], tuple(prose.split_person(r.line)), prose.company_of(r.line), prose.clean_company(r.line)), r.line
+
+
+@pytest.mark.parametrize("name", [n for n in Q.QUERIES if n.startswith(("h12", "h13", "h14", "h15", "b16", "b17", "b18", "b19", "b20", "b21", "b22"))])
 def test_line_queries_have_no_python(spark, name):
     plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
