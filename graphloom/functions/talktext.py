@@ -259,7 +259,7 @@ def bullet_agenda(lines: Lines) -> Iterator[Talk]:
 
 
 def time_slots(lines: Lines) -> Iterator[Talk]:
-    """"6:35 - Title - Name" or "6:35 - Name, Title"."""
+    """A clock time, then "Title - Name" or "Name, Title", parted by dashes."""
     for line in lines.all:
         found = _SLOT.match(line)
         if not found:

@@ -578,3 +578,18 @@ SELECT id, min(distance) AS distance FROM reached GROUP BY id""")
 def c9_stored_reach(spark: SparkSession, d: str) -> DataFrame:
     """All nodes within three hops of a company, over employers and talks in both directions, by a loop over frontiers. Writes when called."""
     return _adjacency(spark, d).within(_seed(spark, "company:3"), ("WORKS_AT", "PRESENTED_BY"), 3)
+
+
+@query(f"""WITH {TALKS}, r AS (SELECT {TALK_ID} AS tid, 'source/group-' || c_nationkey || '/' || l_orderkey || '.html' AS source_file, l_orderkey % 2 AS half, {slug("person")} AS who FROM talks),
+kept AS (SELECT half, tid, max(source_file) AS source_file FROM r GROUP BY half, tid),
+told AS (SELECT tid, regexp_extract(source_file, '([^/]+)\\.html', 1) AS event_id, regexp_extract(source_file, 'group-([0-9]+)', 1) AS g FROM kept)
+SELECT 'talk:' || tid AS src, 'event:group-' || g || '-' || event_id AS dst, 'PRESENTED_AT' AS label FROM told
+UNION SELECT 'event:group-' || g || '-' || event_id, 'group:group-' || g, 'PART_OF' FROM told
+UNION SELECT 'talk:' || tid, 'speaker:' || who, 'PRESENTED_BY' FROM r""")
+def w_incremental_load(spark: SparkSession, d: str) -> DataFrame:
+    """A stored graph's edges after two runs, over even and odd announcements, were loaded into it one after the other. Writes when called."""
+    folder, node = _folder(spark), star.announcements(spark, d)
+    for half in (0, 1):
+        events = records.response_events(node.filter(F.col("node.id").cast("bigint") % 2 == half))
+        workloads.load_records(workloads.events_to_records(events, RUN_TS, DEFAULT_DATE), folder)
+    return tables.graph_tables(spark, folder)[1].read().select("src", "dst", "label")
