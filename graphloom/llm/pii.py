@@ -2,6 +2,7 @@
 
 Positions are code points, ends exclusive. Matching is per text and needs no
 shuffle; texts without the marks of a kind ("@", a digit, "+") skip its pattern.
+IBANs are found with spaces or none between their groups, not with hyphens.
 """
 
 from __future__ import annotations
