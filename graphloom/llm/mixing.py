@@ -33,16 +33,17 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
 
 
-def source_table(sized: DataFrame) -> DataFrame:
+def source_table(sized: DataFrame, rows: int | None = None) -> DataFrame:
     """One row per source: source_size and weight; weights follow the sources' code points, null last.
 
     The rank is a row number over distinct sources only, cut into ranges, so it
-    does not meet in one task.
+    does not meet in one task. rows: a bound of how many sources there are, if known.
     """
-    sizes = checkpointed(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    sizes = checkpointed(sized.groupBy("source").agg(F.sum("size").alias("source_size")), rows)
     ranged = checkpointed(
         sizes.repartitionByRange(F.asc_nulls_last("source"))
-        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_part", F.spark_partition_id()),
+        sizes.count(),
     )
     parts = ranged.groupBy("_part").count()
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,8 +109,9 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         .filter("_slots > 0")
     )
     told = told.withColumn("_cell", (F.col("position") / 65_536).cast("int"))
+    n_sources = sources.count()
     told = running_start(told.withColumn("_all", F.lit(0)), ["_all"], ["position"], F.col("_slots"), "_begin", "_cell")
-    told = checkpointed(told)
+    told = checkpointed(told, n_sources)
     n = told.agg(F.sum("_slots")).first()[0] or 1
     back = pow(_golden_step(n), -1, n) if n > 1 else 0
     runs = told.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1, F.lit(SLOT_RUN).cast("long"))).alias("_from"))
@@ -153,13 +155,15 @@ def mix_plan(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int = CELLS
     sized = docs.select("doc_id", "source", words(F.col("text")).alias("size"))
     sized = sized.withColumn("_h", hash60(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     sized = checkpointed(sized)
-    sources = checkpointed(with_targets(source_table(sized)))
-    slots = checkpointed(schedule(sources, block_words))
+    n, n_words = sized.agg(F.count("*"), F.sum("size")).first()
+    sources = checkpointed(with_targets(source_table(sized, n)), n)
+    # each use of a source, MOST_TIMES and a part of one at most, can end in a slot that isn't full
+    slots = checkpointed(schedule(sources, block_words), (n_words or 0) // block_words + (MOST_TIMES + 1) * sources.count())
     placed = running_start(
         sized.withColumn("_cell", cell_of(F.col("_h"), cells)), ["source"], ["_h", "size"], F.col("size"), "start", "_cell"
     ).drop("_cell", "_h")
     told = sources.select(F.col("source").alias("_source"), "source_size", "target", "position")
-    documents = checkpointed(placed.join(told, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"))
+    documents = checkpointed(placed.join(told, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"), n)
     first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
     pieces = (
         documents.filter("size > 0")
@@ -218,12 +222,13 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, cells: int
 def _mixed_documents(docs: DataFrame, block_words: int, cells: int) -> DataFrame:
     documents, pieces, slots = mix_plan(docs, block_words, cells)
     uses = _taken_pieces(pieces, slots).groupBy("doc_id", "position", "start", "size", "use").agg(F.sum("used").alias("used"), F.min("slot").alias("slot"))
-    uses = checkpointed(uses.filter("2 * used >= size").select("doc_id", "position", "start", "size", "slot"))
+    n = documents.count()
+    uses = checkpointed(uses.filter("2 * used >= size").select("doc_id", "position", "start", "size", "slot"), n)
     repeated = documents.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id")
     place = F.struct("slot", "start")
     once = uses.join(not_broadcast(repeated), "doc_id", "left_anti").filter("doc_id IS NOT NULL")
     once = once.groupBy("doc_id").agg(F.collect_list(place).alias("_places"))  # an id that is not repeated has MOST_TIMES uses at most
-    told = checkpointed(once.unionByName(repeated.withColumn("_places", F.lit(None).cast(once.schema["_places"].dataType))))
+    told = checkpointed(once.unionByName(repeated.withColumn("_places", F.lit(None).cast(once.schema["_places"].dataType))), n)
     rows = docs.join(not_broadcast(told), "doc_id")
     plain = rows.filter("_places IS NOT NULL").select(*docs.columns, F.inline("_places").alias("_slot", "_start"))
     # rows that share an id, or have none, meet their uses by source, size and number among their equals

@@ -28,13 +28,25 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
+#: Rows of ids and numbers that one checkpoint file should hold at least.
+FILE_ROWS = 1 << 16
+
+
+def checkpointed(frame: DataFrame, rows: int | None = None) -> DataFrame:
     """The frame, computed once and kept in the checkpoint folder, so that it outlives lost executors.
 
+    rows is about how many rows of ids and numbers the frame has, or a bound of it,
+    where that is known: they go to as many files as hold FILE_ROWS each. Otherwise each
+    partition, also an empty one, makes a file and its checksum, for both of which a
+    local file system without native code starts processes from the executor. The
+    estimate moves no row out or in, and files grow in number with it.
+
     With spark.cleaner.referenceTracking.cleanCheckpoints its files go when the
     driver no longer refers to it.
     """
     checkpoint_folder(frame.sparkSession)
+    if rows is not None:
+        frame = frame.coalesce(max(1, -(-rows // FILE_ROWS)))
     return frame.checkpoint(eager=True)
 
 

@@ -278,10 +278,14 @@ def _star(members: DataFrame) -> DataFrame:
     return join_hot(members, least, ["mask", "key"]).filter("fp <> a").select("a", F.col("fp").alias("b"))
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) that join what is joined by all pairs of distinct `fp` at MOST_DIFFERENCES or fewer differing bits."""
-    found = None
-    top = F.array(*[F.lit(_signed(m)) for m in node_masks(0)])
+def links(distinct: DataFrame, rows: int | None = None) -> DataFrame:
+    """Links (a, b) that join what is joined by all pairs of distinct `fp` at MOST_DIFFERENCES or fewer differing bits.
+
+    rows: a bound of how many fingerprints there are, if it is known.
+    """
+    found, masks = None, node_masks(0)
+    members = None if rows is None else rows * len(masks)
+    top = F.array(*[F.lit(_signed(m)) for m in masks])
     spread = distinct.select("fp", F.explode(top).alias("mask"))
     for depth in range(len(DIVISIONS) + 1):
         nodes = spread.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp").distinct()
@@ -289,26 +293,28 @@ def links(distinct: DataFrame) -> DataFrame:
             own = _star(nodes)
             return found.unionByName(own)
         nodes = nodes.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
-        searched = checkpointed(nodes.mapInArrow(_search, _LINKS))
+        searched = checkpointed(nodes.mapInArrow(_search, _LINKS), members)
         own = searched.filter("b IS NOT NULL").select("a", "b")
         found = own if found is None else found.unionByName(own)
         full = searched.filter("b IS NULL").select(F.col("a").alias("fp"), "mask")
-        above = [r["mask"] for r in full.select("mask").distinct().collect()]  # at most as many as masks of this depth
+        above = {r["mask"]: r["count"] for r in full.groupBy("mask").count().collect()}  # at most as many as masks of this depth
         if not above:
             return found
         below = [(m, [_signed(x) for x in node_masks(depth + 1, m % (1 << 64))]) for m in above]
+        members = sum(above[m] * len(more) for m, more in below)
         told = distinct.sparkSession.createDataFrame(below, "mask long, more array<long>")
         spread = full.join(F.broadcast(told), "mask").select("fp", F.explode("more").alias("mask"))
 
 
-def stars(edges: DataFrame) -> DataFrame:
+def stars(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(root, node) for every joined node that is not its component's least, by large and small stars in turn.
 
     A round hangs each node's greater neighbours on its least one, then its
     smaller ones. It reads the links only through minima and equi-joins, so a
-    node with very many links spreads over tasks.
+    node with very many links spreads over tasks. rows: about how many links there
+    are, if it is known.
     """
-    edges = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
+    edges = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), rows)
     seen = None
     while True:
         told = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
@@ -320,13 +326,14 @@ def stars(edges: DataFrame) -> DataFrame:
         large = join_hot(both, least, ["u"]).filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = join_hot(large, least, ["b"]).filter("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-        edges = checkpointed(small.unionByName(least.select(F.col("m").alias("a"), "b")).distinct())
+        edges = checkpointed(small.unionByName(least.select(F.col("m").alias("a"), "b")).distinct(), told["n"])
 
 
-def _classes(own: DataFrame) -> DataFrame:
-    """(fp, root, component_id) of each distinct fingerprint."""
-    classes = checkpointed(own.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    joined = stars(links(classes.select("fp")))
+def _classes(own: DataFrame, rows: int) -> DataFrame:
+    """(fp, root, component_id) of each distinct fingerprint; rows: how many rows own has."""
+    classes = checkpointed(own.groupBy("fp").agg(F.min("doc_id").alias("least_id")), rows)
+    n = classes.count()
+    joined = stars(links(classes.select("fp"), n), n * len(node_masks(0)))  # about a link for each node that a fingerprint stands in
     members = joined.unionByName(joined.select("root", F.col("root").alias("node")).distinct())
     named = members.join(classes, members["node"] == classes["fp"]).select("root", "fp", "least_id")
     component = named.groupBy("root").agg(F.min("least_id").alias("component"))
@@ -343,7 +350,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id never names a component with another id in it. An empty table gives no row.
     """
     own = checkpointed(fingerprints(docs))
-    return join_hot(own, _classes(own), ["fp"]).select("doc_id", "fp", "component_id")
+    return join_hot(own, _classes(own, own.count()), ["fp"]).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -358,11 +365,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 def _keep_one(docs: DataFrame) -> DataFrame:
     own = checkpointed(fingerprints(docs))
-    classes = checkpointed(_classes(own))
+    n = own.count()
+    classes = checkpointed(_classes(own, n), n)
     # a component is named by the id that stays; only where an id is repeated, its rows may be of several components
     repeated = own.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).filter("_n > 1")
     kept = classes.select(F.col("component_id").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
-    kept = checkpointed(kept.join(repeated, "doc_id", "left").select("doc_id", F.col("_n").isNotNull().alias("_many")))
+    kept = checkpointed(kept.join(repeated, "doc_id", "left").select("doc_id", F.col("_n").isNotNull().alias("_many")), n)
     rows = docs.join(not_broadcast(kept), "doc_id")
     plain = rows.filter("NOT _many").select(docs.columns)
     # rows that their id alone doesn't tell apart are placed by their own fingerprint

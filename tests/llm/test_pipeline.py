@@ -1,12 +1,14 @@
 import hashlib
 import re
 from collections import Counter
+from pathlib import Path
 
 import public_tokenizers
 import sentencepiece
 
 import corpus_pipeline
 from graphloom.llm import langid, pii, simhash
+from graphloom.llm.session import checkpoint_folder
 
 from test_mixing import plain_targets
 
@@ -90,3 +92,24 @@ def test_run_equals_its_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert sorted(map(tuple, docs.collect())) == sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect()))
+
+
+def test_small_tables_make_few_checkpoint_files(spark):
+    """However many shuffle partitions there are: on a local folder, each file costs processes that executors start."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(2)
+    folder = Path(checkpoint_folder(spark).removeprefix("file:"))
+    given = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in given}
+    stages = (corpus_pipeline.drop_near_duplicates, corpus_pipeline.mix_sources)
+    wanted = [sorted(stage(spark, docs, "").collect()) for stage in stages]
+    try:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+        for stage, rows in zip(stages, wanted):
+            old = set(folder.glob("rdd-*"))
+            assert sorted(stage(spark, docs, "").collect()) == rows
+            files = [len(list(made.glob("part-*"))) for made in set(folder.glob("rdd-*")) - old]
+            assert files and max(files) <= 2  # as the documents come
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -1,4 +1,4 @@
-from graphloom.llm.session import BATCH_BYTES, bounded_batches, on_core
+from graphloom.llm.session import BATCH_BYTES, FILE_ROWS, bounded_batches, checkpointed, on_core
 
 KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -22,3 +22,11 @@ def test_other_columns_are_packed_away(spark):
     assert out.collect() == docs.collect()
     plain = docs.select("doc_id", "text")
     assert on_core(plain, lambda core: core) is plain
+
+
+def test_few_rows_go_to_few_checkpoint_files(spark):
+    rows = spark.range(100).repartition(8)
+    wanted = sorted(rows.collect())
+    for told, files in ((None, 8), (0, 1), (100, 1), (FILE_ROWS + 1, 2), (100 * FILE_ROWS, 8)):
+        kept = checkpointed(rows, told)
+        assert kept.rdd.getNumPartitions() == files and sorted(kept.collect()) == wanted
