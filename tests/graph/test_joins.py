@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from graphloom.operators import enrich
 from graphloom.operators.joins import join_hot
 
 SKEW = {
@@ -43,3 +44,16 @@ def test_empty_sides(spark):
     none = spark.createDataFrame([], "k long, n long")
     assert join_hot(rows(spark), none, ["k"]).count() == 0
     assert join_hot(none, rows(spark), ["k"]).count() == 0
+
+
+def test_addresses_are_not_broadcast_on_a_guess(spark):
+    """Candidates and addresses grow with the catalog: neither passes the driver, however small the files they are read from."""
+    parts = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    key = F.concat(F.lit("project:"), F.col("p_partkey").cast("string"))
+    many = parts.select("*", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("rank"))
+    candidates = many.select(key.alias("project_nid"), "rank", F.lit("u").alias("html_url"), F.col("p_name").alias("name"), F.col("p_name").alias("full_name"), F.lit("").alias("description"))
+    matches = enrich.matched_projects(parts.select(key.alias("id"), F.col("p_name").alias("name")), candidates)
+    nodes = parts.select(key.alias("id"), F.lit("Project").alias("label"), F.lit("{}").alias("props"))
+    found = enrich.with_urls(nodes, matches)
+    assert found.filter("props = '{\"github_url\":\"u\"}'").count() == parts.count()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
