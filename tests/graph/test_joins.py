@@ -57,3 +57,12 @@ def test_addresses_are_not_broadcast_on_a_guess(spark):
     found = enrich.with_urls(nodes, matches)
     assert found.filter("props = '{\"github_url\":\"u\"}'").count() == parts.count()
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_coverage_broadcasts_no_side_that_grows(spark):
+    parts = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    matches = parts.select(F.col("p_partkey").cast("string").alias("id"), F.when(F.col("p_partkey") % 2 == 0, "u").alias("url"))
+    nodes = parts.select(F.lit("f").alias("source_file"), F.col("p_partkey").cast("string").alias("id"), F.lit("Project").alias("label"))
+    told, n = enrich.coverage(matches, nodes), parts.count()
+    assert told.first() == (n, parts.filter("p_partkey % 2 = 0").count(), parts.filter("p_partkey % 2 = 0").count(), 1)
+    assert "Broadcast" not in told._jdf.queryExecution().executedPlan().toString()
