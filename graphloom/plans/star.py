@@ -36,14 +36,18 @@ def _joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     customers, suppliers = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
     nations, parts = table(spark, sf_dir, "nation"), table(spark, sf_dir, "part")
-    return (
-        lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
-        .join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # orders meet their customers before lines meet them: no wide row of a line is exchanged for a customer
+    told = (
+        orders.select("o_orderkey", "o_custkey", "o_orderdate")
         .join(customers.select("c_custkey", "c_name", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("group_name")), "c_nationkey")
-        .join(suppliers.select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nations.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("company_name")), "s_nationkey")
+    )
+    makers = suppliers.select("s_suppkey", "s_name", "s_nationkey").join(nations.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("company_name")), "s_nationkey")
+    return (
+        lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
         .join(parts.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(makers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(told, F.col("l_orderkey") == F.col("o_orderkey"))
     )
 
 
@@ -195,7 +199,8 @@ def described_orders(spark: SparkSession, sf_dir: str, text: Column) -> DataFram
     whole = blocks.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list("b"))["text"], "\n").alias("description"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    return orders.join(whole, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey").join(customers, "o_custkey")
+    # keys meet first, so that descriptions are not exchanged for the customers
+    return orders.join(customers, "o_custkey").join(whole, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
 
 
 def announcements(spark: SparkSession, sf_dir: str, text: Column | None = None) -> DataFrame:

@@ -101,8 +101,9 @@ SELECT id, max(source_file) AS source_file FROM r GROUP BY id""")
 def a5_last_record(spark: SparkSession, d: str) -> DataFrame:
     """One record per talk id: the last one written."""
     told = with_talks(records.response_events(star.announcements(spark, d)), title=None)
-    kept = tables.last_records(talk_records(talk_rows(told), schemas.HEURISTIC_VERSION, RUN_TS, DEFAULT_DATE))
-    return kept.select("id", "source_file")
+    whole = talk_records(talk_rows(told), schemas.HEURISTIC_VERSION, RUN_TS, DEFAULT_DATE)
+    # only what is told is exchanged: Spark drops no column of the struct that is chosen by
+    return tables.last_records(whole.select("id", "scraped_at", "source_file")).select("id", "source_file")
 
 
 # --- projections and filters ----------------------------------------------------------
