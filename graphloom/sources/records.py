@@ -80,16 +80,25 @@ def _bag(properties, drop_id: bool):
     return F.when(text.contains('"id"'), without).otherwise(text)
 
 
+def _spread(records: DataFrame, column: str, name: str) -> DataFrame:
+    """(source_file, pos, name) of a list of good records; broken ones have none.
+
+    The outer generator keeps Catalyst from testing texts and lists before they are spread, which would parse the texts again.
+    """
+    rows = records.select("source_file", F.posexplode_outer(F.when(~F.col("broken"), F.col(column))).alias("pos", name))
+    return rows.filter("pos IS NOT NULL")
+
+
 def record_nodes(records: DataFrame, drop_id: bool = False) -> DataFrame:
     """(source_file, pos, id, label, props) of all nodes of good records; drop_id removes the bag's own `id` as older files were loaded."""
-    rows = records.filter("NOT broken").select("source_file", F.posexplode("nodes").alias("pos", "n"))
+    rows = _spread(records, "nodes", "n")
     props = _bag(F.coalesce("n.props", "n.properties"), drop_id)
     return rows.select("source_file", "pos", "n.id", F.coalesce("n.label", "n.type").alias("label"), props.alias("props"))
 
 
 def record_edges(records: DataFrame) -> DataFrame:
     """(source_file, pos, src, dst, label, props) of all edges of good records."""
-    rows = records.filter("NOT broken").select("source_file", F.posexplode("edges").alias("pos", "e"))
+    rows = _spread(records, "edges", "e")
     return rows.select(
         "source_file",
         "pos",

@@ -89,3 +89,8 @@ def test_stored_records_are_compressed(spark, tmp_path):
     tables.write_records(spark.createDataFrame(rows, schemas.STORED_RECORD), str(tmp_path / "r"))
     files = tables.record_table(spark, str(tmp_path / "r")).read().inputFiles()
     assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_record_texts_are_made_and_parsed_once(spark):
+    told = plan(Q.QUERIES["a3_record_roundtrip"](spark, SF)).split("== Initial Plan ==")[0]
+    assert told.count("ArrowEvalPython") == 1 and told.count("from_json(StructField(schema_version") <= 1
